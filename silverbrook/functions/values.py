@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverbrook import settings
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    The optimizer copies a plain column expression into every filter and projection that
+    uses it; it does not do so with the output of a generator. For parsing of JSON and whole
+    texts only.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def present(column: str | Column) -> Column:
     """True when a string is neither null nor empty."""
     value = F.col(column) if isinstance(column, str) else column
@@ -70,7 +80,7 @@ def fix_mojibake(column: Column) -> Column:
 
 def review_message(raw: str | Column) -> Column:
     """Text after the ``---`` line, without one title line and one blank line."""
-    return F.regexp_extract(raw, r"---\n(?:TITLE:[^\n]*\n)?\n?([\s\S]*)", 1)
+    return F.regexp_extract(raw, r"(?s)---\n(?:TITLE:[^\n]*\n)?\n?(.*)", 1)
 
 
 def word_count(text: str | Column) -> Column:

@@ -31,9 +31,8 @@ def silver_clickstream(raw: DataFrame) -> DataFrame:
         raw.filter(valid_event())
         .withColumn("event_ts", V.parse_ts("timestamp"))
         .filter(F.col("event_ts").isNotNull())
-        .withColumn("p", event_properties())
     )
-    return typed.select(
+    return V.once(typed, "p", event_properties()).select(
         "event_id",
         "session_id",
         "user_id",
@@ -108,9 +107,10 @@ def valid_message(column: str = "message") -> Column:
 
 def silver_reviews(raw: DataFrame) -> DataFrame:
     """Clean reviews, not yet deduplicated."""
+    valid = raw.filter(valid_review_ids() & valid_rating())
+    message = V.fix_mojibake(F.trim(V.review_message("raw_content")))
     return (
-        raw.filter(valid_review_ids() & valid_rating())
-        .withColumn("message", V.fix_mojibake(F.trim(V.review_message("raw_content"))))
+        V.once(valid, "message", message)
         .filter(valid_message())
         .select(
             "review_id",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverbrook import schemas, settings
+from silverbrook.functions import values as V
 
 ISO_WITH_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -39,7 +40,7 @@ def message_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_events(messages: DataFrame, source: str = "kafka") -> DataFrame:
     """Messages to bronze columns; a nested ``properties`` object stays JSON text."""
-    parsed = messages.select(F.from_json("value", schemas.EVENT_MESSAGE).alias("e"))
+    parsed = V.once(messages, "e", F.from_json("value", schemas.EVENT_MESSAGE))
     return parsed.select(
         "e.*", ingestion_time().alias("ingested_at"), F.lit(source).alias("source")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverbrook import settings
+from silverbrook.functions import values as V
 from silverbrook.sources.events import ingestion_time
 
 
@@ -40,18 +41,21 @@ def parse_reviews(
 
     ``landed`` replaces the current time as landing time when documents are loaded again.
     """
-    parts = files.withColumn("parts", F.split("value", r"(?m)^[^\S\n]*---[^\S\n]*$", 2))
+    parts = V.once(files, "parts", F.split("value", r"(?m)^[^\S\n]*---[^\S\n]*$", 2))
     head = F.col("parts")[0]
     body = F.coalesce(F.try_element_at("parts", F.lit(2)), F.lit(""))
     titles = F.regexp_extract_all(body, F.lit(r"(?m)^(TITLE:.*)$"), F.lit(1))
     values = F.transform(titles, lambda line: F.replace(line, F.lit("TITLE: "), F.lit("")))
-    return parts.select(
-        "file_path",
+    fields = F.struct(
         _header(head, "REVIEW_ID").alias("review_id"),
         _header(head, "ORDER_ID").alias("order_id"),
         _header(head, "CUSTOMER_ID").alias("customer_id"),
         F.replace(_header(head, "RATING"), F.lit("/5"), F.lit("")).alias("rating"),
         _last(values).alias("title"),
+    )
+    return V.once(parts, "fields", fields).select(
+        "file_path",
+        "fields.*",
         F.col("value").alias("raw_content"),
         (ingestion_time() if landed is None else landed).alias("ingested_at"),
         F.lit(source).alias("source"),
