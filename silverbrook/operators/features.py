@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from silverbrook import settings
 from silverbrook.functions import values as V
-from silverbrook.operators import joins
+from silverbrook.operators import joins, marts
 
 
-def rfm(sales: DataFrame) -> DataFrame:
+def rfm(sales: DataFrame, unique_keys: bool = False) -> DataFrame:
     """Recency against the last day of the whole data set, frequency and value per customer.
 
     The last day is a scalar subquery: one value, no join.
@@ -18,7 +18,7 @@ def rfm(sales: DataFrame) -> DataFrame:
     last_day = sales.agg(F.max("purchase_date").alias("d")).scalar()
     customers = sales.groupBy("customer_id").agg(
         F.max("purchase_date").alias("last_purchase"),
-        F.count_distinct("order_id").alias("frequency"),
+        marts.order_count(unique_keys).alias("frequency"),
         V.money_sum("total_value").alias("monetary"),
     )
     return customers.select(
@@ -35,9 +35,11 @@ def customer_rating(reviews: DataFrame) -> DataFrame:
     )
 
 
-def churn_features(sales: DataFrame, reviews: DataFrame) -> DataFrame:
+def churn_features(
+    sales: DataFrame, reviews: DataFrame, unique_keys: bool = False
+) -> DataFrame:
     """One row per customer with the label: no purchase in the last 30 days."""
-    joined = rfm(sales).join(customer_rating(reviews), "customer_id", "left")
+    joined = rfm(sales, unique_keys).join(customer_rating(reviews), "customer_id", "left")
     return joined.select(
         "customer_id",
         "recency",
@@ -49,7 +51,7 @@ def churn_features(sales: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def daily_category_features(
-    sales: DataFrame, dim_category: DataFrame, dim_date: DataFrame
+    sales: DataFrame, dim_category: DataFrame, dim_date: DataFrame, unique_keys: bool = False
 ) -> DataFrame:
     """Orders and revenue per category and day with calendar columns.
 
@@ -57,7 +59,7 @@ def daily_category_features(
     category and day. Every id has one label, so the groups stay the same.
     """
     days = sales.groupBy("category_id", "purchase_date", "date_id").agg(
-        F.count_distinct("order_id").alias("orders_count"),
+        marts.order_count(unique_keys).alias("orders_count"),
         V.money_sum("total_value").alias("total_revenue"),
     )
     labelled = joins.with_category(days, dim_category).withColumnRenamed("category", "category_en")
@@ -68,7 +70,11 @@ def daily_category_features(
 
 
 def time_series_features(
-    sales: DataFrame, dim_category: DataFrame, dim_date: DataFrame, leak_free: bool = False
+    sales: DataFrame,
+    dim_category: DataFrame,
+    dim_date: DataFrame,
+    leak_free: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Lags by row and the mean of seven rows, per category; rows without lag 14 are dropped.
 
@@ -77,7 +83,7 @@ def time_series_features(
     """
     series = Window.partitionBy("category_id").orderBy("purchase_date")
     week = series.rowsBetween(-7, -1) if leak_free else series.rowsBetween(-6, 0)
-    rows = daily_category_features(sales, dim_category, dim_date)
+    rows = daily_category_features(sales, dim_category, dim_date, unique_keys)
     lags = {f"lag_{n}": F.lag("orders_count", n).over(series) for n in (1, 7, 14)}
     mean = V.ratio(F.sum("orders_count").over(week), F.count("orders_count").over(week))
     return rows.withColumns({**lags, "rolling_7d_mean": mean}).filter("lag_14 is not null")

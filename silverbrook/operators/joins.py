@@ -70,8 +70,3 @@ def not_matched(
         keys = F.broadcast(keys)
     taken = target.select(key).join(keys, key, "left_semi").distinct()
     return batch.join(taken, key, "left_anti")
-
-
-def keep_values(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the wanted ones."""
-    return rows.join(wanted.select(key), key, "left_semi")

@@ -15,7 +15,8 @@ from silverbrook.functions import values as V
 from silverbrook.operators import joins
 
 
-def _orders(unique_keys: bool) -> Column:
+def order_count(unique_keys: bool) -> Column:
+    """Distinct orders of a group."""
     return (F.count if unique_keys else F.count_distinct)("order_id")
 
 
@@ -70,7 +71,7 @@ def executive(
     value = V.exact("total_value")
     weighted = value * copies.cast("decimal(18,0)")
     measures = [
-        _orders(unique_keys).alias("total_orders"),
+        order_count(unique_keys).alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
         F.sum(weighted).cast("double").alias("total_revenue"),
         V.ratio(
@@ -98,7 +99,7 @@ def sales_performance(
     """Sales per day, category, state and region; facts without a label keep null."""
     labelled = joins.with_geography(joins.with_category(sales, dim_category), dim_geography)
     return labelled.groupBy("purchase_date", "category", "state", "region").agg(
-        _orders(unique_keys).alias("orders"),
+        order_count(unique_keys).alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
         V.money_sum("total_value").alias("revenue"),
         V.money_avg("total_value").alias("avg_order_value"),
@@ -147,7 +148,7 @@ def review_sentiment(
 
 def daily_sales(sales: DataFrame, unique_keys: bool = False) -> DataFrame:
     return sales.groupBy("purchase_date").agg(
-        _orders(unique_keys).alias("orders"), V.money_sum("total_value").alias("revenue")
+        order_count(unique_keys).alias("orders"), V.money_sum("total_value").alias("revenue")
     )
 
 
@@ -157,7 +158,7 @@ def daily_category_sales(
     return (
         joins.with_category(sales, dim_category)
         .groupBy("purchase_date", "category")
-        .agg(_orders(unique_keys).alias("orders"), V.money_sum("total_value").alias("revenue"))
+        .agg(order_count(unique_keys).alias("orders"), V.money_sum("total_value").alias("revenue"))
     )
 
 

@@ -5,12 +5,11 @@ Groups with a null key are left out, and missing numbers count as 0, as the dash
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverbrook import settings
 from silverbrook.functions import values as V
-from silverbrook.operators import joins
 
 
 def _total(column: str) -> Column:
@@ -117,9 +116,11 @@ def funnel_totals(funnel: DataFrame, journey: list[str] | None = None) -> DataFr
         .withColumn("journey_order", position)
         .filter(F.col("journey_order").isNotNull())
     )
-    first = steps.agg(F.min_by("event_count", "journey_order").alias("first")).scalar()
-    percent = V.ratio(F.col("event_count") * 100, first)
-    return steps.withColumn("percent_initial", percent)
+    # At most one row per journey step reaches the unpartitioned window.
+    first = F.first("event_count").over(
+        Window.orderBy("journey_order").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return steps.withColumn("percent_initial", V.ratio(F.col("event_count") * 100, first))
 
 
 def events_by_device(funnel: DataFrame) -> DataFrame:
@@ -127,10 +128,17 @@ def events_by_device(funnel: DataFrame) -> DataFrame:
 
 
 def top_events_over_time(funnel: DataFrame, k: int = 5) -> DataFrame:
-    """Daily events of the k most frequent types."""
+    """Daily events of the k most frequent types.
+
+    The daily counts are the input of both the ranking and the result, so types are ranked
+    over them instead of joining two aggregations of the funnel. Spark drops types beyond
+    rank k in every task before the ranks of all types are compared.
+    """
     daily = _keyed(funnel, "event_date", "event_type").agg(_total("event_count"))
-    totals = daily.groupBy("event_type").agg(_total("event_count"))
-    return joins.keep_values(daily, top_k(totals, k, "event_count", "event_type"), "event_type")
+    total = F.sum("event_count").over(Window.partitionBy("event_type"))
+    rank = F.dense_rank().over(Window.orderBy(F.col("_total").desc(), F.col("event_type")))
+    ranked = daily.withColumn("_total", total).withColumn("_rank", rank)
+    return ranked.filter(F.col("_rank") <= k).drop("_total", "_rank")
 
 
 def sessions_users_by_day(funnel: DataFrame) -> DataFrame:

@@ -286,8 +286,8 @@ def views(spark, sf_dir):
 
 
 def _recent(t: Tables, mart: DataFrame, name: str, column: str, fact: str, day: str) -> DataFrame:
-    end = t(fact).agg(F.max(day).alias("d")).scalar()
-    return tables.last_days(mart, column, settings.DASHBOARD_DAYS[name], end)
+    days = settings.DASHBOARD_DAYS[name]
+    return tables.last_days(mart, column, days, since=tables.first_day(t(fact), day, days))
 
 
 def _recent_executive(t):
@@ -335,9 +335,9 @@ def kpi_totals(t):
 
 @on_tables
 def kpi_totals_exact(t):
-    end = tb.last_purchase(t("fact_sales"))
     days = settings.DASHBOARD_DAYS["executive"]
-    sales = tables.last_days(t("fact_sales"), "purchase_date", days, end)
+    since = tables.first_day(t("fact_sales"), "purchase_date", days)
+    sales = tables.last_days(t("fact_sales"), "purchase_date", days, since=since)
     return reports.kpi_totals_exact(sales, t("fact_reviews"))
 
 
@@ -412,14 +412,14 @@ def sentiment_by_region(t):
 
 @on_tables
 def churn_features(t):
-    return features.churn_features(t("fact_sales"), t("fact_reviews"))
+    return features.churn_features(t("fact_sales"), t("fact_reviews"), unique_keys=True)
 
 
 @on_tables
 def time_series_features(t):
-    return features.time_series_features(t("fact_sales"), t("dim_category"), t("dim_date")).drop(
-        "category_id"
-    )
+    return features.time_series_features(
+        t("fact_sales"), t("dim_category"), t("dim_date"), unique_keys=True
+    ).drop("category_id")
 
 
 @on_tables

@@ -14,10 +14,10 @@ from silverbrook.streaming import sinks
 
 @dataclass(frozen=True)
 class Step:
-    """How a table is built, and the columns it is clustered by (none: written as it comes)."""
+    """How a table is built, and the date column it is stored by, if any."""
 
     build: Callable[[Tables], DataFrame]
-    cluster: tuple[str, ...] = ()
+    cluster: str | None = None
     partition: str | None = None
     check: Callable[[DataFrame], DataFrame] | None = None
 
@@ -55,7 +55,7 @@ class Tables:
             if step.partition:
                 return sinks.overwrite_partitioned(rows, self.path(name), step.partition)
             if step.cluster:
-                return sinks.overwrite_clustered(rows, self.path(name), list(step.cluster))
+                return sinks.overwrite_clustered(rows, self.path(name), step.cluster)
             return sinks.overwrite(rows, self.path(name))
 
         self.log.step(name, work)

@@ -39,8 +39,8 @@ def gold_steps(
     forecast, today by default.
     """
 
-    def stored(build, day: str, key: str) -> Step:
-        return Step(build, partition=day) if by_day else Step(build, cluster=(day, key))
+    def stored(build, day: str) -> Step:
+        return Step(build, partition=day) if by_day else Step(build, cluster=day)
 
     def default_calendar(t: Tables) -> DataFrame:
         return dimensions.dim_date(t.spark, settings.DIM_DATE_START, settings.DIM_DATE_END)
@@ -76,29 +76,28 @@ def gold_steps(
                 t("silver_orders"), t("dim_date"), t("dim_category"), t("dim_geography")
             ),
             "purchase_date",
-            "order_id",
         ),
         "fact_clickstream": stored(
             lambda t: facts.fact_clickstream(
                 t("silver_clickstream"), t("dim_date"), t("dim_category")
             ),
             "event_date",
-            "event_id",
         ),
         "fact_reviews": stored(
             lambda t: facts.fact_reviews(t("silver_reviews"), t("dim_date")),
             "review_date",
-            "review_id",
         ),
         "ml_churn_features": Step(
-            lambda t: features.churn_features(t("fact_sales"), t("fact_reviews"))
+            lambda t: features.churn_features(
+                t("fact_sales"), t("fact_reviews"), unique_keys=True
+            )
         ),
         "ml_churn_scores": Step(
             lambda t: churn.score(t("ml_churn_features"), churn_model(t))
         ),
         "ml_demand_features": Step(
             lambda t: features.time_series_features(
-                t("fact_sales"), t("dim_category"), t("dim_date")
+                t("fact_sales"), t("dim_category"), t("dim_date"), unique_keys=True
             )
         ),
         "ml_demand_models": Step(lambda t: demand.train(t("ml_demand_features"))),

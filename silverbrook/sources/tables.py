@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,7 +67,26 @@ def preview(view: DataFrame, rows: int = 100) -> DataFrame:
     return view.limit(rows)
 
 
-def last_days(rows: DataFrame, column: str, days: int, as_of=None) -> DataFrame:
-    """Rows dated at most ``days`` days before ``as_of`` (a date or column; default today)."""
-    end = F.current_date() if as_of is None else F.lit(as_of)
-    return rows.filter(F.col(column) >= F.date_sub(end, days))
+def first_day(facts: DataFrame, column: str, days: int) -> Column:
+    """``days`` before the last day of the facts, as a scalar subquery.
+
+    The subtraction is inside the subquery, so a comparison with it reaches the Parquet scan.
+    """
+    return facts.agg(F.date_sub(F.max(column), days).alias("d")).scalar()
+
+
+def last_days(
+    rows: DataFrame,
+    column: str,
+    days: int,
+    as_of: dt.date | None = None,
+    since: Column | None = None,
+) -> DataFrame:
+    """Rows dated at most ``days`` days before ``as_of`` (default today), or from ``since``.
+
+    Applied to a mart, the filter moves below the aggregation to the facts when the column
+    is a grouping key.
+    """
+    if since is None:
+        since = F.date_sub(F.current_date() if as_of is None else F.lit(as_of), days)
+    return rows.filter(F.col(column) >= since)
