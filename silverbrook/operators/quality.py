@@ -34,17 +34,13 @@ def order_rules() -> dict[str, Column]:
     }
 
 
-def review_rules() -> dict[str, Column]:
-    message = F.trim(V.review_message("raw_content"))
+def review_rules(message: str = "message") -> dict[str, Column]:
+    text = F.col(message)
     return {
         "missing_id": ~C.valid_review_ids(),
         "bad_rating": ~C.valid_rating(),
-        "empty_message": F.coalesce(message == "", F.lit(True)),
-        "damaged_encoding": reduce(
-            lambda found, pair: found | F.contains(message, F.lit(pair[0])),
-            settings.MOJIBAKE,
-            F.lit(False),
-        ),
+        "empty_message": F.coalesce(text == "", F.lit(True)),
+        "damaged_encoding": V.fix_mojibake(text) != text,
     }
 
 
@@ -61,9 +57,11 @@ def report(raw: DataFrame, source: str, rules: dict[str, Column], key: str) -> D
 
 
 def quality_report(clicks: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    message = F.trim(V.review_message("raw_content"))
+    read_reviews = V.once(reviews, "message", message)
     parts = [
         report(clicks, "clickstream", click_rules(), "event_id"),
         report(orders, "orders", order_rules(), "order_id"),
-        report(reviews, "reviews", review_rules(), "review_id"),
+        report(read_reviews, "reviews", review_rules(), "review_id"),
     ]
     return reduce(DataFrame.unionByName, parts)

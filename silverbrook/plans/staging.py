@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -31,13 +32,15 @@ class Tables:
         self.steps = steps
         self.log = RunLog(run_id)
         self._schemas: dict[str, T.StructType] = {}
+        self._lock = threading.RLock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def __call__(self, name: str) -> DataFrame:
-        if name not in self._schemas:
-            self._build(name)
+        with self._lock:
+            if name not in self._schemas:
+                self._build(name)
         return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
 
     def build_all(self) -> list[str]:

@@ -6,6 +6,7 @@ Everything is arithmetic on whole tables, so any SQL engine derives the same row
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,6 +328,7 @@ def _files_mark(spark: SparkSession, sf_dir: str) -> str:
 
 
 _tables: dict[tuple[str, str], Tables] = {}
+_lock = threading.Lock()
 
 
 def staged(spark: SparkSession, sf_dir: str) -> Tables:
@@ -336,16 +338,17 @@ def staged(spark: SparkSession, sf_dir: str) -> Tables:
     """
     app = spark.sparkContext.applicationId
     mark = _files_mark(spark, sf_dir)
-    if (app, mark) not in _tables:
-        digest = hashlib.sha256(mark.encode()).hexdigest()[:16]
-        root = f"{session.shared_dir(spark)}/{app}/{digest}"
-        steps = {
-            "silver_clickstream": Step(lambda t: silver_clickstream(spark, sf_dir)),
-            "silver_orders": Step(lambda t: silver_orders(spark, sf_dir)),
-            "silver_reviews": Step(lambda t: silver_reviews(spark, sf_dir)),
-            **gold_steps(
-                dim_date=_calendar, by_day=False, as_of=lambda t: last_purchase(t("fact_sales"))
-            ),
-        }
-        _tables[app, mark] = Tables(spark, root, steps, digest)
-    return _tables[app, mark]
+    with _lock:
+        if (app, mark) not in _tables:
+            digest = hashlib.sha256(mark.encode()).hexdigest()[:16]
+            root = f"{session.shared_dir(spark)}/{app}/{digest}"
+            steps = {
+                "silver_clickstream": Step(lambda t: silver_clickstream(spark, sf_dir)),
+                "silver_orders": Step(lambda t: silver_orders(spark, sf_dir)),
+                "silver_reviews": Step(lambda t: silver_reviews(spark, sf_dir)),
+                **gold_steps(
+                    dim_date=_calendar, by_day=False, as_of=lambda t: last_purchase(t("fact_sales"))
+                ),
+            }
+            _tables[app, mark] = Tables(spark, root, steps, digest)
+        return _tables[app, mark]

@@ -93,6 +93,8 @@ DASHBOARD_DAYS = {"executive": 90, "sales_performance": 90, "funnel": 7, "review
 MAX_FILES_PER_TRIGGER = 50
 BRONZE_TRIGGER = "30 seconds"
 BRONZE_FILE_ROWS = 5_000_000
+# Shuffle bytes per output task when a table is rebalanced for writing.
+WRITE_TASK_BYTES = 512 * 1024 * 1024
 
 # Keys of one micro-batch are broadcast against the target only up to this size.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -169,6 +171,18 @@ def insert_new_writer(
 # -- batch tables ------------------------------------------------------------------------
 
 
+@contextmanager
+def large_write_tasks(spark: SparkSession) -> Iterator[None]:
+    """Let rebalanced writes aim at large files; small tables still use every core."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(settings.WRITE_TASK_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite(rows: DataFrame, path: str) -> int:
     """Replace a table; returns the rows written, counted during the write."""
     observed = Observation()
@@ -191,9 +205,9 @@ def overwrite_partitioned(
         "rebalance", F.col(date_column)
     )
     mode = "static" if replace_all else "dynamic"
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
-        date_column
-    ).parquet(path)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    with large_write_tasks(rows.sparkSession):
+        writer.partitionBy(date_column).parquet(path)
     return observed.get["rows"]
 
 
@@ -204,15 +218,21 @@ def overwrite_clustered(rows: DataFrame, path: str, date_column: str) -> int:
     :func:`overwrite_partitioned` Spark divides a day that is much larger than the others.
     """
     balanced = rows.hint("rebalance", F.col(date_column)).sortWithinPartitions(date_column)
-    return overwrite(balanced, path)
+    with large_write_tasks(rows.sparkSession):
+        return overwrite(balanced, path)
 
 
-def ensure_tables(spark: SparkSession, database: str, location: str | None = None) -> list[str]:
-    """Create the database and the silver tables unless they exist."""
+def ensure_tables(
+    spark: SparkSession,
+    database: str,
+    location: str | None = None,
+    wanted: dict[str, T.StructType] = schemas.SILVER,
+) -> list[str]:
+    """Create the database and its tables unless they exist."""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     made = []
-    for name, schema in schemas.SILVER.items():
+    for name, schema in wanted.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
         made.append(f"{database}.{name}")
