@@ -29,6 +29,7 @@ MIN_WORDS = 50
 STEPS = 3
 MIN_ROWS = 100
 SUPPORT = 0.75
+SALTS = 16
 # Scatter of the nearest three quarters of a five-dimensional normal, brought to the whole:
 # 0.75 / P(chi2 with 7 degrees of freedom <= the 0.75 quantile with 5).
 CONSISTENCY = 1.42
@@ -152,7 +153,9 @@ def fit(stats: DataFrame) -> DataFrame:
     usable = stats.where(~F.col("base_failed")).select("group_", *FEATURES)
     sizes = stored(usable.groupBy("group_").agg(F.count("*").alias("n_")), "groups")
     target = F.when(F.col("n_") >= MIN_ROWS, F.col("group_")).otherwise(F.lit(""))
-    usable = usable.join(sizes, "group_").select(target.alias("estimate"), *FEATURES)
+    # A group's rows meet its estimate in SALTS tasks; what they share is summed there first.
+    usable = usable.join(sizes, "group_").select(
+        target.alias("estimate"), *FEATURES, F.pmod(F.xxhash64(*FEATURES), F.lit(SALTS)).alias("salt"))
     quartiles = usable.groupBy("estimate").agg(*[
         F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{i}") for i, x in enumerate(FEATURES)])
     start = quartiles.select(
@@ -164,7 +167,8 @@ def fit(stats: DataFrame) -> DataFrame:
     pairs = [(i, j) for i in range(p) for j in range(i + 1)]
     for _ in range(STEPS):
         # Distance classes: 32 per factor e, so that few rows per group carry all sums.
-        near = usable.join(model, "estimate").withColumn(
+        salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        near = usable.join(salted, ["estimate", "salt"]).withColumn(
             "class", F.floor(F.log1p(_distance()) * 32).cast("int"))
         sums = near.groupBy("estimate", "class").agg(
             F.count("*").alias("n"), *[F.sum(x).alias(f"s_{i}") for i, x in enumerate(FEATURES)],
