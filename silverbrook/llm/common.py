@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverbrook.session import shared_dir
 
@@ -55,3 +56,8 @@ def bind(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def record(**fields: T.DataType) -> T.StructType:
+    """A struct type, also without a running session, as module-level functions need it."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from silverbrook.llm import quality_rules
+from silverbrook.llm import mixing, near_dedup, quality_rules, secret_scan
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
+    "op2_secret_scan": secret_scan.op2_secret_scan,
+    "op3_near_dedup": near_dedup.op3_near_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
