@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from silverbrook.llm import mixing, near_dedup, quality_rules, secret_scan
+from silverbrook.llm import (
+    byte_bpe,
+    byte_cnn,
+    html_text,
+    maxent_lm,
+    mixing,
+    multi_index,
+    near_dedup,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_maxent_lm": maxent_lm.op4_maxent_lm,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op6_html_text": html_text.op6_html_text,
+    "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_multi_index": multi_index.op8_multi_index,
+    "op9_byte_cnn": byte_cnn.op9_byte_cnn,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
