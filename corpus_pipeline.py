@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silverbrook.llm import quality_rules
+from silverbrook.llm import byte_bpe, mixing, near_dedup, quality_rules, secret_scan
 from silverbrook.llm.common import documents, stored
 
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("near_dedup", near_dedup.stage),
+    ("secret_scan", secret_scan.stage),
+    ("mixing", mixing.stage),
+    ("byte_bpe", byte_bpe.stage),
 ]
 
 # Robust estimates, sketches and merges of byte pairs are beyond SQL; tests compare with brute force.
