@@ -61,13 +61,13 @@ class Network:
     def parameters(self) -> list[np.ndarray]:
         return [self.embed, self.filters, self.offset, self.weights, self.bias]
 
-    def outputs(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Filter outputs per step, and the embedded blocks. Filters don't reach over ``ends``."""
+    def outputs(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Filter outputs per step, and the embedded blocks. Filters stay within half a chunk."""
         blocks = self.embed[data].reshape(-1, _BLOCK)
         both = blocks @ self.filters
         out = both[:, :FILTERS].copy()
         right = both[1:, FILTERS:].copy()
-        right[ends[ends < len(right)]] = 0
+        right[_STEPS - 1 :: _STEPS] = 0
         out[:-1] += right
         return out + self.offset, blocks
 
@@ -86,7 +86,7 @@ class Network:
             halves = np.array([max(1, -(-len(raw) // HALF)) for _, raw in group])
             data = b"".join(raw.ljust(n * HALF, b"\0") for (_, raw), n in zip(group, halves, strict=True))
             last = np.cumsum(halves)
-            out, _ = self.outputs(np.frombuffer(data, dtype=np.uint8), last * _STEPS - 1)
+            out, _ = self.outputs(np.frombuffer(data, dtype=np.uint8))
             maxima = out.reshape(-1, _STEPS, FILTERS).max(axis=1)
             chunks = maxima.copy()
             np.maximum(maxima[:-1], maxima[1:], out=chunks[:-1])
@@ -148,7 +148,7 @@ def _gradients(net: Network, batch: list[tuple[list[bytes], int]]) -> list[np.nd
     labels = np.array([y for _, y in batch], dtype=np.float32)
     data = np.frombuffer(b"".join(x for c, _ in batch for x in c), dtype=np.uint8)
     n, steps = int(sizes.sum()), CHUNK // STRIDE
-    out, blocks = net.outputs(data, np.arange(1, n + 1) * steps - 1)
+    out, blocks = net.outputs(data)
     out = out.reshape(n, steps, FILTERS)
     at = out.argmax(axis=1)
     maxima = np.take_along_axis(out, at[:, None, :], axis=1)[:, 0]
@@ -158,7 +158,7 @@ def _gradients(net: Network, batch: list[tuple[list[bytes], int]]) -> list[np.nd
     each = (error / sizes)[owner].astype(np.float32)
     of_max = each[:, None] * net.weights * (maxima > 0)
     place = np.arange(n)[:, None] * steps + at
-    beyond = at == steps - 1
+    beyond = at % _STEPS == _STEPS - 1
     left = blocks[place]
     right = np.where(beyond[..., None], 0, blocks[np.minimum(place + 1, len(blocks) - 1)])
     g_filters = np.concatenate([

@@ -188,15 +188,20 @@ class Page:
         if tag == "table":
             above.parts.append(Block(tag, table_lines(box.parts), True))
         elif tag in GROUPS:
-            above.parts += box.parts
+            if above.tag == "table":
+                above.parts += box.parts
+            else:
+                above.parts.append(Block("div", table_lines(box.parts), False))
         elif tag == "tr":
             cells = [p for p in box.parts if isinstance(p, Block) and p.tag in CELLS]
             rest = [p for p in box.parts if not (isinstance(p, Block) and p.tag in CELLS)]
             stray = lines_of(rest, False)
             if stray:
                 cells.append(Block("td", stray, False))
-            above.parts.append(Block(tag, cells, False) if self._in_table() else Block(
-                "div", [" ".join(" ".join(c.lines) for c in cells)], False))
+            if above.tag == "table" or above.tag in GROUPS:
+                above.parts.append(Block(tag, cells, False))
+            else:
+                above.parts.append(Block("div", table_lines([Block(tag, cells, False)]), False))
         elif tag == "li":
             lines = lines_of(box.parts, box.pre)
             mark = "- "
@@ -238,7 +243,9 @@ class Page:
             if HIDDEN.search(attributes):
                 self.stack[0].hidden = True
             return
-        if self.opened.get("head") and tag not in IN_HEAD and tag != "head":
+        if tag == "head" and (len(self.stack) > 1 or any(not isinstance(p, str) or p.strip() for p in self.stack[0].parts)):
+            return  # a head has its place before all content only
+        if self.opened.get("head") and tag not in IN_HEAD:
             self._close_to({"head"}, set())
         if tag in ENDS_PARAGRAPH:
             self._close_to({"p"}, {"table", "td", "th", "caption", "button", "object"})
@@ -282,7 +289,7 @@ class Page:
                            set() if tag == "table" else {"td", "th", "table"} - {tag})
 
     def text(self, text: str) -> None:
-        if self.opened.get("head") and not self.stack[-1].hidden and text.strip():
+        if self.stack[-1].tag == "head" and text.strip():
             self._close_to({"head"}, set())
         if not self.stack[-1].hidden:
             self.stack[-1].parts.append(html.unescape(text) if "&" in text else text)

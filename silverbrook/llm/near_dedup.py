@@ -11,9 +11,12 @@ the miss is below 1e-6.
 
 Buckets: equal texts are one member first. Every member of a bucket is compared with the bucket's
 smallest member, so a group of copies of any size gives as many pairs as members. Members unlike
-that leader, as in buckets made by a shared passage, are dealt again by a finer sketch of twice as
-many shingles, and from then on compared with new leaders until none is left over. No bucket is
-capped. Candidate pairs carry 128-bit text keys; only their own texts are looked up.
+that leader, as in buckets made by a shared passage, are compared with a second leader, with a
+leader by a finer sketch of twice as many shingles, and with their neighbours when the bucket is
+sorted by its texts' beginnings, by their ends read backwards, and by length. So each member of a
+bucket has six partners at most and none is left out; a link is missed only if that happens in
+every bucket that two texts share. Candidate pairs carry 128-bit text keys; only their own texts
+are looked up.
 
 Defined results: a null text counts as empty; texts without words are equal only if they are the
 same text. Texts of fewer than five words are one shingle. ``class_id`` is the smallest id of the
@@ -24,6 +27,7 @@ of each class stays: the smallest id, ties by place in the table. Empty tables g
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +42,7 @@ SIMILARITY = 0.8
 SKETCHES = 12
 PICKED = 3
 FINER = 6
+EDGE = 256  # characters of a text's beginning and end that a bucket is sorted by
 SEED = 7
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -246,18 +251,32 @@ def _leaders(buckets: DataFrame) -> DataFrame:
     return buckets.join(heads, "bucket").where(F.col("leader") != F.col("member"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Distinct (leader, member) with ``linked``. Only texts that pairs name are shuffled."""
-    pairs = stored(pairs.select("leader", "member").distinct(), "candidates")
+def _texts_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Text of every member that pairs name; only keys meet the whole table."""
     named = pairs.select(F.explode(F.array("leader", "member")).alias("member")).distinct()
-    wanted = texts.join(named, "member", "left_semi").dropDuplicates(["member"])
-    wanted = stored(wanted, "candidate-texts")
-    lead = wanted.select(F.col("member").alias("leader"), F.col("text").alias("of_leader"))
-    joined = pairs.join(wanted, "member").join(lead, "leader")
+    return stored(texts.join(named, "member", "left_semi").dropDuplicates(["member"]), "candidate-texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs with ``linked``."""
+    lead = texts.select(F.col("member").alias("leader"), F.col("text").alias("of_leader"))
+    joined = pairs.join(texts, "member").join(lead, "leader")
     return stored(joined.select(
         "leader", "member", (alike("of_leader", "text") >= SIMILARITY).alias("linked")), "verified")
 
 
+def _neighbours(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each member of a bucket with the one before it, in three orders that bring like texts together."""
+    near = rows.join(texts.select(
+        "member", F.left("text", F.lit(EDGE)).alias("head"), F.reverse(F.right("text", F.lit(EDGE))).alias("tail"),
+        F.length("text").alias("size")), "member")
+    place = Window.partitionBy("bucket")
+    orders = ["head", "tail", "size"]
+    near = near.withColumns({f"by_{x}": F.lag("member").over(place.orderBy(x, "member")) for x in orders})
+    return near.select("member", F.explode(F.array(*[f"by_{x}" for x in orders])).alias("leader")).where(
+        F.col("leader").isNotNull())
+
+
 def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links between different texts. ``sketched``: member, coarse, fine per text."""
     numbered = sketched.select("member", "fine", F.posexplode("coarse").alias("i", "key"))
@@ -265,18 +284,16 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
         "member", F.xxhash64("i", "key").alias("bucket"),
         F.xxhash64("i", "key", F.get("fine", "i")).alias("finer"))
     led = stored(_leaders(buckets), "led")
-    found = _verified(led, texts)
-    out = found.where("linked")
-    failed = lambda led, found: led.join(
-        found.where("not linked").select("leader", "member"), ["leader", "member"], "left_semi")
-    rest = failed(led, found).select("member", F.col("finer").alias("bucket"))
-    while True:
-        led = stored(_leaders(rest), "led")
-        if led.isEmpty():
-            return out.select("leader", "member")
-        found = _verified(led, texts)
-        out = out.unionByName(found.where("linked"))
-        rest = failed(led, found).select("member", "bucket")
+    pairs = stored(led.select("leader", "member").distinct(), "candidates")
+    texts = _texts_of(pairs, texts)
+    found = _verified(pairs, texts)
+    unlike = found.where("not linked").select("leader", "member")
+    rest = stored(led.join(unlike, ["leader", "member"], "left_semi").select("bucket", "finer", "member"), "unlike")
+    again = [_leaders(rest), _leaders(rest.select("member", F.col("finer").alias("bucket"))), _neighbours(rest, texts)]
+    more = reduce(DataFrame.union, [x.select("leader", "member") for x in again])
+    more = more.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member"))
+    more = stored(more.distinct().join(found, ["leader", "member"], "left_anti"), "candidates")
+    return found.union(_verified(more, texts)).where("linked").select("leader", "member")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ def slow_score(net, raw):
     raw = raw.ljust(C.HALF * max(1, -(-len(raw) // C.HALF)), b"\0")
     halves = len(raw) // C.HALF
     blocks = net.embed[np.frombuffer(raw, dtype=np.uint8)].reshape(-1, C.STRIDE * C.WIDTH).astype(float)
-    blocks = np.vstack([blocks, np.zeros((1, blocks.shape[1]))])
-    out = blocks[:-1] @ net.filters[:, : C.FILTERS] + blocks[1:] @ net.filters[:, C.FILTERS :] + net.offset
     steps = C.HALF // C.STRIDE
+    right = np.vstack([blocks[1:], np.zeros((1, blocks.shape[1]))])
+    right[steps - 1 :: steps] = 0
+    out = blocks @ net.filters[:, : C.FILTERS] + right @ net.filters[:, C.FILTERS :] + net.offset
     for c in range(max(1, halves - 1)):
         best = out[c * steps : (c + 2) * steps].max(axis=0)
         logits.append(np.maximum(best, 0) @ net.weights + net.bias[0])

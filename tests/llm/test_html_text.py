@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,8 +36,9 @@ def test_never_fails_and_keeps_visible_words():
         words = [f"w{i}" for i in range(rng.randrange(8))]
         parts = [x for w in words for x in (*rng.choices(bits, k=rng.randrange(4)), f" {w} ")]
         text = render("".join(parts))
-        assert [w for w in text.replace("<", " ").replace(">", " ").split() if w.startswith("w")] == words or (
-            "<td>" in parts or "<tr>" in parts or "<" in parts) and all(w in text or "<" in parts for w in words), parts
+        found = re.findall(r"w\d", text)
+        # "<" may begin a tag that takes words in, and table parts may be set apart from other text.
+        assert found == words or "<" in parts or ("<td>" in parts or "<tr>" in parts) and sorted(found) == words, parts
     assert render("<div>" * 20_000 + "deep") == "deep"
     assert render("<a " * 50_000 + "x").endswith("x")
 
