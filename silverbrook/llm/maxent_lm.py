@@ -4,7 +4,7 @@ P(word | history) = P(class | history) * P(word | class). The class is predicted
 model over hashed features of the history: the last word, the word before it (a skip feature), and
 both together (an n-gram feature), plus a bias. Within its class a word has its smoothed share.
 
-The ``FREQUENT`` most frequent words share ``HEAD`` classes of about equal mass; the text end is a
+At most ``FREQUENT`` of the most frequent words share ``HEAD`` classes of about equal mass; the text end is a
 class of its own; all other words fall into ``TAIL`` classes by their last two bytes.
 
 Corpus counts cover all training documents and every word. Words outside the frequent ones are
@@ -17,9 +17,9 @@ changes by blocks of weights and averages each weight row over the learners that
 the rounds visit every training document once. Scoring runs in batches of numpy gathers.
 
 Defined results: a null text counts as empty and has one token, its end. A null id is not held out.
-Without training documents nothing is known and base_score is 0. Ties among frequent words go to
-the smaller word. Rows are scored by themselves; repeated rows count as often as they occur; an
-empty table gives an empty result. Sums are of doubles, so scores of reruns agree to rounding.
+Without training documents nothing is known and base_score is 0. Words of equal count are frequent
+together or not at all. Rows are scored by themselves; repeated rows count as often as they occur;
+an empty table gives an empty result. Sums are of doubles, so scores of reruns agree to rounding.
 """
 
 from __future__ import annotations
@@ -47,6 +47,7 @@ BLOCK = 64
 ROUNDS = 2
 BATCH = 4096
 RATE = 0.3
+LIMIT = 20.0  # of a weight
 FLUSH = 300_000
 REMEMBERED = 400_000
 _END, _START = 0x9E3779B1, 0x85EBCA77
@@ -160,11 +161,20 @@ def empty_weights() -> np.ndarray:
     return np.zeros((3 * ROWS + BLOCK, CLASSES), dtype=np.float32)
 
 
-def log_shares(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log of every class's probability per token."""
-    logits = weights[rows[0]] + weights[rows[1]] + weights[rows[2]] + weights[3 * ROWS]
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def logits_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of a token's weights per class. Weights are within LIMIT, so exponentials stay finite."""
+    out = weights[rows[0]]
+    out += weights[rows[1]]
+    out += weights[rows[2]]
+    out += weights[3 * ROWS]
+    return out
+
+
+def log_share(weights: np.ndarray, rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's class."""
+    logits = logits_of(weights, rows)
+    own = logits[np.arange(len(kinds)), kinds]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
 class Learner:
@@ -176,10 +186,12 @@ class Learner:
         self.met = np.zeros(len(weights), dtype=np.float32)
 
     def update(self, rows: np.ndarray, kinds: np.ndarray) -> None:
-        error = np.exp(log_shares(self.weights, rows))
+        error = logits_of(self.weights, rows)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
         error[np.arange(len(kinds)), kinds] -= 1
-        for table in rows:
-            order = np.argsort(table, kind="stable")
+        for number, table in enumerate(rows):
+            order = np.argsort((table - number * ROWS).astype(np.uint16), kind="stable")
             ranked = table[order]
             start = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
             self._step(ranked[start], np.add.reduceat(error[order], start),
@@ -188,7 +200,8 @@ class Learner:
 
     def _step(self, at: np.ndarray, slope: np.ndarray, times: np.ndarray) -> None:
         self.seen[at] += (slope * slope).mean(axis=1)
-        self.weights[at] -= RATE * slope / np.sqrt(self.seen[at])[:, None]
+        moved = self.weights[at] - RATE * slope / np.sqrt(self.seen[at])[:, None]
+        self.weights[at] = np.clip(moved, -LIMIT, LIMIT)
         self.met[at] += times
 
 
@@ -213,9 +226,8 @@ def train(texts: DataFrame, lexicon: Broadcast, rounds: int = ROUNDS) -> np.ndar
         def learn(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             own, learner = _own(lexicon), Learner(shared.value)
             for batch in batches:
-                texts = [words_of(t) for t in batch["text"]]
-                for at in range(0, len(texts), 256):
-                    packed, sizes = own.encode(texts[at : at + 256])
+                for at in range(0, len(batch), 256):
+                    packed, sizes = own.encode([words_of(t) for t in batch["text"].iloc[at : at + 256]])
                     rows, kinds = features(packed, sizes), packed >> 17 & 127
                     for i in range(0, len(kinds), BATCH):
                         learner.update(rows[:, i : i + BATCH], kinds[i : i + BATCH])
@@ -248,14 +260,17 @@ def train(texts: DataFrame, lexicon: Broadcast, rounds: int = ROUNDS) -> np.ndar
 
 def lexicon_of(counts: DataFrame, ends: int) -> Lexicon:
     """The bounded part of the counts: frequent words, and two sums per class of the others."""
-    order = [F.desc("n"), F.asc("word")]
-    frequent = [(bytes(w), n) for w, n in counts.orderBy(*order).limit(FREQUENT).collect()]
-    if len(frequent) < FREQUENT:
-        return Lexicon(frequent, {}, ends)
-    least_word, least = frequent[-1]
-    others = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(bytearray(least_word)))))
+    # Counts in steps of about a hundredth; of a few thousand steps, as many from the top as fit.
+    step = F.floor(F.log2("n") * 64).cast("int")
+    found, least = 0, 1 << 30
+    for at, words in sorted(counts.groupBy(step.alias("s")).count().collect(), reverse=True):
+        found += words
+        if found > FREQUENT:
+            break
+        least = at
+    frequent = sorted(((bytes(w), n) for w, n in counts.where(step >= least).collect()), key=lambda x: (-x[1], x[0]))
     kind = HEAD + 1 + F.crc32(F.substring("word", -2, 2)) % TAIL
-    tail = others.groupBy(kind.cast("int").alias("kind")).agg(F.sum("n"), F.count("*")).collect()
+    tail = counts.where(step < least).groupBy(kind.cast("int").alias("kind")).agg(F.sum("n"), F.count("*")).collect()
     return Lexicon(frequent, {k: (n, v) for k, n, v in tail}, ends)
 
 
@@ -279,8 +294,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
                 rows, kinds, place = features(packed, sizes), packed >> 17 & 127, packed & (1 << 17) - 1
                 value = np.empty(len(kinds))
                 for i in range(0, len(kinds), BATCH):
-                    shares = log_shares(model, rows[:, i : i + BATCH])
-                    value[i : i + BATCH] = shares[np.arange(len(shares)), kinds[i : i + BATCH]]
+                    value[i : i + BATCH] = log_share(model, rows[:, i : i + BATCH], kinds[i : i + BATCH])
                 value = value / math.log(10) - lex.shares[kinds]
                 first = np.cumsum(sizes) - sizes
                 known = np.add.reduceat(place > 0, first, dtype=np.int64)
