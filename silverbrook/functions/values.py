@@ -38,9 +38,21 @@ def number_or_zero(column: str | Column) -> Column:
 
 
 def exact(column: str | Column) -> Column:
-    """Money as DECIMAL(18,2): sums do not depend on the order rows arrive in."""
+    """Money as DECIMAL(18,2): sums do not depend on the order rows arrive in.
+
+    Cleaning lets only amounts through that fit; anything else raises here and is never lost.
+    """
     value = F.col(column) if isinstance(column, str) else column
-    return value.try_cast("decimal(18,2)")
+    return value.cast("decimal(18,2)")
+
+
+def is_money(column: str | Column) -> Column:
+    """True for a readable, finite number of whole cents that the money type can hold."""
+    text = F.col(column) if isinstance(column, str) else column
+    value = text.try_cast("double")
+    # Comparisons put NaN above every number.
+    fits = (F.abs(value) < F.lit(1e15)) & (F.round(value, 2) == value)
+    return F.coalesce(fits, F.lit(False))
 
 
 def money_sum(column: str | Column) -> Column:
@@ -80,7 +92,7 @@ def fix_mojibake(column: Column) -> Column:
 
 def review_message(raw: str | Column) -> Column:
     """Text after the ``---`` line, without one title line and one blank line."""
-    return F.regexp_extract(raw, r"(?s)---\n(?:TITLE:[^\n]*\n)?\n?(.*)", 1)
+    return F.regexp_extract(raw, settings.REVIEW_MESSAGE, 1)
 
 
 def word_count(text: str | Column) -> Column:

@@ -30,7 +30,7 @@ def silver_clickstream(raw: DataFrame) -> DataFrame:
     typed = (
         raw.filter(valid_event())
         .withColumn("event_ts", V.parse_ts("timestamp"))
-        .filter(F.col("event_ts").isNotNull())
+        .filter(plausible(F.col("event_ts")))
     )
     return V.once(typed, "p", event_properties()).select(
         "event_id",
@@ -47,14 +47,20 @@ def silver_clickstream(raw: DataFrame) -> DataFrame:
     )
 
 
+def plausible(when: Column) -> Column:
+    """True for a time within the accepted dates, false for null; bounds every calendar."""
+    first, last = F.lit(settings.EARLIEST_DATE).cast("date"), F.lit(settings.LATEST_DATE).cast("date")
+    return F.coalesce(F.to_date(when).between(first, last), F.lit(False))
+
+
 def valid_price() -> Column:
-    """A readable price above 0."""
-    return F.coalesce(F.col("price").try_cast("double") > 0, F.lit(False))
+    """A readable price above 0 in whole cents. NaN, infinities and what money can't hold are not."""
+    return V.is_money("price") & (F.col("price").try_cast("double") > 0)
 
 
 def valid_freight() -> Column:
-    """A readable freight of 0 or more."""
-    return F.coalesce(F.col("freight_value").try_cast("double") >= 0, F.lit(False))
+    """A readable freight of 0 or more in whole cents."""
+    return V.is_money("freight_value") & (F.col("freight_value").try_cast("double") >= 0)
 
 
 def valid_order() -> Column:
@@ -74,11 +80,12 @@ def total_value() -> Column:
 
 def silver_orders(raw: DataFrame) -> DataFrame:
     """Clean orders, not yet deduplicated; ``cdc_ts_ms`` is kept for that step."""
-    typed = raw.filter(valid_order() & F.col("purchase_timestamp").isNotNull()).withColumns(
+    bought = F.timestamp_micros("purchase_timestamp")
+    typed = raw.filter(valid_order() & plausible(bought)).withColumns(
         {
             "price": F.col("price").try_cast("double"),
             "freight_value": F.col("freight_value").try_cast("double"),
-            "purchase_ts": F.timestamp_micros("purchase_timestamp"),
+            "purchase_ts": bought,
             "state": state_code(),
             "category": F.trim("category"),
             "ingested_at": V.parse_ts("ingested_at"),

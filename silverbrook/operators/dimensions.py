@@ -18,9 +18,8 @@ def dim_date(
     end: str = settings.DIM_DATE_END,
 ) -> DataFrame:
     """One row per day of a fixed range."""
-    days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
-    if not 0 < days <= settings.MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar of {days} days; at most {settings.MAX_CALENDAR_DAYS}")
+    if dt.date.fromisoformat(end) < dt.date.fromisoformat(start):
+        raise ValueError(f"a calendar can't end on {end} before it starts on {start}")
     bounds = spark.range(1).select(
         F.lit(start).cast("date").alias("first_day"), F.lit(end).cast("date").alias("last_day")
     )
@@ -30,14 +29,13 @@ def dim_date(
 def calendar(bounds: DataFrame) -> DataFrame:
     """One row per day from ``first_day`` to ``last_day`` of a one-row frame.
 
-    The check keeps the result small enough to broadcast, whatever the bounds come from.
+    Days outside the accepted dates are left out: they hold 300 years at most, which keeps the
+    result small enough to broadcast, whatever the bounds come from.
     """
-    fits = F.datediff("last_day", "first_day") < settings.MAX_CALENDAR_DAYS
-    every_day = F.sequence("first_day", "last_day", F.expr("interval 1 day"))
-    days = bounds.filter("first_day is not null").select(
-        F.explode(
-            F.when(fits, every_day).otherwise(F.raise_error(F.lit("calendar range too long")))
-        ).alias("date_actual")
+    first = F.greatest("first_day", F.lit(settings.EARLIEST_DATE).cast("date"))
+    last = F.least("last_day", F.lit(settings.LATEST_DATE).cast("date"))
+    days = bounds.select(
+        F.explode(F.when(first <= last, F.sequence(first, last, F.expr("interval 1 day")))).alias("date_actual")
     )
     day = F.col("date_actual")
     return days.select(

@@ -57,16 +57,6 @@ def with_calendar(facts: DataFrame, dim_date: DataFrame, columns: list[str]) ->
     return facts.join(F.broadcast(dim_date.select("date_id", *columns)), "date_id", "left")
 
 
-def not_matched(
-    batch: DataFrame, target: DataFrame, key: str, key_bytes: int | None = None
-) -> DataFrame:
-    """Rows of the batch whose key is not in the target yet.
-
-    With a known, small total size of the batch keys they are broadcast to the target, so
-    the target is scanned (one column) but never shuffled. Otherwise Spark picks the join.
-    """
-    keys = batch.select(key)
-    if key_bytes is not None and key_bytes <= settings.BROADCAST_KEY_BYTES:
-        keys = F.broadcast(keys)
-    taken = target.select(key).join(keys, key, "left_semi").distinct()
-    return batch.join(taken, key, "left_anti")
+def not_matched(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows of the batch whose key is not in the target yet."""
+    return batch.join(target.select(key), key, "left_anti")

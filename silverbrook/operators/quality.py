@@ -19,6 +19,7 @@ def click_rules() -> dict[str, Column]:
         "missing_event_type": ~V.present("event_type"),
         "unknown_device": C.known_device() == settings.UNKNOWN_DEVICE,
         "bad_timestamp": V.parse_ts("timestamp").isNull(),
+        "implausible_timestamp": V.parse_ts("timestamp").isNotNull() & ~C.plausible(V.parse_ts("timestamp")),
     }
 
 
@@ -31,6 +32,8 @@ def order_rules() -> dict[str, Column]:
         "repaired_state": F.coalesce(C.state_code() != F.col("state"), F.lit(False)),
         "padded_category": F.coalesce(F.trim("category") != F.col("category"), F.lit(False)),
         "missing_purchase_time": F.col("purchase_timestamp").isNull(),
+        "implausible_purchase_time": F.col("purchase_timestamp").isNotNull()
+        & ~C.plausible(F.timestamp_micros("purchase_timestamp")),
     }
 
 

@@ -80,7 +80,8 @@ CTES: dict[str, tuple[list[str], str]] = {
           ts AS ingested_at
         FROM raw_clicks
         WHERE event_id IS NOT NULL AND length(session_id) > 0 AND length(event_type) > 0
-          AND TRY_CAST(timestamp_text AS TIMESTAMP) IS NOT NULL""",
+          AND TRY_CAST(timestamp_text AS TIMESTAMP) >= TIMESTAMP '1900-01-01'
+          AND TRY_CAST(timestamp_text AS TIMESTAMP) < TIMESTAMP '2200-01-01'""",
     ),
     "order_lines": (
         [],
@@ -121,7 +122,12 @@ CTES: dict[str, tuple[list[str], str]] = {
           s.state, coalesce(s.region, 'Desconhecido') AS region, l_shipdate AS ingested_at,
           cdc_ts_ms, cdc_operation
         FROM (SELECT * FROM raw_orders WHERE TRY_CAST(price AS DOUBLE) > 0
-              AND TRY_CAST(freight_value AS DOUBLE) >= 0) r
+              AND TRY_CAST(price AS DOUBLE) < 1e15
+              AND round(TRY_CAST(price AS DOUBLE), 2) = TRY_CAST(price AS DOUBLE)
+              AND TRY_CAST(freight_value AS DOUBLE) >= 0 AND TRY_CAST(freight_value AS DOUBLE) < 1e15
+              AND round(TRY_CAST(freight_value AS DOUBLE), 2) = TRY_CAST(freight_value AS DOUBLE)
+              AND make_timestamp(purchase_timestamp) >= TIMESTAMP '1900-01-01'
+              AND make_timestamp(purchase_timestamp) < TIMESTAMP '2200-01-01') r
           LEFT JOIN states s ON s.state = upper(trim(r.state))""",
     ),
     "silver_orders": (
@@ -162,7 +168,7 @@ CTES: dict[str, tuple[list[str], str]] = {
             TRY_CAST(regexp_replace(rating, '[^0-9\\-]', '', 'g') AS INTEGER) AS rating,
             regexp_extract(raw_content, '(?m)^TITLE: (.*)$', 1) AS title,
             {_fixed(
-                "trim(regexp_extract(raw_content, '---\\n(?:TITLE:[^\\n]*\\n)?\\n?([\\s\\S]*)', 1))"
+                f"trim(regexp_extract(raw_content, '{settings.REVIEW_MESSAGE}', 1))"
             )} AS message,
             ingested_at, doc_id
           FROM raw_reviews)
@@ -271,6 +277,11 @@ CTES: dict[str, tuple[list[str], str]] = {
               GROUP BY purchase_date, category)
           WINDOW d AS (PARTITION BY category ORDER BY purchase_date))""",
     ),
+    "monthly_sales": (
+        ["fact_sales"],
+        """SELECT CAST(date_trunc('month', purchase_date) AS DATE) AS purchase_date FROM fact_sales
+        WHERE purchase_date IS NOT NULL""",
+    ),
     "recent_executive": (
         ["executive"],
         """SELECT * FROM executive
@@ -381,7 +392,7 @@ def _quality(source: str, table: str, rules: dict[str, str], key: str) -> str:
     )
 
 
-_MESSAGE = "trim(regexp_extract(raw_content, '---\\n(?:TITLE:[^\\n]*\\n)?\\n?([\\s\\S]*)', 1))"
+_MESSAGE = f"trim(regexp_extract(raw_content, '{settings.REVIEW_MESSAGE}', 1))"
 _CODE = f"CASE WHEN list_contains({STATES}, upper(trim(state))) THEN upper(trim(state)) END"
 _RATING = "TRY_CAST(regexp_replace(rating, '[^0-9\\-]', '', 'g') AS INTEGER)"
 
@@ -397,6 +408,8 @@ QUALITY = " UNION ALL ".join(
                 "unknown_device":
                     "device IS NULL OR device NOT IN ('mobile', 'desktop', 'tablet')",
                 "bad_timestamp": "TRY_CAST(timestamp_text AS TIMESTAMP) IS NULL",
+                "implausible_timestamp": "TRY_CAST(timestamp_text AS TIMESTAMP) < TIMESTAMP '1900-01-01'"
+                " OR TRY_CAST(timestamp_text AS TIMESTAMP) >= TIMESTAMP '2200-01-01'",
             },
             "event_id",
         ),
@@ -405,12 +418,18 @@ QUALITY = " UNION ALL ".join(
             "raw_orders",
             {
                 "missing_id": "order_id IS NULL OR customer_id IS NULL",
-                "bad_price": "coalesce(TRY_CAST(price AS DOUBLE), 0) <= 0",
-                "bad_freight": "coalesce(TRY_CAST(freight_value AS DOUBLE), -1) < 0",
+                "bad_price": "NOT coalesce(TRY_CAST(price AS DOUBLE) > 0 AND "
+                "TRY_CAST(price AS DOUBLE) < 1e15 AND "
+                "round(TRY_CAST(price AS DOUBLE), 2) = TRY_CAST(price AS DOUBLE), false)",
+                "bad_freight": "NOT coalesce(TRY_CAST(freight_value AS DOUBLE) >= 0 AND "
+                "TRY_CAST(freight_value AS DOUBLE) < 1e15 AND "
+                "round(TRY_CAST(freight_value AS DOUBLE), 2) = TRY_CAST(freight_value AS DOUBLE), false)",
                 "bad_state": f"({_CODE}) IS NULL",
                 "repaired_state": f"({_CODE}) <> state",
                 "padded_category": "trim(category) <> category",
                 "missing_purchase_time": "purchase_timestamp IS NULL",
+                "implausible_purchase_time": "make_timestamp(purchase_timestamp) < TIMESTAMP '1900-01-01'"
+                " OR make_timestamp(purchase_timestamp) >= TIMESTAMP '2200-01-01'",
             },
             "order_id",
         ),
@@ -484,6 +503,81 @@ SQL: dict[str, str] = {
     "stream_silver_orders": with_ctes(
         "SELECT * EXCLUDE (ingested_at) FROM silver_orders", "silver_orders"
     ),
+    "stream_silver_orders_many_batches": with_ctes(
+        "SELECT * EXCLUDE (ingested_at) FROM silver_orders", "silver_orders"
+    ),
+    "land_review_files": with_ctes(
+        """SELECT review_id, order_id, customer_id, rating,
+          regexp_extract(raw_content, '(?m)^TITLE: (.*)$', 1) AS title, raw_content FROM raw_reviews""",
+        "raw_reviews",
+    ),
+    "stream_audit": with_ctes(
+        """SELECT 'land_events' AS step, 'SUCCESS' AS status, count(*) AS records FROM raw_clicks
+          WHERE event_type IS NULL OR event_type <> 'order_placed'
+        UNION ALL SELECT 'silver_clickstream', 'SUCCESS', count(*) FROM raw_clicks
+          WHERE length(session_id) > 0 AND length(event_type) > 0 AND event_type <> 'order_placed'
+            AND TRY_CAST(timestamp_text AS TIMESTAMP) >= TIMESTAMP '1900-01-01'
+            AND TRY_CAST(timestamp_text AS TIMESTAMP) < TIMESTAMP '2200-01-01'
+        UNION ALL SELECT 'again', 'SUCCESS', 0 UNION ALL SELECT 'missing_input', 'SUCCESS', 0""",
+        "raw_clicks",
+    ),
+    "preview_sales": with_ctes(
+        """SELECT order_id, customer_id, product_id, category, total_value, purchase_date
+        FROM fact_sales ORDER BY order_id LIMIT 100""",
+        "fact_sales",
+    ),
+    "replaced_days": with_ctes(
+        """SELECT purchase_date, count(*) AS orders, CASE WHEN purchase_date < (SELECT
+            CAST(min(purchase_date) + CAST(floor(date_diff('day', min(purchase_date), max(purchase_date)) / 2)
+            AS INTEGER) AS DATE) FROM monthly_sales) THEN count(*) ELSE 0 END AS written_again
+        FROM monthly_sales GROUP BY purchase_date""",
+        "monthly_sales",
+    ),
+    "managed_tables": with_ctes(
+        """SELECT 'clickstream' AS name, count(*) AS n_rows FROM silver_clickstream
+        UNION ALL SELECT 'orders', count(*) FROM silver_orders
+        UNION ALL SELECT 'reviews', count(*) FROM silver_reviews""",
+        "silver_clickstream", "silver_orders", "silver_reviews",
+    ),
+    "reference_csv": """SELECT CAST(doc_id AS VARCHAR) AS review_id,
+        CAST(1 + (doc_id // 3) % 5 AS VARCHAR) AS review_score,
+        CASE WHEN doc_id % 2 = 0 THEN ' Review ' || doc_id END AS review_comment_title,
+        CASE WHEN doc_id % 37 = 0 THEN '   ' ELSE text END AS review_comment_message
+      FROM documents""",
+    "time_series_leak_free": with_ctes(
+        f"""SELECT * FROM (SELECT category AS category_en, purchase_date, orders_count, total_revenue,
+            isodow(purchase_date) AS day_of_week, isodow(purchase_date) >= 6 AS is_weekend,
+            month(purchase_date) AS month, quarter(purchase_date) AS quarter,
+            lag(orders_count, 1) OVER d AS lag_1, lag(orders_count, 7) OVER d AS lag_7,
+            lag(orders_count, 14) OVER d AS lag_14,
+            round(CAST(sum(orders_count) OVER w AS DOUBLE) / count(*) OVER w, 6) AS rolling_7d_mean
+          FROM (SELECT category, purchase_date, count(DISTINCT order_id) AS orders_count,
+              {_total('total_value')} AS total_revenue FROM fact_sales GROUP BY ALL)
+          WINDOW d AS (PARTITION BY category ORDER BY purchase_date),
+            w AS (PARTITION BY category ORDER BY purchase_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+        WHERE lag_14 IS NOT NULL""",
+        "fact_sales",
+    ),
+    "risk_labels": with_ctes(
+        """SELECT risk_label, count(*) AS total_customers, round(avg(p), 6) AS avg_churn_prob,
+          round(avg(recency), 6) AS avg_recency, round(avg(frequency), 6) AS avg_frequency,
+          round(avg(monetary), 6) AS avg_monetary, 0.5::DOUBLE AS model_f1, 0.75::DOUBLE AS model_auc
+        FROM (SELECT *, CASE WHEN p > 0.7 THEN 'high' WHEN p > 0.4 THEN 'medium' ELSE 'low' END AS risk_label
+              FROM (SELECT *, least(recency / 365.0::DOUBLE, 1.0) AS p FROM churn_features))
+        GROUP BY risk_label""",
+        "churn_features",
+    ),
+    "risk_label_counts": with_ctes(
+        """SELECT count(*) FILTER (WHERE p > 0.7) AS high_risk, count(*) FILTER (WHERE p <= 0.4) AS low_risk
+        FROM (SELECT least(recency / 365.0::DOUBLE, 1.0) AS p FROM churn_features)""",
+        "churn_features",
+    ),
+    "run_totals": with_ctes(
+        f"""SELECT 'SUCCESS' AS status, count(*) AS steps, CAST(sum(records) AS BIGINT) AS records,
+          true AS timed FROM ({_AUDIT})""",
+        "silver_clickstream", "silver_orders", "silver_reviews", "calendar", "states",
+        "fact_sales", "fact_clickstream", "fact_reviews",
+    ),
     "stream_silver_clickstream": with_ctes(
         """SELECT event_id, session_id, user_id, event_type,
           TRY_CAST(timestamp_text AS TIMESTAMP) AS event_ts,
@@ -492,7 +586,8 @@ SQL: dict[str, str] = {
           category, product_id, price, coalesce(state, city) AS location
         FROM raw_clicks
         WHERE length(session_id) > 0 AND length(event_type) > 0 AND event_type <> 'order_placed'
-          AND TRY_CAST(timestamp_text AS TIMESTAMP) IS NOT NULL""",
+          AND TRY_CAST(timestamp_text AS TIMESTAMP) >= TIMESTAMP '1900-01-01'
+          AND TRY_CAST(timestamp_text AS TIMESTAMP) < TIMESTAMP '2200-01-01'""",
         "raw_clicks",
     ),
     "stream_silver_reviews": _all("silver_reviews"),

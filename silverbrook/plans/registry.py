@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverbrook import schemas, settings
+from silverbrook.functions import values as V
 from silverbrook.operators import (
+    audit,
     catalog,
     demand,
     features,
@@ -20,10 +22,11 @@ from silverbrook.operators import (
     reports,
     sessions,
 )
+from silverbrook.operators.audit import RunLog
 from silverbrook.plans import testbed as tb
 from silverbrook.plans.staging import Tables
 from silverbrook.sources import changes, events, tables
-from silverbrook.streaming import jobs, sinks
+from silverbrook.streaming import jobs, sinks, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,17 +113,24 @@ def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 @query
 def insert_new_keys(spark, sf_dir):
-    """Two batches: first arrivals, then updates. Keys of the first batch keep their row."""
+    """Two batches: arrivals and snapshot reads, then updates; a compaction; the updates again.
+
+    Keys of the first batch keep their row, and the repeated batch changes nothing.
+    """
     raw = tb.raw_orders(spark, sf_dir)
     root = _scratch(spark, sf_dir, "insert_new_keys")
-    for number, batch in enumerate(
-        [raw.filter("cdc_operation = 'c'"), raw.filter("cdc_operation = 'u'")]
-    ):
-        sinks.insert_new(
-            tb.cleaning.silver_orders(batch), number, root,
-            schemas.SILVER["orders"], "order_id", tb.order_latest(),
-        )
-    stored = sinks.stored_batches(spark, root, schemas.SILVER["orders"])
+    about = (schemas.VERSIONED["orders"], "order_id", tb.order_latest(), "first")
+    batches = [raw.filter("cdc_operation in ('c', 'r')"), raw.filter("cdc_operation = 'u'")]
+
+    def put(number: int) -> None:
+        rows = tb.cleaning.silver_orders(batches[number])
+        upsert.write_batch(rows, number, root, "order_id", tb.order_latest())
+
+    put(0)
+    put(1)
+    upsert.compact(spark, root, *about, after=1)
+    put(1)
+    stored = upsert.current(spark, root, *about).withColumnRenamed(upsert.SEEN_IN, "batch_id")
     return stored.select("batch_id", "order_id", "product_id", "seller_id", "total_value")
 
 
@@ -134,7 +144,31 @@ def stream_silver_orders(spark, sf_dir):
     jobs.silver_orders(
         spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver", tb.order_latest()
     )
-    return tables.table(spark, f"{root}/silver", schemas.SILVER["orders"]).drop("ingested_at")
+    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_latest()).drop("ingested_at")
+
+
+@query
+def stream_silver_orders_many_batches(spark, sf_dir):
+    """The versions of an order lie in different files, and every file is a batch of its own."""
+    root = _scratch(spark, sf_dir, "orders_many")
+    tb.raw_orders(spark, sf_dir).repartition(6, "cdc_ts_ms", "product_id").write.parquet(f"{root}/bronze")
+    jobs.silver_orders(
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck", tb.order_latest(), files=1
+    )
+    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_latest()).drop("ingested_at")
+
+
+@query
+def land_review_files(spark, sf_dir):
+    """Every review document as a file of its own, picked up from an inbox and landed."""
+    root = _scratch(spark, sf_dir, "review_files")
+    files = tb.review_documents(spark, sf_dir).select("value", "file_path")
+    files.repartition("file_path").write.partitionBy("file_path").text(f"{root}/inbox")
+    jobs.land_reviews(spark, f"{root}/inbox", f"{root}/bronze", f"{root}/ck")
+    landed = tables.read_bronze(spark, "reviews", f"{root}/bronze", stream=False)
+    # Spark's text files end with a line break.
+    return landed.select("review_id", "order_id", "customer_id", "rating", "title",
+                         F.regexp_replace("raw_content", r"\n\z", "").alias("raw_content"))
 
 
 @query
@@ -154,7 +188,29 @@ def stream_silver_reviews(spark, sf_dir):
     root = _scratch(spark, sf_dir, "reviews")
     tb.raw_reviews(spark, sf_dir).write.parquet(f"{root}/bronze")
     jobs.silver_reviews(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver")
-    return tables.table(spark, f"{root}/silver", schemas.SILVER["reviews"])
+    return jobs.stored(spark, jobs.REVIEWS, f"{root}/silver")
+
+
+@query
+def stream_audit(spark, sf_dir):
+    """What the streams of a run report: rows landed, rows kept, and nothing for a missing input."""
+    root = _scratch(spark, sf_dir, "audit")
+    tb.click_messages(spark, sf_dir).write.text(f"{root}/topic")
+    log = RunLog("streams")
+    steps = {
+        "land_events": lambda: jobs.land_events(
+            events.message_files(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/ck_bronze"),
+        "silver_clickstream": lambda: jobs.silver_clickstream(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver"),
+        "again": lambda: jobs.silver_clickstream(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver"),
+        "missing_input": lambda: jobs.silver_orders(
+            spark, f"{root}/none", f"{root}/orders", f"{root}/ck_orders"),
+    }
+    for name, work in steps.items():
+        log.step(name, work)
+    log.append(spark, f"{root}/log")
+    return spark.read.schema(schemas.AUDIT).parquet(f"{root}/log").select("step", "status", "records")
 
 
 # -- star schema -------------------------------------------------------------------------
@@ -201,7 +257,48 @@ def fact_reviews(t):
 
 @on_tables
 def preview_sales(t):
-    return tables.preview(t("fact_sales"))
+    """The first hundred orders by id."""
+    return joins.with_category(tables.preview(t("fact_sales").orderBy("order_id")), t("dim_category")).select(
+        "order_id", "customer_id", "product_id", "category", "total_value", "purchase_date")
+
+
+@on_tables
+def replaced_days(t):
+    """Facts stored by date, here the month's first; the earlier half is written again, the rest stays."""
+    root = f"{t.root}/runs/by_day-{next(_run_numbers)}"
+    sales = t("fact_sales").where("purchase_date is not null").withColumn(
+        "purchase_date", F.trunc("purchase_date", "month"))
+    sinks.overwrite_partitioned(sales, root, "purchase_date")
+    middle = sales.agg(F.expr("date_add(min(purchase_date), int(datediff(max(purchase_date), min(purchase_date)) / 2))")
+                       .alias("d")).scalar()
+    early = sales.where(F.col("purchase_date") < middle).withColumn("seller_id", F.lit("again"))
+    sinks.overwrite_partitioned(early, root, "purchase_date", replace_all=False)
+    stored = t.spark.read.schema(schemas.GOLD["fact_sales"]).parquet(root)
+    again = F.count(F.when(F.col("seller_id") == "again", 1)).alias("written_again")
+    return stored.groupBy("purchase_date").agg(F.count("*").alias("orders"), again)
+
+
+@on_tables
+def managed_tables(t):
+    """Tables made in a catalogue database and filled; making them again keeps their rows."""
+    database = f"silver_{next(_run_numbers)}"
+    sinks.ensure_tables(t.spark, database, f"{t.root}/runs/{database}")
+    parts = []
+    for name in schemas.SILVER:
+        t(f"silver_{name}").select(schemas.SILVER[name].fieldNames()).write.insertInto(f"{database}.{name}")
+        sinks.ensure_tables(t.spark, database)
+        stored = t.spark.table(f"{database}.{name}").agg(F.count("*").alias("n_rows"))
+        parts.append(stored.select(F.lit(name).alias("name"), "n_rows"))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query
+def reference_csv(spark, sf_dir):
+    """Review rows through CSV files with quotes and line breaks in their texts."""
+    root = _scratch(spark, sf_dir, "csv")
+    tb.review_rows(spark, sf_dir).write.option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root)
+    return tables.read_reference_csv(spark, root)
 
 
 # -- marts -------------------------------------------------------------------------------
@@ -422,6 +519,32 @@ def time_series_features(t):
     ).drop("category_id")
 
 
+@on_tables
+def time_series_leak_free(t):
+    """The same features with the mean of the seven rows before."""
+    rows = features.time_series_features(
+        t("fact_sales"), t("dim_category"), t("dim_date"), leak_free=True, unique_keys=True)
+    return rounded(rows.drop("category_id"), "rolling_7d_mean")
+
+
+@on_tables
+def risk_labels(t):
+    """Labels and summary of a score that any engine computes: its recency over a year."""
+    scored = t("ml_churn_features").withColumns({
+        "churn_probability": F.least(F.col("recency") / 365.0, F.lit(1.0)),
+        "model_f1": F.lit(0.5), "model_auc": F.lit(0.75)})
+    labelled = scored.withColumn("risk_label", V.risk_label("churn_probability"))
+    return rounded(reports.churn_summary(labelled), "avg_churn_prob", "avg_recency", "avg_frequency", "avg_monetary")
+
+
+@on_tables
+def risk_label_counts(t):
+    """High and low risk customers of the same score."""
+    scored = t("ml_churn_features").withColumn("churn_probability", F.least(F.col("recency") / 365.0, F.lit(1.0)))
+    labelled = scored.withColumn("risk_label", V.risk_label("churn_probability"))
+    return reports.risk_counts(labelled.groupBy("risk_label").agg(F.count("*").alias("total_customers")))
+
+
 @on_tables
 def chronological_cut(t):
     cut = features.chronological_cut(t("ml_demand_features"))
@@ -501,8 +624,21 @@ def session_end_reasons(spark, sf_dir):
 
 @on_tables
 def run_audit(t):
-    """Status and records of every step up to the facts."""
+    """Status and records of every step up to the facts, from the stored audit table."""
+    return _audit(t).select("step", "status", "records")
+
+
+@on_tables
+def run_totals(t):
+    """Status, steps and records of the run, from the stored audit table."""
+    return audit.run_totals(_audit(t)).select(
+        "status", "steps", "records", (F.col("seconds") > 0).alias("timed"))
+
+
+def _audit(t: Tables) -> DataFrame:
+    """Builds what is missing, stores the log and reads it back."""
     for name in AUDITED:
         t(name)
-    rows = t.log.frame(t.spark).filter(F.col("step").isin(AUDITED))
-    return rows.select("step", "status", "records")
+    path = f"{t.root}/runs/audit-{next(_run_numbers)}"
+    t.log.append(t.spark, path)
+    return t.spark.read.schema(schemas.AUDIT).parquet(path).filter(F.col("step").isin(AUDITED))

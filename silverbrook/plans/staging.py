@@ -56,12 +56,14 @@ class Tables:
             rows = step.build(self)
             made.append(rows)
             if step.partition:
-                return sinks.overwrite_partitioned(rows, self.path(name), step.partition)
-            if step.cluster:
-                return sinks.overwrite_clustered(rows, self.path(name), step.cluster)
-            return sinks.overwrite(rows, self.path(name))
-
-        self.log.step(name, work)
+                records = sinks.overwrite_partitioned(rows, self.path(name), step.partition)
+            elif step.cluster:
+                records = sinks.overwrite_clustered(rows, self.path(name), step.cluster)
+            else:
+                records = sinks.overwrite(rows, self.path(name))
+            if step.check:
+                step.check(self.spark.read.schema(rows.schema).parquet(self.path(name)))
+            return records
+
+        self.log.step(name, work)  # a failed check is a failed step, and the table stays unknown
         self._schemas[name] = made[0].schema
-        if step.check:
-            step.check(self(name))

@@ -70,6 +70,12 @@ SILVER = {
     ),
 }
 
+# Silver tables as streams store them: with the columns that say which of two rows is newer.
+VERSIONED = {
+    "orders": T.StructType([*SILVER["orders"].fields, T.StructField("cdc_ts_ms", T.LongType())]),
+    "reviews": SILVER["reviews"],
+}
+
 GOLD = {
     "dim_date": struct(
         "date_id int, date_actual date, year int, quarter int, month int, week int, "
@@ -106,4 +112,3 @@ AUDIT = struct(
     "run_id string, step string, status string, records bigint, seconds double, "
     "finished_at timestamp"
 )
-MODEL_RUNS = struct("run_name string, kind string, name string, value string, logged_at timestamp")

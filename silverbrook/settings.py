@@ -62,6 +62,9 @@ MOJIBAKE: list[tuple[str, str]] = [
     ("Ãµ", "õ"),
 ]
 
+# Fixed value: the text of a review after the ``---`` line, without one title line and one blank line.
+REVIEW_MESSAGE = r"---\n(?:TITLE:[^\n]*\n)?\n?([\s\S]*)"
+
 # Order of event types in the funnel report.
 JOURNEY = [
     "session_start", "search", "product_view",
@@ -78,7 +81,7 @@ SESSION_STEPS = [
 ]
 END_REASONS = ["bounce", "no_cart", "cart_abandon", "checkout_abandon", "completed"]
 
-# Thresholds.
+# Thresholds of labels and reports.
 POSITIVE_FROM = 4
 NEUTRAL_AT = 3
 CHURN_DAYS = 30
@@ -90,18 +93,20 @@ DIM_DATE_END = "2030-12-31"
 DASHBOARD_DAYS = {"executive": 90, "sales_performance": 90, "funnel": 7, "reviews": 90}
 
 # Stream and bronze limits.
-MAX_FILES_PER_TRIGGER = 50
+# Input bytes of one micro-batch; a job can ask for other bounds.
+TRIGGER_BYTES = 64 * 1024 * 1024 * 1024
+# Micro-batches of a keyed table between two compactions.
+COMPACT_AFTER = 64
 BRONZE_TRIGGER = "30 seconds"
 BRONZE_FILE_ROWS = 5_000_000
 # Shuffle bytes per output task when a table is rebalanced for writing.
 WRITE_TASK_BYTES = 512 * 1024 * 1024
 
-# Keys of one micro-batch are broadcast against the target only up to this size.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-# A calendar is broadcast only up to this many days (about 270 years).
-MAX_CALENDAR_DAYS = 100_000
+# Dates outside are taken as errors: cleaning rejects them, calendars never reach beyond.
+EARLIEST_DATE = "1900-01-01"
+LATEST_DATE = "2199-12-31"
 
-# Models.
+# Features and sizes of the models.
 CHURN_FEATURES = ["recency", "frequency", "monetary", "avg_rating"]
 CHURN_TREES = 100
 SEED = 42

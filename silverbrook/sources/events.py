@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from silverbrook import schemas, settings
 from silverbrook.functions import values as V
+from silverbrook.sources.tables import bounded
 
 ISO_WITH_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -33,9 +34,7 @@ def message_stream(
 
 def message_files(spark: SparkSession, path: str) -> DataFrame:
     """Files with one message per line as a stream with a string column ``value``."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", settings.MAX_FILES_PER_TRIGGER).text(path)
-    )
+    return bounded(spark.readStream).text(path)
 
 
 def read_events(messages: DataFrame, source: str = "kafka") -> DataFrame:

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverbrook import settings
 from silverbrook.functions import values as V
 from silverbrook.sources.events import ingestion_time
+from silverbrook.sources.tables import bounded
 
 
 def review_files(spark: SparkSession, path: str) -> DataFrame:
     """New ``*.txt`` files as a stream, one row per file; the checkpoint remembers those seen."""
     return (
-        spark.readStream.option("pathGlobFilter", "*.txt")
+        bounded(spark.readStream)
+        .option("pathGlobFilter", "*.txt")
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", settings.MAX_FILES_PER_TRIGGER)
         .text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("file_path"))
     )

@@ -8,31 +8,29 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from silverbrook import schemas, settings
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """True when at least one Parquet file lies under the folder."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-            .select("path")
-        )
-        return not files.isEmpty()
-    except AnalysisException:
-        return False
+def is_missing(error: AnalysisException) -> bool:
+    """True when a read failed because there is no such folder."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "DATA_SOURCE_PATH_NOT_FOUND")
 
 
-def read_bronze(spark: SparkSession, name: str, path: str, stream: bool = True) -> DataFrame:
-    """A bronze table, as a stream with a bounded number of files per batch or as a whole."""
+def bounded(reader: DataStreamReader, files: int | None = None) -> DataStreamReader:
+    """Bound a micro-batch by bytes, or by a number of files."""
+    if files:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", settings.TRIGGER_BYTES)
+
+
+def read_bronze(
+    spark: SparkSession, name: str, path: str, stream: bool = True, files: int | None = None
+) -> DataFrame:
+    """A bronze table, as a stream of bounded batches or as a whole."""
     schema = schemas.BRONZE[name]
-    reader = spark.readStream if stream else spark.read
-    if stream:
-        reader = reader.option("maxFilesPerTrigger", settings.MAX_FILES_PER_TRIGGER)
+    reader = bounded(spark.readStream, files) if stream else spark.read
     rows = reader.schema(schema).option("basePath", path).parquet(path)
     return rows.select(schema.fieldNames())
 

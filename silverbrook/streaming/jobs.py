@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from silverbrook import schemas
 from silverbrook.operators import cleaning
 from silverbrook.operators.dedup import ORDER_LATEST, REVIEW_LATEST, descending
 from silverbrook.sources import changes, events, reviews, tables
-from silverbrook.streaming import sinks
+from silverbrook.streaming import sinks, upsert
 
 
 def land_events(messages: DataFrame, path: str, checkpoint: str) -> int:
@@ -31,46 +35,71 @@ def land_reviews(spark: SparkSession, inbox: str, path: str, checkpoint: str) ->
 
 def silver_clickstream(spark: SparkSession, bronze: str, path: str, checkpoint: str) -> int:
     """Append clean events. Repeated event ids are kept."""
-    if not tables.has_data(spark, bronze):
-        return 0
-    rows = cleaning.silver_clickstream(tables.read_bronze(spark, "clickstream", bronze))
-    return sinks.drain(spark, sinks.append_writer(rows, path, checkpoint))
+    try:
+        rows = tables.read_bronze(spark, "clickstream", bronze)
+    except AnalysisException as error:
+        if tables.is_missing(error):
+            return 0
+        raise
+    return sinks.drain(spark, sinks.append_writer(cleaning.silver_clickstream(rows), path, checkpoint))
+
+
+@dataclass(frozen=True)
+class Keyed:
+    """A silver table with one row per key."""
+
+    name: str
+    key: str
+    clean: Callable[[DataFrame], DataFrame]
+    newest: tuple[str, ...]
+
+    def order(self) -> list[Column]:
+        return descending(list(self.newest))
+
+
+ORDERS = Keyed("orders", "order_id", cleaning.silver_orders, tuple(ORDER_LATEST))
+REVIEWS = Keyed("reviews", "review_id", cleaning.silver_reviews, tuple(REVIEW_LATEST))
 
 
 def _upsert_job(
-    spark: SparkSession, name: str, clean, key: str, order: list[Column], bronze, path, checkpoint
+    spark: SparkSession, what: Keyed, bronze: str, path: str, checkpoint: str,
+    order: list[Column] | None, mode: str, files: int | None,
 ) -> int:
-    if not tables.has_data(spark, bronze):
-        return 0
-    counts: dict[int, int] = {}
-    writer = sinks.insert_new_writer(
-        clean(tables.read_bronze(spark, name, bronze)),
-        path,
-        checkpoint,
-        schemas.SILVER[name],
-        key,
-        order,
-        counts,
-    )
-    sinks.drain(spark, writer)
+    try:
+        raw = tables.read_bronze(spark, what.name, bronze, files=files)
+    except AnalysisException as error:
+        if tables.is_missing(error):
+            return 0
+        raise
+    order, counts = order or what.order(), {}
+    rows = what.clean(raw).select(schemas.VERSIONED[what.name].fieldNames())
+    sinks.drain(spark, upsert.writer(rows, path, checkpoint, what.key, order, counts))
+    upsert.compact(spark, path, schemas.VERSIONED[what.name], what.key, order, mode)
     return sum(counts.values())
 
 
 def silver_orders(
-    spark: SparkSession, bronze: str, path: str, checkpoint: str, order: list[Column] | None = None
+    spark: SparkSession, bronze: str, path: str, checkpoint: str,
+    order: list[Column] | None = None, mode: str = "latest", files: int | None = None,
 ) -> int:
-    """Insert orders not seen before: the latest change within a batch, the first across them."""
-    return _upsert_job(
-        spark, "orders", cleaning.silver_orders, "order_id",
-        order or descending(ORDER_LATEST), bronze, path, checkpoint,
-    )
+    """Keep the latest change of every order, whatever batches its changes come in.
+
+    ``mode="first"`` keeps the first batch's row instead. Returns the rows its batches wrote.
+    """
+    return _upsert_job(spark, ORDERS, bronze, path, checkpoint, order, mode, files)
 
 
 def silver_reviews(
-    spark: SparkSession, bronze: str, path: str, checkpoint: str, order: list[Column] | None = None
+    spark: SparkSession, bronze: str, path: str, checkpoint: str,
+    order: list[Column] | None = None, mode: str = "latest", files: int | None = None,
 ) -> int:
-    """Insert reviews not seen before."""
-    return _upsert_job(
-        spark, "reviews", cleaning.silver_reviews, "review_id",
-        order or descending(REVIEW_LATEST), bronze, path, checkpoint,
-    )
+    """Keep the latest version of every review; see :func:`silver_orders`."""
+    return _upsert_job(spark, REVIEWS, bronze, path, checkpoint, order, mode, files)
+
+
+def stored(
+    spark: SparkSession, what: Keyed, path: str, order: list[Column] | None = None, mode: str = "latest"
+) -> DataFrame:
+    """The silver table as it stands, one row per key."""
+    rows = upsert.current(spark, path, schemas.VERSIONED[what.name], what.key, order or what.order(), mode)
+    return rows.select(schemas.SILVER[what.name].fieldNames())

@@ -6,18 +6,12 @@ import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from silverbrook import schemas, settings
-from silverbrook.operators import joins
-from silverbrook.operators.dedup import latest_per_key
-from silverbrook.sources import tables
-
-BATCH = "batch_id"
 
 
 class _Rows(StreamingQueryListener):
@@ -107,67 +101,6 @@ def append_writer(rows: DataFrame, path: str, checkpoint: str):
     )
 
 
-# -- insert-only upsert ------------------------------------------------------------------
-
-
-def insert_new(
-    batch: DataFrame,
-    batch_id: int,
-    path: str,
-    schema: T.StructType,
-    key: str,
-    order: list[Column],
-) -> int:
-    """Insert the latest row per key, unless an earlier batch already holds the key.
-
-    A batch owns the folder ``batch_id=<id>`` and only looks at folders with smaller ids, so
-    running it again replaces its own rows and gives the same table. The table and the
-    stream's checkpoint belong together, as batch ids come from the checkpoint.
-    """
-    if batch.isEmpty():
-        return 0
-    spark = batch.sparkSession
-    fresh = latest_per_key(batch, key, order).select(schema.fieldNames())
-    probe = batch_id > 0 and tables.has_data(spark, path)
-    if probe:
-        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
-        size = fresh.agg(F.sum(F.octet_length(key) + 16).alias("b")).first()["b"] or 0
-        earlier = stored_batches(spark, path, schema).filter(F.col(BATCH) < batch_id)
-        new = joins.not_matched(fresh, earlier, key, size)
-    else:
-        new = fresh
-    observed = Observation()
-    new.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-        f"{path}/{BATCH}={batch_id}"
-    )
-    if probe:
-        fresh.unpersist()
-    return observed.get["rows"]
-
-
-def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written batch by batch, with the batch id of each row."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(path)
-
-
-def insert_new_writer(
-    rows: DataFrame,
-    path: str,
-    checkpoint: str,
-    schema: T.StructType,
-    key: str,
-    order: list[Column],
-    counts: dict[int, int],
-):
-    """Stream into :func:`insert_new`; ``counts`` receives the rows inserted per batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        counts[batch_id] = insert_new(batch, batch_id, path, schema, key, order)
-
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-
-
 # -- batch tables ------------------------------------------------------------------------
 
 

@@ -76,7 +76,8 @@ def test_bad_event_time_is_dropped(spark):
     assert [(r.event_id, r.event_ts) for r in got] == [("3", dt.datetime(2024, 5, 1, 10))]
 
 
-@pytest.mark.parametrize("price", ["0.00", "-1", "abc", "", None])
+@pytest.mark.parametrize(
+    "price", ["0.00", "-1", "abc", "", None, "NaN", "Infinity", "1e17", "0.004", "12.345", "1e400"])
 def test_bad_price(spark, price):
     assert clean(spark, "orders", [order(price=price)]) == []
 

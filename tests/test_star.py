@@ -1,11 +1,11 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from silverbrook.operators import dimensions, facts, marts, reports
 from silverbrook.operators.dedup import descending, latest_per_key
+from silverbrook.plans.staging import Step, Tables
 
 DAY = dt.date(2024, 1, 1)
 
@@ -35,10 +35,22 @@ def test_calendar(spark):
     assert tuple(got) == (20210103, dt.date(2021, 1, 3), 2021, 1, 1, 53, 7, "Sunday", "January",
                           True)
     with pytest.raises(ValueError):
-        dimensions.dim_date(spark, "0001-01-01", "9999-01-01")
+        dimensions.dim_date(spark, "2020-01-02", "2020-01-01")
+    # One absurd date neither stops a run nor makes the calendar too long to broadcast.
     long = spark.sql("select date'0001-01-01' as first_day, date'9999-01-01' as last_day")
-    with pytest.raises(PySparkException):
-        dimensions.calendar(long).count()
+    days = dimensions.calendar(long)
+    assert days.count() == (dt.date(2199, 12, 31) - dt.date(1900, 1, 1)).days + 1
+    assert dimensions.calendar(spark.sql("select date'9000-01-01' as first_day, date'9999-01-01' as last_day")).isEmpty()
+
+
+def test_failed_check_stays_failed(spark, tmp_path):
+    """A table that fails its check is not returned by the next call either, and the audit says so."""
+    bad = Step(lambda t: spark.range(3).withColumn("id", F.lit(7)), check=lambda rows: dimensions.check_unique(rows, "id"))
+    tables = Tables(spark, str(tmp_path), {"bad": bad}, "run")
+    for _ in range(2):
+        with pytest.raises(ValueError, match="used by 3 rows"):
+            tables("bad")
+    assert [(r[1], r[2]) for r in tables.log.rows] == [("bad", "FAILED"), ("bad", "FAILED")]
 
 
 def test_categories_and_ids(spark):

@@ -1,12 +1,13 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from silverbrook import schemas
 from silverbrook.operators.dedup import descending, latest_per_key
 from silverbrook.plans import testbed as tb
 from silverbrook.sources import events, tables
-from silverbrook.streaming import jobs, sinks
+from silverbrook.streaming import jobs, upsert
 
 ORDERS = schemas.SILVER["orders"]
 
@@ -18,43 +19,80 @@ def order_batch(spark, rows):
     return base.select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in missing))
 
 
-def insert(spark, path, number, rows):
-    return sinks.insert_new(order_batch(spark, rows), number, path, ORDERS, "order_id",
-                            descending(["cdc_ts_ms"]))
+VERSIONED = schemas.VERSIONED["orders"]
 
 
-def stored(spark, path):
-    rows = sinks.stored_batches(spark, path, ORDERS).collect()
-    return sorted((r.order_id, r.product_id, r.batch_id) for r in rows)
+def about():
+    return VERSIONED, "order_id", descending(["cdc_ts_ms"])
 
 
-def test_last_wins_inside_a_batch_first_across(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert insert(spark, path, 0, [("a", "old", 1), ("a", "new", 2), ("b", "b0", 1)]) == 2
-    assert insert(spark, path, 1, [("a", "later", 9), ("c", "c1", 1)]) == 1
-    assert insert(spark, path, 2, [("c", "x", 9), ("b", "x", 9)]) == 0
-    want = [("a", "new", 0), ("b", "b0", 0), ("c", "c1", 1)]
-    assert stored(spark, path) == want
-    # A replayed batch replaces only its own rows.
-    insert(spark, path, 1, [("a", "later", 9), ("c", "c1", 1)])
-    insert(spark, path, 0, [("a", "old", 1), ("a", "new", 2), ("b", "b0", 1)])
-    assert stored(spark, path) == want
+def put(spark, path, number, rows):
+    return upsert.write_batch(order_batch(spark, rows), number, path, *about()[1:])
 
 
-def test_empty_batches(spark, tmp_path):
-    path = str(tmp_path / "t")
-    assert insert(spark, path, 0, []) == 0
-    assert insert(spark, path, 3, [("a", "p", 1)]) == 1
-    assert stored(spark, path) == [("a", "p", 3)]
+def stored(spark, path, mode="latest"):
+    rows = upsert.current(spark, path, *about(), mode).collect()
+    return sorted((r.order_id, r.product_id, r.seen_in) for r in rows)
 
 
-def test_shuffled_lookup_gives_the_same(spark, tmp_path, monkeypatch):
-    from silverbrook import settings
+BATCHES = [
+    [("a", "old", 1), ("a", "new", 2), ("b", "b0", 1)],
+    [("a", "later", 9), ("c", "c1", 1)],
+    [("c", "c2", 9), ("b", "b2", 0)],
+]
+FIRST = [("a", "new", 0), ("b", "b0", 0), ("c", "c1", 1)]
+LATEST = [("a", "later", 1), ("b", "b0", 0), ("c", "c2", 2)]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1), (1, 2, 0)])
+def test_latest_does_not_depend_on_batch_borders(spark, tmp_path, order):
+    path = str(tmp_path / "t")
+    counts = [put(spark, path, number, BATCHES[batch]) for number, batch in enumerate(order)]
+    assert sum(counts) == 6  # one row per key and batch
+    got = [(key, product) for key, product, _ in stored(spark, path)]
+    assert got == [(key, product) for key, product, _ in LATEST]
+
+
+def test_replay_and_compaction(spark, tmp_path):
+    for mode, want in (("first", FIRST), ("latest", LATEST)):
+        path = str(tmp_path / mode)
+        for number in (0, 1):
+            put(spark, path, number, BATCHES[number])
+        assert not upsert.compact(spark, path, *about(), mode, after=3)
+        assert upsert.compact(spark, path, *about(), mode, after=2)
+        put(spark, path, 2, BATCHES[2])
+        assert stored(spark, path, mode) == want
+        for number in (1, 0, 2):  # batches run again, before and after the compaction
+            put(spark, path, number, BATCHES[number])
+        assert stored(spark, path, mode) == want
+        assert upsert.compact(spark, path, *about(), mode, after=1)
+        assert stored(spark, path, mode) == want
+        assert not upsert.compact(spark, path, *about(), mode, after=1)
+        # Rows of old batches lie in folders that a read leaves out.
+        plan = upsert.current(spark, path, *about(), mode)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "kind" in plan.split("PartitionFilters: [")[1][:60]
+        files = [r[0] for r in upsert.parts(spark, path, VERSIONED).select("_metadata.file_path").collect()]
+        assert files and all("kind=base/part=2" in f for f in files)
+
+
+def test_a_batch_reads_nothing_of_the_table(spark, tmp_path):
+    """The cost of a batch stays the same however large the table is."""
+    path = str(tmp_path / "t")
+    put(spark, path, 0, BATCHES[0])
+    (tmp_path / "t" / "kind=delta" / "part=7").mkdir()
+    (tmp_path / "t" / "kind=delta" / "part=7" / "broken.parquet").write_text("not a file that can be read")
+    assert put(spark, path, 1, BATCHES[1]) == 2
+
 
-    monkeypatch.setattr(settings, "BROADCAST_KEY_BYTES", 0)
+def test_empty_batches(spark, tmp_path):
     path = str(tmp_path / "t")
-    insert(spark, path, 0, [("a", "p", 1)])
-    assert insert(spark, path, 1, [("a", "q", 1), ("b", "q", 1)]) == 1
+    assert upsert.current(spark, path, *about()).isEmpty()
+    assert not upsert.compact(spark, path, *about())
+    assert put(spark, path, 0, []) == 0
+    assert put(spark, path, 3, [("a", "p", 1)]) == 1
+    assert stored(spark, path) == [("a", "p", 3)]
+    with pytest.raises(ValueError):
+        stored(spark, path, "other")
 
 
 def test_ties_are_settled_by_content(spark):
@@ -70,24 +108,38 @@ def test_missing_input(spark, tmp_path):
     assert jobs.silver_clickstream(spark, *where) == 0
 
 
-def test_orders_in_many_batches_equal_one_pass(spark, sf, tmp_path, monkeypatch):
-    from silverbrook import settings
+def test_sixty_files_keep_the_latest(spark, tmp_path):
+    bronze, silver, check = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    names = schemas.BRONZE["orders"].fieldNames()
+
+    def version(n):
+        row = {"order_id": "o", "customer_id": "c", "product_id": f"p{n}", "price": "1.00", "freight_value": "0",
+               "purchase_timestamp": 1_600_000_000_000_000, "state": "SP", "cdc_operation": "u", "cdc_ts_ms": n}
+        return tuple(row.get(name) for name in names)
+
+    for n in range(1, 61):
+        spark.createDataFrame([version(n)], schemas.BRONZE["orders"]).coalesce(1).write.mode("append").parquet(bronze)
+    assert jobs.silver_orders(spark, bronze, silver, check, files=10) == 6
+    assert [r.product_id for r in jobs.stored(spark, jobs.ORDERS, silver).collect()] == ["p60"]
 
-    monkeypatch.setattr(settings, "MAX_FILES_PER_TRIGGER", 2)
+
+def test_orders_in_many_batches_equal_one_pass(spark, sf, tmp_path):
     bronze, silver, check = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
-    raw = tb.raw_orders(spark, sf)
-    # All versions of an order share a file, so batch borders cannot separate them.
-    raw.repartition(6, "order_id").sortWithinPartitions("order_id").write.parquet(bronze)
-    count = jobs.silver_orders(spark, bronze, silver, check, tb.order_latest())
-    got = sinks.stored_batches(spark, silver, ORDERS)
-    assert got.select("batch_id").distinct().count() >= 3
+    # The versions of an order lie in different files.
+    tb.raw_orders(spark, sf).repartition(6, "cdc_ts_ms", "product_id").write.parquet(bronze)
+    order = tb.order_latest()
+    assert jobs.silver_orders(spark, bronze, silver, check, order, files=2) > 0
+    assert upsert.parts(spark, silver, VERSIONED).select("part").distinct().count() >= 3
     want = tb.silver_orders(spark, sf)
-    columns = ORDERS.fieldNames()
-    assert count == want.count()
-    assert got.select(columns).exceptAll(want.select(columns)).isEmpty()
+    got = jobs.stored(spark, jobs.ORDERS, silver, order)
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(got.columns)).isEmpty()
     # Nothing new: a second run adds nothing.
-    assert jobs.silver_orders(spark, bronze, silver, check, tb.order_latest()) == 0
-    assert got.count() == count
+    assert jobs.silver_orders(spark, bronze, silver, check, order) == 0
+    # A stream that starts from another checkpoint would number its batches from 0 again.
+    with pytest.raises(Exception, match="another checkpoint"):
+        jobs.silver_orders(spark, bronze, silver, check + "2", order)
+    assert got.count() == want.count()
 
 
 def test_events_land_and_append(spark, tmp_path):
@@ -141,8 +193,8 @@ def test_review_files(spark, tmp_path):
     assert step() == (3, 1)
     put("c.txt", "r1", "again")
     put("d.txt", "r3", "nÃ£o")
-    assert step() == (2, 1)
-    rows = tables.table(spark, silver, schemas.SILVER["reviews"]).orderBy("review_id").collect()
+    assert step() == (2, 2)
+    rows = jobs.stored(spark, jobs.REVIEWS, silver, mode="first").orderBy("review_id").collect()
     assert [(r.review_id, r.message, r.text_length, r.title) for r in rows] == [
         ("r1", "bom\nproduto", 2, "t"), ("r3", "não", 1, "t")]
     assert "hour" not in spark.read.parquet(bronze).columns
