@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from silverbrook.llm.common import documents, stored
 
 FREQUENT = 1 << 16
-HEAD, TAIL = 20, 11
+HEAD, TAIL = 16, 7
 END_CLASS = HEAD
 CLASSES = HEAD + 1 + TAIL
 ROW_BITS = 14
@@ -199,7 +199,7 @@ class Learner:
         self._step(np.array([3 * ROWS]), error.sum(axis=0, keepdims=True), np.array([len(kinds)]))
 
     def _step(self, at: np.ndarray, slope: np.ndarray, times: np.ndarray) -> None:
-        self.seen[at] += (slope * slope).mean(axis=1)
+        self.seen[at] += np.einsum("ij,ij->i", slope, slope) / CLASSES
         moved = self.weights[at] - RATE * slope / np.sqrt(self.seen[at])[:, None]
         self.weights[at] = np.clip(moved, -LIMIT, LIMIT)
         self.met[at] += times
