@@ -44,14 +44,6 @@ def product_catalog(
     )
 
 
-def customers(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "customer_id",
-        F.col("customer_state").alias("state"),
-        F.col("customer_city").alias("city"),
-    )
-
-
 def _stripped(column: str) -> Column:
     return F.btrim(F.coalesce(F.col(column), F.lit("")), F.lit(" \t\n\r\f\x0b"))
 

@@ -11,14 +11,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverbrook import schemas, settings
-from silverbrook.functions import values as V
 from silverbrook.operators import features as features_
-from silverbrook.operators import joins
 
 FEATURES = settings.DEMAND_FEATURES
 LABEL = "orders_count"
@@ -170,6 +168,48 @@ def forecast(models: DataFrame, as_of=None) -> DataFrame:
     ).select(schemas.GOLD["ml_demand_forecast"].fieldNames())
 
 
+def _add_day(state: Column, day: Column) -> Column:
+    """One step of the recursion: predict a day from the rows so far and put it behind them."""
+    seen, weights = state["seen"], state["weights"]
+    lag = lambda n: F.element_at(seen, -n)
+    week = F.aggregate(F.slice(seen, -7, 7), F.lit(0.0), lambda a, x: a + x) / 7
+    values = [lag(1), lag(7), lag(14), week, F.weekday(day) + 1, F.weekday(day) >= 5, F.month(day), F.quarter(day)]
+    total = weights[0]
+    for at, value in enumerate(values, start=1):
+        total = total + weights[at] * value.cast("double")
+    return F.struct(
+        F.concat(F.slice(seen, -13, 13), F.array(F.greatest(total, F.lit(0.0)))).alias("seen"),
+        weights.alias("weights"),
+        F.concat(state["made"], F.array(F.greatest(total, F.lit(0.0)))).alias("made"),
+    )
+
+
+def recursive_forecast(
+    models: DataFrame, features: DataFrame, as_of=None, days: int = settings.FORECAST_DAYS
+) -> DataFrame:
+    """Orders predicted day after day: earlier predictions are the lags of later ones.
+
+    Starts from the last fourteen rows of each category. The mean is that of the seven rows
+    before the day, so models should be trained on ``leak_free`` features. The features drop each
+    category's first fourteen rows; categories with fewer rows than that after them are left out.
+    """
+    last = Window.partitionBy("category_id").orderBy(F.desc("purchase_date"))
+    recent = features.withColumn("_back", F.row_number().over(last)).filter("_back <= 14")
+    rows = F.sort_array(F.collect_list(F.struct("purchase_date", "orders_count")))
+    history = recent.groupBy("category_id").agg(
+        F.transform(rows, lambda r: r["orders_count"].cast("double")).alias("seen")
+    ).filter(F.size("seen") == 14)
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    dates = F.sequence(F.date_add(today, 1), F.date_add(today, days))
+    start = F.struct("seen", "weights", F.array().cast("array<double>").alias("made"))
+    made = F.aggregate(dates, start, _add_day, lambda state: state["made"])
+    return (
+        models.join(history, "category_id")
+        .select("category_id", "category_en", F.inline(F.arrays_zip(
+            dates.alias("forecast_date"), made.alias("predicted_orders"))))
+    )
+
+
 def run_rows(models: DataFrame) -> DataFrame:
     """Parameters and metrics per category as (run_name, kind, name, value)."""
     entries = {

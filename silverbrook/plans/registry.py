@@ -576,6 +576,15 @@ def demand_forecast(t):
     return reports.forecast_view(t("ml_demand_forecast"))
 
 
+@on_tables
+def demand_forecast_recursive(t):
+    """Forecasts whose lags are real rows and earlier forecasts, from leak-free models."""
+    rows = features.time_series_features(
+        t("fact_sales"), t("dim_category"), t("dim_date"), leak_free=True, unique_keys=True)
+    made = demand.recursive_forecast(demand.train(rows), rows, tb.last_purchase(t("fact_sales")))
+    return rounded(made, "predicted_orders")
+
+
 @on_tables
 def model_runs(t):
     """Parameters and metrics of the churn run and of every demand model."""
