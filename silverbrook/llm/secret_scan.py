@@ -39,7 +39,7 @@ SENSITIVE = re.compile(
     r"key|secret|token|passw|pwd|auth|bearer|credential|private|signature|session|cookie|akia", re.I | re.A)
 CONTEXT = 48  # characters before a candidate in which a sensitive word must stand
 AROUND = 512  # characters of surrounding text on either side that prime the compressor
-NOVELTY = 0.45  # least marginal bytes per character
+NOVELTY = 0.6  # least marginal bytes per character: more than names or digits cost, less than base64
 
 # Identifiers that code and configuration share; the primed compressor knows them.
 IDENTIFIERS = """
