@@ -56,6 +56,15 @@ def _distinct_reviews(sales: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def reviews_of(reviews: DataFrame, sales: DataFrame) -> DataFrame:
+    """Reviews of the given sales only.
+
+    Pays when the sales are a small part, such as a window of days: their ids are then few enough
+    to be broadcast, and other reviews are dropped in the scan's stage, before any shuffle.
+    """
+    return reviews.join(sales.select("order_id"), "order_id", "left_semi")
+
+
 def executive(
     sales: DataFrame, reviews: DataFrame, fan_out: bool = True, unique_keys: bool = False
 ) -> DataFrame:
@@ -109,14 +118,19 @@ def sales_performance(
 
 
 def funnel(clicks: DataFrame, dim_category: DataFrame) -> DataFrame:
-    """Events, sessions and users per hour, type, device and category."""
-    labelled = joins.with_category(clicks, dim_category)
-    hour = F.date_trunc("hour", "event_ts").alias("hour")
-    return labelled.groupBy(hour, "event_date", "event_type", "device", "category").agg(
-        F.count("*").alias("event_count"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.count_distinct("user_id").alias("users"),
-    )
+    """Events, sessions and users per hour, type, device and category.
+
+    Two distinct counts in one aggregation would copy every click three times before the shuffle.
+    Each is a grouping of its own here, summed per task first, and the small results are joined.
+    """
+    keys = ["hour", "event_date", "event_type", "device", "category"]
+    labelled = joins.with_category(clicks, dim_category).withColumn("hour", F.date_trunc("hour", "event_ts"))
+    sessions = labelled.groupBy(*keys, "session_id").agg(F.count("*").alias("n")).groupBy(*keys).agg(
+        F.sum("n").alias("event_count"), F.count("session_id").alias("sessions"))
+    users = labelled.groupBy(*keys, "user_id").agg(F.lit(1).alias("one")).groupBy(*keys).agg(
+        F.count("user_id").alias("users")).withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+    return sessions.join(users, same).select(*keys, "event_count", "sessions", "users")
 
 
 def review_sentiment(
@@ -134,7 +148,12 @@ def review_sentiment(
         F.count("text_length").alias("n_length"),
         F.sum("text_length").alias("length_sum"),
     )
-    joined = reduced.join(sales.select("order_id", "category_id", "geo_id"), "order_id", "left")
+    # Few reviewed orders are broadcast to the sales, which then need no shuffle; many are dealt
+    # by the key that the join after needs anyway.
+    reviewed = sales.select("order_id", "category_id", "geo_id").join(
+        reduced.select("order_id"), "order_id", "left_semi"
+    )
+    joined = reduced.join(reviewed, "order_id", "left")
     labelled = joins.with_geography(joins.with_category(joined, dim_category), dim_geography)
     return labelled.groupBy("review_date", "sentiment", "category", "region").agg(
         F.sum("n").alias("review_count"),

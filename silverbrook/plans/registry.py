@@ -387,8 +387,15 @@ def _recent(t: Tables, mart: DataFrame, name: str, column: str, fact: str, day:
     return tables.last_days(mart, column, days, since=tables.first_day(t(fact), day, days))
 
 
+def _recent_sales(t: Tables) -> DataFrame:
+    days = settings.DASHBOARD_DAYS["executive"]
+    since = tables.first_day(t("fact_sales"), "purchase_date", days)
+    return tables.last_days(t("fact_sales"), "purchase_date", days, since=since)
+
+
 def _recent_executive(t):
-    return _recent(t, _executive(t), "executive", "day", "fact_sales", "purchase_date")
+    sales = _recent_sales(t)
+    return marts.executive(sales, marts.reviews_of(t("fact_reviews"), sales), unique_keys=True)
 
 
 def _recent_performance(t):
@@ -398,7 +405,11 @@ def _recent_performance(t):
 
 
 def _recent_funnel(t):
-    return _recent(t, _funnel(t), "funnel", "event_date", "fact_clickstream", "event_date")
+    """The window is cut from the clicks, so that both groupings of the mart read only it."""
+    days = settings.DASHBOARD_DAYS["funnel"]
+    clicks = t("fact_clickstream")
+    since = tables.first_day(clicks, "event_date", days)
+    return marts.funnel(tables.last_days(clicks, "event_date", days, since=since), t("dim_category"))
 
 
 def _recent_reviews(t):
@@ -432,10 +443,8 @@ def kpi_totals(t):
 
 @on_tables
 def kpi_totals_exact(t):
-    days = settings.DASHBOARD_DAYS["executive"]
-    since = tables.first_day(t("fact_sales"), "purchase_date", days)
-    sales = tables.last_days(t("fact_sales"), "purchase_date", days, since=since)
-    return reports.kpi_totals_exact(sales, t("fact_reviews"))
+    sales = _recent_sales(t)
+    return reports.kpi_totals_exact(sales, marts.reviews_of(t("fact_reviews"), sales))
 
 
 @on_tables

@@ -41,5 +41,17 @@ def test_marts_keep_totals(spark, sf):
     assert events == run["fact_clickstream"].count()
 
 
+def test_plans_reduce_before_the_shuffle(spark, sf):
+    """No copies of clicks for distinct counts; windows reach every scan of the facts."""
+    plan = lambda name: entry_points.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan("mart_funnel")
+    recent = plan("recent_funnel")
+    assert "Expand" not in recent and recent.count("event_date#") > 0
+    assert recent.count("(event_date") >= 2  # a filter above each of the two scans
+    executive = plan("recent_executive")
+    assert "LeftSemi" in executive and executive.count(">= scalar-subquery") >= 2
+    assert "LeftSemi" in plan("mart_reviews")
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
