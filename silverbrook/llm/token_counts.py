@@ -62,11 +62,13 @@ def flatten(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
                 while len(held) > size:
                     yield full(bytes(held[:size]), ids)
                     held, ids, block = held[size:], [], block + 1
-                ids.append(None if pd.isna(doc_id) else int(doc_id))
+                ids.append(None if doc_id is None else int(doc_id))
         if held:
             yield full(bytes(held), ids)
 
-    return docs.select("doc_id", "text").mapInPandas(write, "file long, block long, data binary, doc_ids array<long>")
+    # As text, since pandas would turn ids with nulls among them into floating point.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return rows.mapInPandas(write, "file long, block long, data binary, doc_ids array<long>")
 
 
 def blocks_of(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:

@@ -9,7 +9,7 @@ from silverbrook.llm import token_counts as C
 def test_counts_equal_tokenizer(spark):
     rng = random.Random(1)
     rows = [(i, " ".join("word%d" % rng.randrange(50) for _ in range(rng.choice([0, 1, 5, 300])))) for i in range(300)]
-    rows += [(None, "null id"), (7, None), (7, ""), (8, "long " * 30_000)]
+    rows += [(None, "null id"), (7, None), (7, ""), (8, "long " * 30_000), ((1 << 62) + 1, "large id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = C.lengths(C.scan(C.flatten(docs, block_tokens=64))).select("doc_id", "n_tokens").collect()
     want = [(i, len(C.encoding().encode_ordinary(t or ""))) for i, t in rows]
