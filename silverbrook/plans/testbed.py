@@ -327,6 +327,7 @@ def _files_mark(spark: SparkSession, sf_dir: str) -> str:
     return f"{sf_dir}|{mark[0]}|{mark[1]}"
 
 
+_marks: dict[tuple[str, str], str] = {}
 _tables: dict[tuple[str, str], Tables] = {}
 _lock = threading.Lock()
 
@@ -334,11 +335,14 @@ _lock = threading.Lock()
 def staged(spark: SparkSession, sf_dir: str) -> Tables:
     """Silver and gold tables of the data set, written once per application when first used.
 
-    They lie in the shared folder, so losing an executor costs no recomputation.
+    They lie in the shared folder, so losing an executor costs no recomputation. The input is
+    listed once per application: its files don't change under a run.
     """
     app = spark.sparkContext.applicationId
-    mark = _files_mark(spark, sf_dir)
     with _lock:
+        if (app, sf_dir) not in _marks:
+            _marks[app, sf_dir] = _files_mark(spark, sf_dir)
+        mark = _marks[app, sf_dir]
         if (app, mark) not in _tables:
             digest = hashlib.sha256(mark.encode()).hexdigest()[:16]
             root = f"{session.shared_dir(spark)}/{app}/{digest}"
