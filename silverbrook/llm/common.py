@@ -25,7 +25,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -186,7 +186,8 @@ def fit(stats: DataFrame) -> DataFrame:
                + (F.lit(FLOORS[FEATURES[i]] ** 2) if i == j else F.lit(0.0)) for i, j in pairs}
         model = _inverse_root(cov, total, ["estimate", *[f"mean_{i}" for i in range(p)]])
     model = stored(model, "estimates")
-    return sizes.select("group_", target.alias("estimate")).join(model, "estimate")
+    # As a table its size is known, and texts need no shuffle to meet a small one.
+    return stored(sizes.select("group_", target.alias("estimate")).join(model, "estimate"), "fitted")
 
 
 def judged(stats: DataFrame) -> DataFrame:
