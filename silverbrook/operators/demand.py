@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverbrook import schemas, settings
+from silverbrook.functions import values as V
 from silverbrook.operators import features as features_
 
 FEATURES = settings.DEMAND_FEATURES
@@ -202,12 +203,11 @@ def recursive_forecast(
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     dates = F.sequence(F.date_add(today, 1), F.date_add(today, days))
     start = F.struct("seen", "weights", F.array().cast("array<double>").alias("made"))
-    made = F.aggregate(dates, start, _add_day, lambda state: state["made"])
-    return (
-        models.join(history, "category_id")
-        .select("category_id", "category_en", F.inline(F.arrays_zip(
-            dates.alias("forecast_date"), made.alias("predicted_orders"))))
-    )
+    made = F.aggregate("dates", start, _add_day, lambda state: state["made"])
+    # The dates go through a generator, as a subquery for the day can't stand in the recursion.
+    rows = V.once(models.join(history, "category_id"), "dates", dates)
+    return rows.select("category_id", "category_en", F.inline(F.arrays_zip(
+        F.col("dates").alias("forecast_date"), made.alias("predicted_orders"))))
 
 
 def run_rows(models: DataFrame) -> DataFrame:
