@@ -10,13 +10,15 @@ of 0.8 two texts meet in a given bucket with probability 0.5 and miss all twelve
 the miss is below 1e-6.
 
 Buckets: equal texts are one member first. Every member of a bucket is compared with the bucket's
-smallest member, so a group of copies of any size gives as many pairs as members. Members unlike
-that leader, as in buckets made by a shared passage, are compared with a second leader, with a
-leader by a finer sketch of twice as many shingles, and with their neighbours when the bucket is
-sorted by its texts' beginnings, by their ends read backwards, and by length. So each member of a
-bucket has six partners at most and none is left out; a link is missed only if that happens in
-every bucket that two texts share. Candidate pairs carry 128-bit text keys; only their own texts
-are looked up.
+smallest member, so a group of copies of any size gives as many pairs as members; members unlike
+that leader are compared with a second leader, and with a leader by a finer sketch of twice as many
+shingles. What is linked so far is joined to classes. Then all pairs of a bucket whose members are
+still of different classes are tried, so every link between two texts that share a bucket is in the
+result. Buckets are divided into bands of length and those into blocks of ``BLOCK`` words, and pairs
+of blocks are spread over tasks. Only bounds leave pairs out there: lengths that differ by more than a
+fifth, and fewer common word pairs than so many edits leave (an edit changes two word pairs at
+most). This part grows with the square of the unlike texts of a bucket, a product of bit matrices
+for most pairs. Candidate pairs carry 128-bit text keys; only their own texts are looked up.
 
 Defined results: a null text counts as empty; texts without words are equal only if they are the
 same text. Texts of fewer than five words are one shingle. ``class_id`` is the smallest id of the
@@ -26,6 +28,7 @@ of each class stays: the smallest id, ties by place in the table. Empty tables g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,7 +45,9 @@ SIMILARITY = 0.8
 SKETCHES = 12
 PICKED = 3
 FINER = 6
-EDGE = 256  # characters of a text's beginning and end that a bucket is sorted by
+BAND = 1.26  # ratio of lengths; more than 1.25, so like texts are of one band or of adjacent ones
+BLOCK = 1 << 18  # words of a block
+TILE = 1 << 22  # numbers of a tile of a bit matrix
 SEED = 7
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -100,12 +105,12 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def labelled_shingles(words: np.ndarray) -> np.ndarray:
+def labelled_shingles(words: np.ndarray, width: int = SHINGLE) -> np.ndarray:
     """Hash of each shingle together with how often it has occurred before."""
     n = len(words)
     if not n:
         return words
-    width = min(SHINGLE, n)
+    width = min(width, n)
     shingles = np.zeros(n - width + 1, dtype=np.uint64)
     for j in range(width):
         shingles = shingles * _BASE + words[j : n - width + 1 + j]
@@ -116,7 +121,8 @@ def labelled_shingles(words: np.ndarray) -> np.ndarray:
     if same.any():
         first = np.concatenate(([True], ~same))
         number = np.arange(len(ranked)) - np.maximum.accumulate(np.where(first, np.arange(len(ranked)), 0))
-        shingles[order] = _mixed(ranked + number.astype(np.uint64) * _BASE)
+        # A first occurrence keeps its hash, as it has in a text without repeats.
+        shingles[order] = np.where(number > 0, _mixed(ranked + number.astype(np.uint64) * _BASE), ranked)
     return shingles
 
 
@@ -240,6 +246,72 @@ def alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def signature(text: str | None) -> tuple[int, bytes]:
+    """Number of words, and a bit set of the hashed word pairs, labelled so that repeats count."""
+    words = word_hashes(text)
+    size = 64 << ((4 * len(words) - 1) // 64).bit_length() if len(words) else 64
+    bits = np.zeros(size, dtype=bool)
+    bits[(labelled_shingles(words, 2) & np.uint64(size - 1)).astype(np.int64)] = True
+    return len(words), np.packbits(bits, bitorder="little").tobytes()
+
+
+@F.pandas_udf(record(words=T.IntegerType(), bits=T.BinaryType()))
+def signatures(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for batch in texts:
+        yield pd.DataFrame([signature(t) for t in batch], columns=["words", "bits"])
+
+
+def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
+    """Bit sets of ``size`` bytes, one per row; larger ones are folded."""
+    out = np.empty((len(bits), size), dtype=np.uint8)
+    for i, x in enumerate(bits):
+        row = np.frombuffer(x, dtype=np.uint8)
+        while len(row) > size:
+            row = row[: len(row) // 2] | row[len(row) // 2 :]
+        out[i] = row
+    return out
+
+
+def possible(words_a: np.ndarray, bits_a: list[bytes], words_b: np.ndarray, bits_b: list[bytes],
+             ) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Tiles (first row, first column, mask) of the pairs that the bounds can't rule out."""
+    size = min(map(len, [*bits_a, *bits_b]))
+    a, b = _bit_rows(bits_a, size), _bit_rows(bits_b, size)
+    # Word pairs beyond the first of their bit: as many common ones may be hidden.
+    extra_a, extra_b = (np.maximum(w - 1, np.minimum(w, 1)) - np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+                        for w, x in ((words_a, a), (words_b, b)))
+    step = max(1, TILE // (8 * size))
+    for i in range(0, len(a), step):
+        left = np.unpackbits(a[i : i + step], axis=1).astype(np.float32)
+        for j in range(0, len(b), step):
+            right = np.unpackbits(b[j : j + step], axis=1).astype(np.float32)
+            common = left @ right.T + np.minimum(extra_a[i : i + step, None], extra_b[None, j : j + step])
+            wa, wb = words_a[i : i + step, None], words_b[None, j : j + step]
+            longer = np.maximum(wa, wb)
+            limit = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+            yield i, j, (np.abs(wa - wb) <= limit) & (common >= longer - 1 - 2 * limit)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def block_pairs(member_a: pd.Series, root_a: pd.Series, words_a: pd.Series, bits_a: pd.Series, member_b: pd.Series,
+                root_b: pd.Series, words_b: pd.Series, bits_b: pd.Series, same: pd.Series) -> pd.Series:
+    """Both keys, one behind the other, of all possible pairs of different classes in two blocks."""
+    out = []
+    for ma, ra, wa, sa, mb, rb, wb, sb, one in zip(
+            member_a, root_a, words_a, bits_a, member_b, root_b, words_b, bits_b, same, strict=True):
+        code = np.unique(np.concatenate((ra, rb)).astype(str), return_inverse=True)[1]
+        code_a, code_b = code[: len(ra)], code[len(ra) :]
+        found: list[str] = []
+        if code.any():
+            for i, j, mask in possible(np.asarray(wa, np.int64), list(sa), np.asarray(wb, np.int64), list(sb)):
+                mask &= code_a[i : i + mask.shape[0], None] != code_b[None, j : j + mask.shape[1]]
+                if one:
+                    mask = np.triu(mask, i - j + 1)
+                found.extend(ma[i + x] + mb[j + y] for x, y in zip(*(k.tolist() for k in np.nonzero(mask)), strict=True))
+        out.append(found)
+    return pd.Series(out, dtype=object)
+
+
 def text_key(text) -> F.Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
@@ -265,20 +337,43 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         "leader", "member", (alike("of_leader", "text") >= SIMILARITY).alias("linked")), "verified")
 
 
-def _neighbours(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Each member of a bucket with the one before it, in three orders that bring like texts together."""
-    near = rows.join(texts.select(
-        "member", F.left("text", F.lit(EDGE)).alias("head"), F.reverse(F.right("text", F.lit(EDGE))).alias("tail"),
-        F.length("text").alias("size")), "member")
-    place = Window.partitionBy("bucket")
-    orders = ["head", "tail", "size"]
-    near = near.withColumns({f"by_{x}": F.lag("member").over(place.orderBy(x, "member")) for x in orders})
-    return near.select("member", F.explode(F.array(*[f"by_{x}" for x in orders])).alias("leader")).where(
-        F.col("leader").isNotNull())
-
-
-def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links between different texts. ``sketched``: member, coarse, fine per text."""
+def _fresh(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs that were not compared yet, smaller member first."""
+    pairs = pairs.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member"))
+    return stored(pairs.distinct().join(found, ["leader", "member"], "left_anti"), "candidates")
+
+
+def _rest(led: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs of members that share a bucket and are of different classes, but those the bounds rule out."""
+    whole = led.select("bucket", "member").union(led.select("bucket", F.col("leader").alias("member")).distinct())
+    whole = whole.join(known, "member", "left").withColumn("root", F.coalesce("root", "member"))
+    # A bucket of two members has been compared.
+    mixed = whole.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"))
+    whole = stored(whole.join(mixed.where("a < b and n > 2").select("bucket"), "bucket"), "mixed")
+    signed = texts.join(whole.select("member").distinct(), "member", "left_semi").select(
+        "member", signatures("text").alias("s")).select("member", "s.*")
+    signed = stored(signed.withColumn("band", F.floor(F.log("words") / math.log(BAND)).cast("int")), "signatures")
+    rows = whole.join(signed, "member")
+    sizes = whole.join(signed.select("member", "words", "band"), "member").groupBy("bucket", "band").agg(
+        F.ceil(F.sum("words") / F.lit(BLOCK)).alias("parts"))
+    rows = rows.join(sizes, ["bucket", "band"]).withColumn("part", F.pmod(F.xxhash64("member"), "parts"))
+    blocks = stored(rows.groupBy("bucket", "band", "part").agg(
+        F.collect_list(F.struct("member", "root", "words", "bits")).alias("rows")), "blocks")
+    place = blocks.select("bucket", "band", "part")
+    first = place.select("bucket", F.col("band").alias("band_a"), F.col("part").alias("part_a"),
+                         F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    tried = first.join(place, ["bucket", "band"]).where("band_a < band or part_a <= part")
+    tried = tried.join(blocks.select("bucket", F.col("band").alias("band_a"), F.col("part").alias("part_a"),
+                                     F.col("rows").alias("a")), ["bucket", "band_a", "part_a"])
+    tried = tried.join(blocks.withColumnRenamed("rows", "b"), ["bucket", "band", "part"])
+    keys = block_pairs(*[F.col(f"{x}.{c}") for x in "ab" for c in ("member", "root", "words", "bits")],
+                       (F.col("band_a") == F.col("band")) & (F.col("part_a") == F.col("part")))
+    keys = tried.select(F.explode(keys).alias("key"))
+    return keys.select(F.substring("key", 1, 32).alias("leader"), F.substring("key", 33, 32).alias("member"))
+
+
+def linked_classes(sketched: DataFrame, texts: DataFrame) -> DataFrame:
+    """(member, root) of all that is linked. ``sketched``: member, coarse, fine per text."""
     numbered = sketched.select("member", "fine", F.posexplode("coarse").alias("i", "key"))
     buckets = numbered.select(
         "member", F.xxhash64("i", "key").alias("bucket"),
@@ -289,11 +384,19 @@ def links(sketched: DataFrame, texts: DataFrame) -> DataFrame:
     found = _verified(pairs, texts)
     unlike = found.where("not linked").select("leader", "member")
     rest = stored(led.join(unlike, ["leader", "member"], "left_semi").select("bucket", "finer", "member"), "unlike")
-    again = [_leaders(rest), _leaders(rest.select("member", F.col("finer").alias("bucket"))), _neighbours(rest, texts)]
-    more = reduce(DataFrame.union, [x.select("leader", "member") for x in again])
-    more = more.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member"))
-    more = stored(more.distinct().join(found, ["leader", "member"], "left_anti"), "candidates")
-    return found.union(_verified(more, texts)).where("linked").select("leader", "member")
+    again = [_leaders(rest), _leaders(rest.select("member", F.col("finer").alias("bucket")))]
+    again = reduce(DataFrame.union, [x.select("leader", "member") for x in again])
+    found = found.union(_verified(_fresh(again, found), texts))
+    known = components(found.where("linked").select("leader", "member"))
+    # Links between classes, and what hangs together by them.
+    more = _verified(_fresh(_rest(led, known, texts), found), texts).where("linked")
+    for side in ("leader", "member"):
+        more = more.join(known.withColumnsRenamed({"member": side, "root": f"{side}_root"}), side, "left")
+    over = components(more.select(
+        F.coalesce("leader_root", "leader").alias("leader"), F.coalesce("member_root", "member").alias("member")))
+    merged = known.join(over.select(F.col("root").alias("top"), F.col("member").alias("root")), "root", "left")
+    return merged.select("member", F.coalesce("top", "root").alias("root")).union(
+        over.join(known, "member", "left_anti"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -317,7 +420,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``rows`` (with member, coarse, fine) with the ``root`` of their class."""
     sketched = rows.where(F.size("coarse") > 0).select("member", "coarse", "fine").dropDuplicates(["member"])
-    rooted = components(links(sketched, texts))
+    rooted = linked_classes(sketched, texts)
     return rows.join(rooted, "member", "left").withColumn("root", F.coalesce("root", "member"))
 
 

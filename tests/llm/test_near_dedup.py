@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from silverbrook.llm import near_dedup as N
@@ -92,3 +94,70 @@ def test_components_of_chains(spark):
     got = {r["member"]: r["root"] for r in N.components(spark.createDataFrame(chain, "leader string, member string")).collect()}
     assert {got[f"{i:03d}"] for i in range(41)} == {"000"}
     assert {got[c] for c in "xyz"} == {"x"}
+
+
+def one_bucket(spark, texts):
+    """Classes of texts that all share one bucket and no finer one: {text: root}."""
+    rows = spark.createDataFrame([(t, [1], [i]) for i, t in enumerate(texts)], "text string, coarse array<long>, fine array<long>")
+    keyed = rows.withColumn("member", N.text_key(rows["text"]))
+    return {r["text"]: r["root"] for r in N.classes(keyed, keyed.select("member", "text")).collect()}
+
+
+def test_members_linked_to_the_leader_meet_the_others(spark):
+    for seed in range(100):  # until the smallest key is that of the text without its beginning
+        base = [f"{seed}w{i}" for i in range(100)]
+        whole, late, early = (" ".join(x) for x in (base, base[15:], base[:-15]))
+        if min((whole, late, early), key=lambda x: hashlib.md5(x.encode()).digest()) == late:
+            break
+    hashes = [N.word_hashes(t) for t in (whole, late, early)]
+    assert N.similarity(hashes[1], hashes[2]) == 0 < N.similarity(hashes[0], hashes[2])
+    assert len(set(one_bucket(spark, [whole, late, early]).values())) == 1
+
+
+@pytest.mark.parametrize("block", [N.BLOCK, 3000])
+def test_bucket_of_unlike_texts_equals_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    rng = random.Random(8)
+    lines = [[f"l{i}x{j}" for j in range(10)] for i in range(14)]
+    texts = set()
+    for i in range(150):  # texts of common lines, many of them near the threshold
+        own = [f"t{i}y{j}" for j in range(rng.randrange(1, 25))]
+        cut = rng.randrange(len(own))
+        texts.add(" ".join(own[:cut] + sum(rng.sample(lines, rng.randrange(4, 9)), []) + own[cut:]))
+    texts |= {" ".join(t.split()[k:]) for t in list(texts)[:30] for k in (9, 14)}
+    texts = sorted(texts)
+    hashes, root = [N.word_hashes(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if N.similarity(hashes[i], hashes[j]) >= N.SIMILARITY and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    got = one_bucket(spark, texts)
+    assert len({(root[i], got[t]) for i, t in enumerate(texts)}) == len(set(root)) == len(set(got.values()))
+
+
+def test_a_repeat_leaves_other_shingles_alone():
+    text = " ".join(f"w{i}" for i in range(50))
+    once, twice = (set(N.labelled_shingles(N.word_hashes(t)).tolist()) for t in (text, text + " " + text[:60]))
+    assert once < twice
+
+
+def test_bounds_keep_all_links():
+    rng = random.Random(3)
+    texts = []
+    for _ in range(60):
+        base = [rng.choice("abcdefghijklmn") * rng.randrange(1, 4) for _ in range(rng.choice([1, 2, 5, 17, 60, 300, 900]))]
+        for _ in range(4):
+            text = [w for w in base if rng.random() > 0.05]
+            for _ in range(int(len(text) * rng.random() * 0.2)):
+                text[rng.randrange(len(text))] = "new"
+            texts.append(" ".join(text or base))
+    hashes, signed = [N.word_hashes(t) for t in texts], [N.signature(t) for t in texts]
+    linked = ruled_out = 0
+    for i in range(len(texts)):
+        for j in range(max(0, i - 8), i):
+            (_, _, mask), = N.possible(*[x for k in (i, j) for x in (np.array([signed[k][0]]), [signed[k][1]])])
+            link = N.similarity(hashes[i], hashes[j]) >= N.SIMILARITY
+            assert mask[0, 0] or not link
+            linked, ruled_out = linked + link, ruled_out + (not mask[0, 0])
+    assert linked > 100 and ruled_out > 100
