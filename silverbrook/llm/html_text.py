@@ -58,18 +58,42 @@ TABLE_PARTS = {"table", "tr", "td", "th", "caption"} | GROUPS
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
-HIDDEN = re.compile(
-    r"""(?:^|[\s"'/])hidden(?=[\s=/>"']|$)|style\s*=\s*["']?[^"'>]*(?:display\s*:\s*none|visibility\s*:\s*hidden)""",
-    re.I)
-TYPE_HIDDEN = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
-NUMBER = re.compile(r"""(start|colspan|value)\s*=\s*["']?(\d{1,4})""", re.I)
-OPEN = re.compile(r"""(?:^|[\s"'/])open(?=[\s=/>"']|$)""", re.I)
+# An attribute: its name, and its value in quotes or bare.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?+""")
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+DECLARATION = re.compile(r"""((?:[^;"'(]++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|\([^)]*+(?:\)|\Z))++)""")
+DIGITS = re.compile(r"\s*\+?([0-9]{1,4})")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 BREAK = object()
 # Padding of a column stops here; longer cells just run on.
 WIDEST = 60
 
 
+def attributes_of(source: str) -> dict[str, str]:
+    """Names and values of a tag's attributes; of equal names the first counts."""
+    out: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(source):
+        out.setdefault(name.lower(), html.unescape(double or single or bare))
+    return out
+
+
+def hides(attributes: dict[str, str]) -> bool:
+    """Whether the element is ``hidden`` or its style declares it so; the last valid declaration counts."""
+    if "hidden" in attributes:
+        return True
+    style = attributes.get("style", "").lower()
+    if "none" not in style and "hidden" not in style:
+        return False
+    last: dict[str, tuple[bool, str]] = {}
+    for declaration in DECLARATION.findall(COMMENT.sub(" ", style)):
+        name, _, value = declaration.partition(":")
+        value, mark, rest = value.strip().partition("!")
+        name, important = name.strip(), bool(mark) and rest.strip() == "important"
+        if value.strip() and (important or not last.get(name, (False, ""))[0]):
+            last[name] = important, value.strip()
+    return last.get("display", (False, ""))[1] == "none" or last.get("visibility", (False, ""))[1] == "hidden"
+
+
 class Box:
     """An open element: what it holds so far is text, line breaks, and laid-out blocks."""
 
@@ -236,11 +260,12 @@ class Page:
                 return False
         return False
 
-    def start(self, tag: str, attributes: str) -> None:
+    def start(self, tag: str, source: str) -> None:
+        attributes = attributes_of(source) if source else {}
         if tag in ("html", "body"):
             if tag == "body":
                 self._close_to({"head"}, set())
-            if HIDDEN.search(attributes):
+            if hides(attributes):
                 self.stack[0].hidden = True
             return
         if tag == "head" and (len(self.stack) > 1 or any(not isinstance(p, str) or p.strip() for p in self.stack[0].parts)):
@@ -263,16 +288,14 @@ class Page:
             return
         if tag in VOID:
             return
-        box = Box(tag, above.hidden or tag in UNSEEN or bool(attributes and HIDDEN.search(attributes)),
+        box = Box(tag, above.hidden or tag in UNSEEN or hides(attributes),
                   above.pre or tag in ("pre", "textarea", "xmp"))
-        if attributes and tag in ("ol", "td", "th"):
-            for name, value in NUMBER.findall(attributes):
-                if name.lower() == "start":
-                    box.number = int(value)
-                elif name.lower() == "colspan" and tag != "ol":
-                    box.span = min(max(1, int(value)), 1000)
+        if tag == "ol" and (number := DIGITS.match(attributes.get("start", ""))):
+            box.number = int(number[1])
+        elif tag in CELLS and (number := DIGITS.match(attributes.get("colspan", ""))):
+            box.span = min(max(1, int(number[1])), 1000)
         if tag == "details":
-            box.shut = not OPEN.search(attributes)
+            box.shut = "open" not in attributes
         self._open(box)
 
     def _open(self, box: Box) -> None:

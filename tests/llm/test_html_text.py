@@ -28,6 +28,30 @@ def test_layout(source):
     assert render(source) == CASES[source]
 
 
+@pytest.mark.parametrize("attributes", [
+    'class="hidden"', 'class="x hidden md:block"', 'title="The hidden truth"', 'style="overflow: hidden"',
+    'data-style="display:none"', 'class=hidden', 'data-x="hidden" id=a', 'title="style=display:none"',
+    'style="display:none; display:block"', 'style="content:\';display:none\'"', 'style="/*display:none*/"',
+    'style="backface-visibility:hidden"'])
+def test_values_that_do_not_hide(attributes):
+    assert render(f"<div {attributes}>seen</div>") == "seen"
+    assert render(f"<body {attributes}>all <p>of it") == "all\n\nof it"
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN=''", "hidden=until-found", 'class="x" hidden', "hidden/", "style=display:none", "a=b style='x:y;Display : None'",
+    'style="display:none!important;display:block"', 'style="color:red;visibility:hidden"', 'style="display&#58;none"'])
+def test_attributes_that_hide(attributes):
+    assert render(f"<div {attributes}>no</div>seen") == "seen"
+    assert render(f"<body {attributes}>no") == ""
+
+
+def test_numbers_are_of_their_own_attributes():
+    assert render("<ol data-start=7 title='start=5'><li>x</ol>") == "1. x"
+    assert render("<ol start='3'><li>x</ol>") == "3. x"
+    assert render("<details title='open'><summary>S</summary>no</details>") == "S"
+
+
 def test_never_fails_and_keeps_visible_words():
     rng = random.Random(1)
     bits = ["<p>", "</p>", "<div>", "</div>", "<table>", "<tr>", "<td>", "</table>", "<ul>", "<li>", "</ul>", "<br>",
