@@ -16,8 +16,8 @@ shingles. What is linked so far is joined to classes. Then all pairs of a bucket
 still of different classes are tried, so every link between two texts that share a bucket is in the
 result. Buckets are divided into bands of length and those into blocks of ``BLOCK`` words, and pairs
 of blocks are spread over tasks. Only bounds leave pairs out there: lengths that differ by more than a
-fifth, and fewer common word pairs than so many edits leave (an edit changes two word pairs at
-most). This part grows with the square of the unlike texts of a bucket, a product of bit matrices
+fifth, and fewer common words or word pairs than so many edits leave (an edit changes one word and
+two word pairs at most). This part grows with the square of the unlike texts of a bucket, a product of bit matrices
 for most pairs. Candidate pairs carry 128-bit text keys; only their own texts are looked up.
 
 Defined results: a null text counts as empty; texts without words are equal only if they are the
@@ -48,6 +48,7 @@ FINER = 6
 BAND = 1.26  # ratio of lengths; more than 1.25, so like texts are of one band or of adjacent ones
 BLOCK = 1 << 18  # words of a block
 TILE = 1 << 22  # numbers of a tile of a bit matrix
+SIGNED = ["member", "root", "words", "bits", "singles"]  # of each row of a block
 SEED = 7
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -246,19 +247,25 @@ def alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def signature(text: str | None) -> tuple[int, bytes]:
-    """Number of words, and a bit set of the hashed word pairs, labelled so that repeats count."""
-    words = word_hashes(text)
-    size = 64 << ((4 * len(words) - 1) // 64).bit_length() if len(words) else 64
+def _bit_set(hashes: np.ndarray, least: int) -> bytes:
+    """Bit set of hashes, of at least that many bits."""
+    size = 64 << (max(0, least - 1) // 64).bit_length()
     bits = np.zeros(size, dtype=bool)
-    bits[(labelled_shingles(words, 2) & np.uint64(size - 1)).astype(np.int64)] = True
-    return len(words), np.packbits(bits, bitorder="little").tobytes()
+    bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def signature(text: str | None) -> tuple[int, bytes, bytes]:
+    """Number of words, and bit sets of hashed word pairs and of words, labelled so that repeats count."""
+    words = word_hashes(text)
+    n = len(words)
+    return n, _bit_set(labelled_shingles(words, 2), 4 * n), _bit_set(labelled_shingles(words, 1), 16 * n)
 
 
-@F.pandas_udf(record(words=T.IntegerType(), bits=T.BinaryType()))
+@F.pandas_udf(record(words=T.IntegerType(), bits=T.BinaryType(), singles=T.BinaryType()))
 def signatures(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for batch in texts:
-        yield pd.DataFrame([signature(t) for t in batch], columns=["words", "bits"])
+        yield pd.DataFrame([signature(t) for t in batch], columns=["words", "bits", "singles"])
 
 
 def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
@@ -292,24 +299,46 @@ def possible(words_a: np.ndarray, bits_a: list[bytes], words_b: np.ndarray, bits
             yield i, j, (np.abs(wa - wb) <= limit) & (common >= longer - 1 - 2 * limit)
 
 
+def enough_words(words_a: np.ndarray, singles_a: list[bytes], words_b: np.ndarray, singles_b: list[bytes],
+                 pairs: np.ndarray) -> np.ndarray:
+    """Those of the pairs (places in a and b) that may have as many common words as a link needs."""
+    if not len(pairs):
+        return pairs
+    size = min(map(len, [*singles_a, *singles_b]))
+    a, b = _bit_rows(singles_a, size), _bit_rows(singles_b, size)
+    extra_a, extra_b = (w - np.bitwise_count(x).sum(axis=1, dtype=np.int64) for w, x in ((words_a, a), (words_b, b)))
+    out, step = [], max(1, TILE // size)
+    for at in range(0, len(pairs), step):
+        x, y = pairs[at : at + step].T
+        common = np.bitwise_count(a[x] & b[y]).sum(axis=1, dtype=np.int64) + np.minimum(extra_a[x], extra_b[y])
+        longer = np.maximum(words_a[x], words_b[y])
+        out.append(pairs[at : at + step][common >= longer - ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)])
+    return np.concatenate(out)
+
+
+def _pairs_of(a: pd.DataFrame, b: pd.DataFrame, same: bool) -> list[str]:
+    code = np.unique(np.concatenate((a["root"], b["root"])).astype(str), return_inverse=True)[1]
+    code_a, code_b = code[: len(a)], code[len(a) :]
+    if not code.any():
+        return []
+    words_a, words_b = a["words"].to_numpy(np.int64), b["words"].to_numpy(np.int64)
+    found = [np.zeros((0, 2), dtype=np.int64)]
+    for i, j, mask in possible(words_a, list(a["bits"]), words_b, list(b["bits"])):
+        mask &= code_a[i : i + mask.shape[0], None] != code_b[None, j : j + mask.shape[1]]
+        found.append(np.argwhere(np.triu(mask, i - j + 1) if same else mask) + (i, j))
+    found = enough_words(words_a, list(a["singles"]), words_b, list(b["singles"]), np.concatenate(found))
+    of_a, of_b = a["member"].tolist(), b["member"].tolist()
+    return [of_a[x] + of_b[y] for x, y in found.tolist()]
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def block_pairs(member_a: pd.Series, root_a: pd.Series, words_a: pd.Series, bits_a: pd.Series, member_b: pd.Series,
-                root_b: pd.Series, words_b: pd.Series, bits_b: pd.Series, same: pd.Series) -> pd.Series:
+def block_pairs(*columns: pd.Series) -> pd.Series:
     """Both keys, one behind the other, of all possible pairs of different classes in two blocks."""
-    out = []
-    for ma, ra, wa, sa, mb, rb, wb, sb, one in zip(
-            member_a, root_a, words_a, bits_a, member_b, root_b, words_b, bits_b, same, strict=True):
-        code = np.unique(np.concatenate((ra, rb)).astype(str), return_inverse=True)[1]
-        code_a, code_b = code[: len(ra)], code[len(ra) :]
-        found: list[str] = []
-        if code.any():
-            for i, j, mask in possible(np.asarray(wa, np.int64), list(sa), np.asarray(wb, np.int64), list(sb)):
-                mask &= code_a[i : i + mask.shape[0], None] != code_b[None, j : j + mask.shape[1]]
-                if one:
-                    mask = np.triu(mask, i - j + 1)
-                found.extend(ma[i + x] + mb[j + y] for x, y in zip(*(k.tolist() for k in np.nonzero(mask)), strict=True))
-        out.append(found)
-    return pd.Series(out, dtype=object)
+    n = len(SIGNED)
+    return pd.Series([
+        _pairs_of(pd.DataFrame(dict(zip(SIGNED, row[:n], strict=True))),
+                  pd.DataFrame(dict(zip(SIGNED, row[n:-1], strict=True))), row[-1])
+        for row in zip(*columns, strict=True)], dtype=object)
 
 
 def text_key(text) -> F.Column:
@@ -358,7 +387,7 @@ def _rest(led: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
         F.ceil(F.sum("words") / F.lit(BLOCK)).alias("parts"))
     rows = rows.join(sizes, ["bucket", "band"]).withColumn("part", F.pmod(F.xxhash64("member"), "parts"))
     blocks = stored(rows.groupBy("bucket", "band", "part").agg(
-        F.collect_list(F.struct("member", "root", "words", "bits")).alias("rows")), "blocks")
+        F.collect_list(F.struct(*SIGNED)).alias("rows")), "blocks")
     place = blocks.select("bucket", "band", "part")
     first = place.select("bucket", F.col("band").alias("band_a"), F.col("part").alias("part_a"),
                          F.explode(F.array("band", F.col("band") + 1)).alias("band"))
@@ -366,7 +395,7 @@ def _rest(led: DataFrame, known: DataFrame, texts: DataFrame) -> DataFrame:
     tried = tried.join(blocks.select("bucket", F.col("band").alias("band_a"), F.col("part").alias("part_a"),
                                      F.col("rows").alias("a")), ["bucket", "band_a", "part_a"])
     tried = tried.join(blocks.withColumnRenamed("rows", "b"), ["bucket", "band", "part"])
-    keys = block_pairs(*[F.col(f"{x}.{c}") for x in "ab" for c in ("member", "root", "words", "bits")],
+    keys = block_pairs(*[F.col(f"{x}.{c}") for x in "ab" for c in SIGNED],
                        (F.col("band_a") == F.col("band")) & (F.col("part_a") == F.col("part")))
     keys = tried.select(F.explode(keys).alias("key"))
     return keys.select(F.substring("key", 1, 32).alias("leader"), F.substring("key", 33, 32).alias("member"))

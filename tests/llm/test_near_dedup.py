@@ -159,5 +159,7 @@ def test_bounds_keep_all_links():
             (_, _, mask), = N.possible(*[x for k in (i, j) for x in (np.array([signed[k][0]]), [signed[k][1]])])
             link = N.similarity(hashes[i], hashes[j]) >= N.SIMILARITY
             assert mask[0, 0] or not link
-            linked, ruled_out = linked + link, ruled_out + (not mask[0, 0])
+            kept = N.enough_words(*[x for k in (i, j) for x in (np.array([signed[k][0]]), [signed[k][2]])], np.array([[0, 0]]))
+            assert len(kept) or not link
+            linked, ruled_out = linked + link, ruled_out + (not mask[0, 0] or not len(kept))
     assert linked > 100 and ruled_out > 100
