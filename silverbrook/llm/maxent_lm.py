@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from silverbrook.llm.common import documents, stored
 
 FREQUENT = 1 << 16
-HEAD, TAIL = 16, 7
+HEAD, TAIL = 20, 11
 END_CLASS = HEAD
 CLASSES = HEAD + 1 + TAIL
 ROW_BITS = 14

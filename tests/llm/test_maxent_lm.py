@@ -85,3 +85,7 @@ def test_nothing_to_learn_from(spark):
     got = M.score(docs, F.lit(False)).collect()
     assert all(r["base_score"] == 0 and r["n_known"] == 0 and r["train_tokens"] == 0 for r in got)
     assert M.score(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_all_classes_are_there():
+    assert M.CLASSES == 32
