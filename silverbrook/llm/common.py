@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,3 +61,31 @@ def words_of(text: Column) -> Column:
 def record(**fields: T.DataType) -> T.StructType:
     """A struct type, also without a running session, as module-level functions need it."""
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def ordered(rows: DataFrame, group: list[str], order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows stored in order with ``at_``, and the runs that tell their places in their group.
+
+    Rows are dealt by ranges of (group, order), so no group is one task. A run is the part of a
+    group in one range: ``part_``, its least ``at_`` as ``first_``, the rows of the group ``before_``
+    it and in ``total_``. The place of a row is ``at_ - first_ + before_``. A group has at most as
+    many runs as there are ranges.
+    """
+    dealt = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    laid = stored(dealt.withColumn("at_", F.monotonically_increasing_id()), name)
+    laid = laid.withColumn("part_", F.shiftright("at_", 33))
+    runs = laid.groupBy(*group, "part_").agg(F.min("at_").alias("first_"), F.count("*").alias("rows_"))
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    before = whole.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    return laid, runs.select(
+        *group, "part_", "first_", F.coalesce(F.sum("rows_").over(before), F.lit(0)).alias("before_"),
+        F.sum("rows_").over(whole).alias("total_"))
+
+
+def placed(laid: DataFrame, runs: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of ``ordered`` with ``pos_`` (from 0) and whatever else the runs hold."""
+    keys = [*group, "part_"]
+    of = runs.withColumnsRenamed({c: f"of_{c}" for c in keys})
+    same = [laid[c].eqNullSafe(of[f"of_{c}"]) for c in keys]
+    return laid.join(of, same).withColumn("pos_", F.expr("at_ - first_ + before_")).drop(
+        *(f"of_{c}" for c in keys), "part_", "at_", "first_", "before_")

@@ -7,6 +7,7 @@ from silverbrook.llm import (
     byte_cnn,
     html_text,
     maxent_lm,
+    merkle,
     mixing,
     multi_index,
     near_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_multi_index": multi_index.op8_multi_index,
     "op9_byte_cnn": byte_cnn.op9_byte_cnn,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 SQL: dict[str, str] = {}
