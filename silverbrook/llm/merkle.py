@@ -194,3 +194,68 @@ def manifest(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(documents(spark, sf_dir))
+
+
+SQL = """
+WITH RECURSIVE
+fields AS (
+  SELECT doc_id, lang, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [-1 - ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda crc, op: CASE WHEN op < 0 THEN xor(crc, -1 - op)
+        ELSE xor(crc // 2, CASE WHEN crc % 2 = 1 THEN 3988292384 ELSE 0 END) END) AS inverse
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN (4294967295 - inverse) % 7 = 0 THEN
+      sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS changed
+  FROM fields),
+langs AS (
+  SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER () AS trees
+  FROM (SELECT DISTINCT lang FROM leaves)),
+based AS (
+  SELECT doc_id, leaf, changed, tree, trees, count(*) OVER (PARTITION BY tree) AS n,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaves JOIN langs ON leaves.lang IS NOT DISTINCT FROM langs.lang),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS node, n FROM based
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+subroots AS (SELECT tree, node AS subroot, level AS height FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, subroots.tree AS pos, subroot AS node, trees AS n
+  FROM subroots JOIN langs ON subroots.tree = langs.tree
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2, n),
+top AS (SELECT node AS root, level AS levels FROM tops WHERE n = 1),
+steps AS (
+  SELECT p.tree, p.pos, p.level, (p.pos >> p.level) % 2 AS is_right, nodes.node AS other
+  FROM (SELECT b.tree, b.pos, CAST(unnest(range(s.height)) AS INTEGER) AS level
+        FROM based b JOIN subroots s ON b.tree = s.tree) p
+  LEFT JOIN nodes ON nodes.tree = p.tree AND nodes.level = p.level AND nodes.pos = xor(p.pos >> p.level, 1)
+  UNION ALL
+  SELECT p.tree, p.pos, p.height + p.level, (p.tree >> p.level) % 2, tops.node
+  FROM (SELECT b.tree, b.pos, s.height, CAST(unnest(range(levels)) AS INTEGER) AS level
+        FROM based b JOIN subroots s ON b.tree = s.tree, top) p
+  LEFT JOIN tops ON tops.level = p.level AND tops.pos = xor(p.tree >> p.level, 1)),
+proofs AS (
+  SELECT tree, pos, coalesce(string_agg(other, '' ORDER BY level), '') AS siblings FROM steps GROUP BY tree, pos),
+folds AS (
+  SELECT tree, pos, 0 AS level, coalesce(changed, leaf) AS node FROM based
+  UNION ALL
+  SELECT folds.tree, folds.pos, folds.level + 1, sha256(
+    CASE WHEN other IS NULL THEN node WHEN is_right = 1 THEN other || node ELSE node || other END)
+  FROM folds JOIN steps ON steps.tree = folds.tree AND steps.pos = folds.pos AND steps.level = folds.level),
+folded AS (SELECT tree, pos, max_by(node, level) AS folded_root FROM folds GROUP BY tree, pos)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM based JOIN folded USING (tree, pos) LEFT JOIN proofs USING (tree, pos)
+JOIN subroots ON subroots.tree = based.tree CROSS JOIN top
+"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from silverbrook.llm import (
+    alignment,
     byte_bpe,
     byte_cnn,
     html_text,
@@ -14,6 +15,7 @@ from silverbrook.llm import (
     quality_rules,
     secret_scan,
     token_counts,
+    token_files,
 )
 
 QUERIES = {
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_byte_cnn": byte_cnn.op9_byte_cnn,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_merkle": merkle.op11_merkle,
+    "op12_token_files": token_files.op12_token_files,
+    "op13_alignment": alignment.op13_alignment,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_merkle": merkle.SQL}
