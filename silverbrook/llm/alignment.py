@@ -22,8 +22,8 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import os
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 from typing import NamedTuple
 
@@ -33,9 +33,8 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from silverbrook.llm.chunks import Remembered, chunks
+from silverbrook.llm.chunks import ByteLevel, Remembered
 from silverbrook.llm.common import documents, field, stored
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -45,29 +44,35 @@ SPACE = "▁"  # fixed value: the second vocabulary's mark of a space
 
 
 class Part(NamedTuple):
-    """An aligned chunk: tokens of both, groups of ids, links by number of the pair."""
+    """An aligned chunk: tokens of both, groups and their ids as text, links as 64-bit numbers of pairs."""
 
     n_a: int
     n_b: int
-    groups: list[tuple[list[int], list[int]]]
+    n_groups: int
     written: str
-    links: np.ndarray
+    links: bytes
 
+    def groups(self) -> Iterator[tuple[list[int], list[int]]]:
+        for group in self.written.split(";"):
+            a, b = group.split("|")
+            yield list(map(int, a.split(","))), list(map(int, b.split(",")))
 
-def slices(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]):
-    """The groups of two id lists, and the linked pairs, given each token's bytes."""
-    at_a = {end: i for i, end in enumerate(accumulate(sizes_a), 1)}
-    at_b = {end: i for i, end in enumerate(accumulate(sizes_b), 1)}
+
+def slices(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[list[str], list[int]]:
+    """The groups of two id lists as text, and the linked pairs as numbers, given each token's bytes."""
+    at_a = dict(zip(accumulate(sizes_a), range(1, len(a) + 1)))
+    at_b = dict(zip(accumulate(sizes_b), range(1, len(b) + 1)))
     groups, links, i, j = [], [], 0, 0
     for end in sorted(at_a.keys() & at_b.keys()):
         to_i, to_j = at_a[end], at_b[end]
-        groups.append((a[i:to_i], b[j:to_j]))
-        if to_i - i == 1 or to_j - j == 1:
-            links += [(x, y) for x in a[i:to_i] for y in b[j:to_j]]
+        if to_i - i == to_j - j == 1:
+            groups.append(f"{a[i]}|{b[j]}")
+            links.append(a[i] << SHIFT | b[j])
         else:
+            groups.append(f"{','.join(map(str, a[i:to_i]))}|{','.join(map(str, b[j:to_j]))}")
             left, right = sizes_a[i], sizes_b[j]
             while True:
-                links.append((a[i], b[j]))
+                links.append(a[i] << SHIFT | b[j])
                 if i + 1 == to_i and j + 1 == to_j:
                     break
                 least = min(left, right)
@@ -84,54 +89,53 @@ class Aligner:
     """Both tokenizers, one per Python worker."""
 
     def __init__(self, first: str = FIRST, second: str = SECOND) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_file(public_tokenizers.path(first))
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.a = ByteLevel(first, plain_specials=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(second))
-        # Printable bytes stand for themselves in a byte-level vocabulary, the others for
-        # the characters from 256 on.
-        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [x for x in range(256) if x not in own]
-        of_char = {chr(x): x for x in own} | {chr(256 + k): x for k, x in enumerate(rest)}
-        self.bytes_a = {i: bytes(of_char[c] for c in token) if all(c in of_char for c in token) else token.encode()
-                        for token, i in self.a.get_vocab().items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_a = self.a.bytes
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
         self.space = self.b.piece_to_id(SPACE)
-        self.parts = Remembered(self._align, lambda p: 200 + 8 * len(p.links) + 240 * len(p.groups) if p else 0)
+        self.parts = Remembered(self._align, lambda p: 200 + len(p.written) + len(p.links) if p else 0)
 
     def _align(self, parts: list[str]) -> Iterator[Part | None]:
         """Chunks that begin with a space, as the second tokenizer puts one before each text."""
-        ids_a = [x.ids for x in self.a.encode_batch_fast(parts, add_special_tokens=False)]
         ids_b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        for part, a, b in zip(parts, ids_a, ids_b, strict=True):
-            b = b or [self.space]
+        for part, found, b in zip(parts, self.a.of_chunks(parts), ids_b, strict=True):
+            a, b = array("I", found).tolist(), b or [self.space]
             raw_a, raw_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
             if not b"".join(raw_a) == b"".join(raw_b) == part.encode():
                 yield None
                 continue
             groups, links = slices(a, b, list(map(len, raw_a)), list(map(len, raw_b)))
-            written = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-            yield Part(len(a), len(b), groups, written, np.array([x << SHIFT | y for x, y in links], dtype=np.int64))
-
-    def aligned(self, text: str | None) -> list[Part]:
-        """The aligned chunks of a whole text; none if it is empty or a tokenizer changes it."""
-        if not text:
-            return []
-        out = [p for part in chunks(" " + text) for p in self.parts(part)]
-        return out if all(out) else []
-
-    def row(self, text: str | None) -> tuple:
-        parts = self.aligned(text)
-        if not parts:
-            return 0, 0, 0, 0, "", [], []
-        pairs, times = np.unique(np.concatenate([p.links for p in parts]), return_counts=True)
-        written = hashlib.sha256()
-        for k in range(0, len(parts), 1 << 16):
-            written.update((";" * bool(k) + ";".join(p.written for p in parts[k : k + (1 << 16)])).encode())
-        return (sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(len(p.groups) for p in parts),
-                int(times.sum()), written.hexdigest(), pairs, times)
+            yield Part(len(a), len(b), len(groups), ";".join(groups), array("q", links).tobytes())
+
+    def aligned(self, texts: Iterable[str | None]) -> Iterator[list[Part]]:
+        """The aligned chunks of each whole text; none if it is empty or a tokenizer changes it."""
+        spaced = [" " + t if t else "" for t in texts]
+        at, held = 0, []
+        for i, parts in self.parts.of(spaced):
+            while at < i:
+                yield held if all(held) else []
+                at, held = at + 1, []
+            held += parts
+        while at < len(spaced):
+            yield held if all(held) else []
+            at, held = at + 1, []
+
+    def rows(self, texts: Iterable[str | None]) -> Iterator[tuple]:
+        """Per text: tokens of both, groups, links, digest of the groups, distinct links and their times."""
+        for parts in self.aligned(texts):
+            if not parts:
+                yield 0, 0, 0, 0, "", [], []
+                continue
+            links = np.frombuffer(b"".join([p.links for p in parts]), dtype=np.int64)
+            pairs, times = np.unique(links, return_counts=True)
+            written = hashlib.sha256()
+            for k in range(0, len(parts), 1 << 16):
+                written.update((";" * bool(k) + ";".join(p.written for p in parts[k : k + (1 << 16)])).encode())
+            yield (sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts),
+                   len(links), written.hexdigest(), pairs, times)
 
 
 _own: list[Aligner] = []
@@ -153,7 +157,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     @F.pandas_udf(", ".join(f"{name} {kind}" for name, kind in ROW.items()))
     def look(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.DataFrame([aligner().row(t) for t in batch], columns=list(ROW))
+            yield pd.DataFrame(list(aligner().rows(batch)), columns=list(ROW))
 
     rows = docs.select(field("doc_id"), look(field("text")).alias("x")).select("doc_id", "x.*")
     return rows.withColumn("row", F.monotonically_increasing_id())
@@ -165,9 +169,9 @@ def groups(docs: DataFrame) -> DataFrame:
     @F.pandas_udf("array<struct<a array<int>, b array<int>, begin long, end long>>")
     def look(texts: pd.Series) -> pd.Series:
         own, out = aligner(), []
-        for text in texts:
+        for parts in own.aligned(texts):
             found, begin = [], 0
-            for a, b in (g for p in own.aligned(text) for g in p.groups):
+            for a, b in (g for p in parts for g in p.groups()):
                 end = begin + sum(len(own.bytes_a[i]) for i in a)
                 found.append({"a": a, "b": b, "begin": begin, "end": end})
                 begin = end

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
+from itertools import accumulate, islice
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
 # Fixed value: white space but the plain space, as the tokenizers' split patterns know it.
 _OTHER = "\t-\r\x85\xa0  -     　"
@@ -13,35 +18,108 @@ _ANY = f" {_OTHER}"
 # vocabularies never match across such a place, nor do pieces that hold the space mark inside.
 _CHUNK = re.compile(
     f"(?: [{_ANY}]*[^{_ANY}]*|[^{_ANY}]+|[{_OTHER}][{_ANY}]*[^{_ANY}]*)(?:[{_OTHER}][{_ANY}]*[^{_ANY}]*)*")
-GROUP = 1 << 18
+GROUP = 1 << 20  # characters of texts that are looked at together
 
 
 def chunks(text: str) -> Iterator[list[str]]:
-    """The chunks of a text in order, at most GROUP at a time; joined they are the text."""
+    """The chunks of a text in order, in lists of bounded length; joined they are the text."""
     if len(text) <= GROUP:
         yield _CHUNK.findall(text)
         return
     found = (m[0] for m in _CHUNK.finditer(text))
-    yield from iter(lambda: list(islice(found, GROUP)), [])
+    yield from iter(lambda: list(islice(found, GROUP >> 3)), [])
+
+
+def groups(texts: Iterable[str]) -> Iterator[list[tuple[int, list[str]]]]:
+    """Chunks of texts with the text's number, about GROUP characters at a time."""
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        for part in chunks(text):
+            group.append((i, part))
+            held += min(len(text), GROUP)
+            if held >= GROUP:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
 
 
 class Remembered:
-    """What ``make`` gives for each string, kept up to about ``limit`` bytes of strings and results."""
+    """What ``make`` gives for each string, remembered within a bound of bytes.
+
+    Two generations of about ``limit`` bytes each: when the newer one is full it becomes the older, and
+    what is asked for again moves back, so strings that recur often are never made anew.
+    """
 
     def __init__(self, make: Callable[[list[str]], Iterable], cost: Callable[[object], int], limit: int = 96 << 20):
         self.make, self.cost, self.limit = make, cost, limit
         self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
         self.held = 0
 
-    def __call__(self, parts: list[str]) -> Iterator:
-        """Results for strings in order."""
-        new = set(parts).difference(self.known)
-        if new:
-            if self.held > self.limit:
-                self.known.clear()
-                self.held, new = 0, set(parts)
-            ordered = sorted(new)
-            for part, made in zip(ordered, self.make(ordered), strict=True):
-                self.known[part] = made
-                self.held += 200 + 2 * len(part) + self.cost(made)
-        return map(self.known.__getitem__, parts)
+    def _keep(self, part: str, made: object) -> None:
+        self.known[part] = made
+        self.held += 200 + 2 * len(part) + self.cost(made)
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Makes what is not known yet. What is known may go first, so ask for one group at a time."""
+        new = set(parts)
+        wanted = new.difference(self.known)
+        if wanted and self.held > self.limit:
+            self.known, self.older, self.held, wanted = {}, self.known, 0, new
+        unknown = sorted(wanted.difference(self.older))
+        for part in wanted.intersection(self.older):
+            self._keep(part, self.older[part])
+        for part, made in zip(unknown, self.make(unknown), strict=True):
+            self._keep(part, made)
+
+    def of(self, texts: Iterable[str]) -> Iterator[tuple[int, list]]:
+        """(number of the text, results of its chunks), in order; a long text comes in several parts."""
+        for group in groups(texts):
+            self.learn(p for _, part in group for p in part)
+            for i, part in group:
+                yield i, list(map(self.known.__getitem__, part))
+
+
+class ByteLevel:
+    """A byte-level vocabulary of the tokenizers library, with the bytes of its tokens."""
+
+    def __init__(self, name: str, plain_specials: bool = False) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.library = Tokenizer.from_file(public_tokenizers.path(name))
+        self.library.encode_special_tokens = plain_specials
+        # Printable bytes stand for themselves in such a vocabulary, the others for the
+        # characters from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [x for x in range(256) if x not in own]
+        of_char = {chr(x): x for x in own} | {chr(256 + k): x for k, x in enumerate(rest)}
+        self.bytes = {i: bytes(of_char[c] for c in token) if all(c in of_char for c in token) else token.encode()
+                      for token, i in self.library.get_vocab().items()}
+        self.sizes = np.zeros(max(self.bytes) + 1, dtype=np.int64)
+        self.sizes[list(self.bytes)] = list(map(len, self.bytes.values()))
+
+    def of_chunks(self, parts: list[str], together: int = 1000) -> list[bytes]:
+        """Ids of each chunk, as little-endian 32-bit integers.
+
+        Chunks that may follow each other are given to the library as one text and cut by their bytes.
+        """
+        out: list[bytes] = [b""] * len(parts)
+        follow = [p[:1] == " " and not p[-1].isspace() for p in parts]
+        whole = [k for k, good in enumerate(follow) if good]
+        runs = [whole[k : k + together] for k in range(0, len(whole), together)]
+        runs += [[k] for k, good in enumerate(follow) if not good]
+        texts = ["".join([parts[k] for k in run]) for run in runs]
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        for run, made in zip(runs, found, strict=True):
+            ids = np.array(made.ids, dtype="<u4")
+            ends = np.cumsum(self.sizes[ids])
+            cuts = list(accumulate([len(parts[k].encode()) for k in run]))
+            at = np.searchsorted(ends, cuts)
+            if not np.array_equal(ends[at], cuts):
+                raise ValueError("a token crosses a place where the tokenizer has to end one")
+            raw, begin = ids.tobytes(), 0
+            for k, last in zip(run, at.tolist(), strict=True):
+                end = 4 * last + 4
+                out[k] = raw[begin:end]
+                begin = end
+        return out

@@ -8,15 +8,14 @@ little-endian: magic, version, levels, documents, tokens and the sections' place
 document, its id, whether it has one, and the end of its tokens; then, per level, chunks, bitmap and
 directory.
 
-Documents are encoded once, where they are read; chunks of text that recur are encoded once per task
-and remembered within a bound of bytes. The ids are stored, dealt by ranges of ``doc_id`` and written
-by the tasks that sort them, through any file system that Arrow reaches. A file's name is new on each
-attempt, and only files in the manifest, which Spark commits, count: a lost executor leaves nothing
-that is read. The manifest tells each file's first token and document by sums over files and over
+Documents are dealt by ranges of ``doc_id``; the tasks that sort them encode and write them, through any
+file system that Arrow reaches. Chunks of text that recur are encoded once per worker and remembered
+within a bound of bytes. A file's name is new on each attempt, and only files in the manifest, which
+Spark commits, count: a lost executor leaves nothing that is read. The manifest tells each file's first token and document by sums over files and over
 ranges, so no sum runs over all files at once.
 
 Defined results: a null or empty text has just the end id. Null ids come first, equal ids are ordered
-by a hash of their tokens and then as they were read, and repeated rows are documents of their own. A
+by a hash of their text and then as they were read, and repeated rows are documents of their own. A
 very long text makes a long file, as documents are whole. Strings of special tokens are their ids, as
 the library does by default. Other columns are not read. An empty table gives no files and no rows.
 """
@@ -24,7 +23,6 @@ the library does by default. Other columns are not read. An empty table gives no
 from __future__ import annotations
 
 import io
-import os
 import struct
 import uuid
 import zlib
@@ -32,14 +30,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import public_tokenizers
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from silverbrook.llm.chunks import Remembered, chunks
+from silverbrook.llm.chunks import ByteLevel, Remembered
 from silverbrook.llm.common import documents, field, stored
 from silverbrook.session import shared_dir
 
@@ -62,21 +58,25 @@ _encoders: dict[str, Remembered] = {}
 def encoder(name: str = VOCABULARY) -> Remembered:
     """Ids of chunks as little-endian 32-bit integers; one per Python worker."""
     if name not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library = Tokenizer.from_file(public_tokenizers.path(name))
+        _encoders[name] = Remembered(ByteLevel(name).of_chunks, len)
+    return _encoders[name]
 
-        def make(parts: list[str]) -> Iterator[bytes]:
-            for made in library.encode_batch_fast(parts, add_special_tokens=False):
-                yield np.array(made.ids, dtype="<u4").tobytes()
 
-        _encoders[name] = Remembered(make, len)
-    return _encoders[name]
+def encoded(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Ids of each whole text, with the end id."""
+    end, at, held = END.to_bytes(4, "little"), 0, []
 
+    def whole() -> np.ndarray:
+        return np.frombuffer(b"".join([*held, end]), dtype="<u4")
 
-def encode(text: str | None) -> bytes:
-    """Ids of a whole text, with the end id."""
-    own = encoder()
-    return b"".join([*(x for part in chunks(text or "") for x in own(part)), END.to_bytes(4, "little")])
+    for i, parts in encoder().of(t or "" for t in texts):
+        while at < i:
+            yield whole()
+            at, held = at + 1, []
+        held += parts
+    while at < len(texts):
+        yield whole()
+        at, held = at + 1, []
 
 
 def pack(ids: np.ndarray, ends: np.ndarray, doc_ids: list[int | None]) -> bytes:
@@ -158,20 +158,7 @@ def _inside(raw: bytes) -> Reader:
     return lambda at, n: raw[at : at + n]
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, ids): every whole text's ids with the end id, 16 bits each where they suffice."""
-    kind = "<u2" if Tokenizer.from_file(public_tokenizers.path(VOCABULARY)).get_vocab_size() <= 1 << 16 else "<u4"
-
-    @F.pandas_udf("binary")
-    def coded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            yield batch.map(lambda t: np.frombuffer(encode(t), dtype="<u4").astype(kind).tobytes())
-
-    text = F.coalesce(field("text"), F.lit(""))
-    return docs.select(field("doc_id"), F.lit(kind).alias("kind"), coded(text).alias("ids"))
-
-
-def write(coded: DataFrame, folder: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
+def write(docs: DataFrame, folder: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Writes files in ascending ``doc_id``; returns the stored manifest.
 
     The manifest has (file, part, number, docs, tokens, start): ``start`` counts the tokens before.
@@ -191,8 +178,7 @@ def write(coded: DataFrame, folder: str, file_tokens: int = FILE_TOKENS) -> Data
             return pd.DataFrame({"file": [name], "part": [part], "number": [number], "docs": [len(ids)], "tokens": [held]})
 
         for batch in batches:
-            for doc_id, kind, raw in zip(batch["doc_id"], batch["kind"], batch["ids"], strict=True):
-                own = np.frombuffer(raw, dtype=kind)
+            for doc_id, own in zip(batch["doc_id"], encoded(batch["text"].tolist()), strict=True):
                 ids.append(own)
                 names.append(None if doc_id is None else int(doc_id))
                 held += len(own)
@@ -202,10 +188,10 @@ def write(coded: DataFrame, folder: str, file_tokens: int = FILE_TOKENS) -> Data
         if ids:
             yield full()
 
-    rows = stored(coded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    order = ["doc_id", F.xxhash64("ids"), "row"]
+    rows = docs.select(field("doc_id"), field("text"), F.monotonically_increasing_id().alias("row"))
+    order = ["doc_id", F.xxhash64("text"), "row"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "kind", "ids")
+    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     files = stored(rows.mapInPandas(save, "file string, part long, number long, docs long, tokens long"), "token-manifest")
     parts = files.groupBy("part").agg(F.sum("tokens").alias("of_part"))
     so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -270,4 +256,4 @@ def lookup(files: DataFrame, positions: DataFrame) -> DataFrame:
 
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/llm/token-files-{uuid.uuid4().hex}"
-    return read(write(tokens(documents(spark, sf_dir)), folder))
+    return read(write(documents(spark, sf_dir), folder))

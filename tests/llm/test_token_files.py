@@ -6,12 +6,12 @@ from itertools import accumulate
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import ROWS, frame
 from tokenizers import Tokenizer
 
-from silverbrook.llm import token_files
+from silverbrook.llm import chunks, token_files
 from silverbrook.llm.queries import QUERIES
 
 
@@ -21,6 +21,7 @@ def plain():
     return lambda text: [*library.encode(text or "", add_special_tokens=False).ids, 0]
 
 
+@settings(deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 255), st.integers(0, 70_000), st.integers(0, 2**32 - 1)), max_size=1500),
        st.data())
 def test_codes(ids, data):
@@ -42,18 +43,26 @@ def test_codes(ids, data):
         assert sum(reads) <= held.levels * (1 + 8 + token_files.RANK_BITS // 8 + 1)  # no block is decoded
 
 
+@settings(deadline=None)
 @given(st.lists(st.sampled_from(
     ["a", "'s", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", " ", "　", "​", "<|endoftext|>", "é", "日本", "1", ".", "\r\n"]),
     max_size=12).map("".join))
 def test_chunks_leave_tokens_as_they_are(plain, text):
-    assert np.frombuffer(token_files.encode(text), dtype="<u4").tolist() == plain(text)
+    texts = [text, None, f"x{text}y", text * 3, ""]
+    assert [ids.tolist() for ids in token_files.encoded(texts)] == [plain(t) for t in texts]
+
+
+def test_long_texts_in_parts(plain, monkeypatch):
+    monkeypatch.setattr(chunks, "GROUP", 64)
+    texts = ["a long text of  many words\n " * 20, "", "short", "word " * 50, "x" * 500]
+    assert [ids.tolist() for ids in token_files.encoded(texts)] == [plain(t) for t in texts]
 
 
 def test_remembered_is_bounded():
     made = token_files.Remembered(lambda parts: [p.upper() for p in parts], len, limit=1000)
     for k in range(50):
-        assert list(made([f"p{k}", "q", f"p{k}"])) == [f"P{k}", "Q", f"P{k}"]
-    assert len(made.known) <= 8
+        assert list(made.of([f"p{k} q p{k}", "z"])) == [(0, [f"P{k}", " Q", f" P{k}"]), (1, ["Z"])]
+    assert len(made.known) + len(made.older) <= 20 and " q" not in made.older.keys() - made.known.keys()
 
 
 def result(got):
@@ -68,7 +77,7 @@ def expected(rows, plain):
 
 
 def test_odd_rows(spark, plain, tmp_path):
-    files = token_files.write(token_files.tokens(frame(spark)), str(tmp_path), file_tokens=10)
+    files = token_files.write(frame(spark), str(tmp_path), file_tokens=10)
     got = result(token_files.read(files))
     order = [r[0] for r in got]
     assert order == sorted(order, key=lambda i: (i is not None, i or 0)) and len(got) == len(ROWS)
@@ -80,14 +89,14 @@ def test_odd_rows(spark, plain, tmp_path):
 
 def test_files_that_no_manifest_names_are_not_read(spark, tmp_path):
     rows = [(i, f"text {i}", None, None, None) for i in range(20)]
-    files = token_files.write(token_files.tokens(frame(spark, rows)), str(tmp_path))
+    files = token_files.write(frame(spark, rows), str(tmp_path))
     (tmp_path / "00000000-000000-of-a-lost-attempt.dac").write_bytes(b"half a file")
     assert token_files.read(files).count() == 20
 
 
 def test_single_tokens(spark, plain, tmp_path):
     rows = [(i, f"token {i} of naïve 日本 text", None, None, None) for i in range(40)]
-    files = token_files.write(token_files.tokens(frame(spark, rows)), f"file://{tmp_path}", file_tokens=50)
+    files = token_files.write(frame(spark, rows), f"file://{tmp_path}", file_tokens=50)
     ids = [x for r in rows for x in plain(r[1])]
     wanted = [(0,), (len(ids) - 1,), (len(ids),), (-1,), (None,), (17,), (17,), *((k,) for k in range(100, 140))]
     got = token_files.lookup(files, spark.createDataFrame(wanted, "position long")).collect()
@@ -95,7 +104,7 @@ def test_single_tokens(spark, plain, tmp_path):
 
 
 def test_empty_table(spark, tmp_path):
-    files = token_files.write(token_files.tokens(frame(spark, [])), str(tmp_path))
+    files = token_files.write(frame(spark, []), str(tmp_path))
     assert files.count() == 0 and token_files.read(files).count() == 0
     assert token_files.lookup(files, spark.createDataFrame([(0,)], "position long")).count() == 0
 
