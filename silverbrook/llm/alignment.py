@@ -98,13 +98,13 @@ class Aligner:
         self.space = self.b.piece_to_id(SPACE)
         self.parts = Remembered(self._align, lambda p: 200 + len(p.written) + len(p.links) if p else 0)
 
-    def _align(self, parts: list[str]) -> Iterator[Part | None]:
-        """Chunks that begin with a space, as the second tokenizer puts one before each text."""
-        ids_b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        for part, found, b in zip(parts, self.a.of_chunks(parts), ids_b, strict=True):
+    def _align(self, keys: list[str]) -> Iterator[Part | None]:
+        """All chunks begin with a space, which the second tokenizer puts before what it is given."""
+        ids_b = self.b.encode(keys, num_threads=1)
+        for key, found, b in zip(keys, self.a.of_chunks(keys), ids_b, strict=True):
             a, b = array("I", found).tolist(), b or [self.space]
             raw_a, raw_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            if not b"".join(raw_a) == b"".join(raw_b) == part.encode():
+            if not b"".join(raw_a) == b"".join(raw_b) == f" {key}".encode():
                 yield None
                 continue
             groups, links = slices(a, b, list(map(len, raw_a)), list(map(len, raw_b)))

@@ -18,19 +18,39 @@ _ANY = f" {_OTHER}"
 # vocabularies never match across such a place, nor do pieces that hold the space mark inside.
 _CHUNK = re.compile(
     f"(?: [{_ANY}]*[^{_ANY}]*|[^{_ANY}]+|[{_OTHER}][{_ANY}]*[^{_ANY}]*)(?:[{_OTHER}][{_ANY}]*[^{_ANY}]*)*")
+_UNEVEN = re.compile(f"[{_ANY}] ")
 GROUP = 1 << 20  # characters of texts that are looked at together
 
+# A chunk goes by what follows its space; one that begins a text without a space is in a tuple.
+Key = str | tuple[str]
 
-def chunks(text: str) -> Iterator[list[str]]:
-    """The chunks of a text in order, in lists of bounded length; joined they are the text."""
-    if len(text) <= GROUP:
-        yield _CHUNK.findall(text)
-        return
-    found = (m[0] for m in _CHUNK.finditer(text))
-    yield from iter(lambda: list(islice(found, GROUP >> 3)), [])
 
+def written(key: Key) -> str:
+    """The chunk of a key."""
+    return key[0] if isinstance(key, tuple) else " " + key
 
-def groups(texts: Iterable[str]) -> Iterator[list[tuple[int, list[str]]]]:
+
+def _key(chunk: str) -> Key:
+    return chunk[1:] if chunk[0] == " " else (chunk,)
+
+
+def chunks(text: str) -> Iterator[list[Key]]:
+    """Keys of the chunks of a text in order, in lists of bounded length; joined the chunks are the text."""
+    if len(text) > GROUP:
+        found = (_key(m[0]) for m in _CHUNK.finditer(text))
+        yield from iter(lambda: list(islice(found, GROUP >> 3)), [])
+    elif _UNEVEN.search(text):
+        yield [_key(c) for c in _CHUNK.findall(text)]
+    elif text:  # no space follows white space, so that every space begins a chunk
+        keys: list[Key] = text.split(" ")  # type: ignore[assignment]
+        if keys[0]:
+            keys[0] = (keys[0],)
+        else:
+            del keys[0]
+        yield keys
+
+
+def groups(texts: Iterable[str]) -> Iterator[list[tuple[int, list[Key]]]]:
     """Chunks of texts with the text's number, about GROUP characters at a time."""
     group, held = [], 0
     for i, text in enumerate(texts):
@@ -45,40 +65,41 @@ def groups(texts: Iterable[str]) -> Iterator[list[tuple[int, list[str]]]]:
 
 
 class Remembered:
-    """What ``make`` gives for each string, remembered within a bound of bytes.
+    """What ``make`` gives for each chunk, remembered within a bound of bytes.
 
     Two generations of about ``limit`` bytes each: when the newer one is full it becomes the older, and
-    what is asked for again moves back, so strings that recur often are never made anew.
+    what is asked for again moves back, so chunks that recur often are never made anew.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable], cost: Callable[[object], int], limit: int = 96 << 20):
+    def __init__(self, make: Callable[[list[Key]], Iterable], cost: Callable[[object], int], limit: int = 128 << 20):
         self.make, self.cost, self.limit = make, cost, limit
-        self.known: dict[str, object] = {}
-        self.older: dict[str, object] = {}
+        self.known: dict[Key, object] = {}
+        self.older: dict[Key, object] = {}
         self.held = 0
 
-    def _keep(self, part: str, made: object) -> None:
-        self.known[part] = made
-        self.held += 200 + 2 * len(part) + self.cost(made)
-
-    def learn(self, parts: Iterable[str]) -> None:
-        """Makes what is not known yet. What is known may go first, so ask for one group at a time."""
-        new = set(parts)
-        wanted = new.difference(self.known)
-        if wanted and self.held > self.limit:
-            self.known, self.older, self.held, wanted = {}, self.known, 0, new
-        unknown = sorted(wanted.difference(self.older))
-        for part in wanted.intersection(self.older):
-            self._keep(part, self.older[part])
-        for part, made in zip(unknown, self.make(unknown), strict=True):
-            self._keep(part, made)
+    def _learn(self, wanted: set[Key]) -> dict[Key, object]:
+        if self.held > self.limit:
+            self.known, self.older, self.held = {}, self.known, 0
+        unknown = list(wanted.difference(self.older))
+        new = {key: self.older[key] for key in wanted.intersection(self.older)}
+        new.update(zip(unknown, self.make(unknown), strict=True))
+        self.known.update(new)
+        self.held += sum(200 + 2 * len(key) + self.cost(made) for key, made in new.items())
+        return new
 
     def of(self, texts: Iterable[str]) -> Iterator[tuple[int, list]]:
         """(number of the text, results of its chunks), in order; a long text comes in several parts."""
+        missing = object()
         for group in groups(texts):
-            self.learn(p for _, part in group for p in part)
-            for i, part in group:
-                yield i, list(map(self.known.__getitem__, part))
+            get = self.known.get
+            found = [[get(key, missing) for key in part] for _, part in group]
+            open_ = [missing in out for out in found]
+            new = self._learn({key for (_, part), out, gaps in zip(group, found, open_, strict=True) if gaps
+                               for key, made in zip(part, out, strict=True) if made is missing})
+            for (i, part), out, gaps in zip(group, found, open_, strict=True):
+                if gaps:
+                    out = [new[key] if made is missing else made for key, made in zip(part, out, strict=True)]
+                yield i, out
 
 
 class ByteLevel:
@@ -98,13 +119,14 @@ class ByteLevel:
         self.sizes = np.zeros(max(self.bytes) + 1, dtype=np.int64)
         self.sizes[list(self.bytes)] = list(map(len, self.bytes.values()))
 
-    def of_chunks(self, parts: list[str], together: int = 1000) -> list[bytes]:
+    def of_chunks(self, keys: list[Key], together: int = 1000) -> list[bytes]:
         """Ids of each chunk, as little-endian 32-bit integers.
 
         Chunks that may follow each other are given to the library as one text and cut by their bytes.
         """
-        out: list[bytes] = [b""] * len(parts)
-        follow = [p[:1] == " " and not p[-1].isspace() for p in parts]
+        out: list[bytes] = [b""] * len(keys)
+        parts = list(map(written, keys))
+        follow = [p[0] == " " and not p[-1].isspace() for p in parts]
         whole = [k for k, good in enumerate(follow) if good]
         runs = [whole[k : k + together] for k in range(0, len(whole), together)]
         runs += [[k] for k, good in enumerate(follow) if not good]

@@ -217,10 +217,9 @@ def read(files: DataFrame) -> DataFrame:
                 store, path = fs.FileSystem.from_uri(name)
                 with store.open_input_file(path) as raw:
                     held = TokenFile(_inside(raw.read()))
-                ends = held.ends()
+                ends, ids = held.ends(), held.slice(0, held.tokens).astype("<u4")
                 begins = np.append(0, ends[:-1])
-                crcs = [zlib.crc32(held.slice(a, b).astype("<u4").tobytes())
-                        for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                crcs = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
                 yield pd.DataFrame({
                     "doc_id": pd.Series(held.doc_ids(), dtype=object), "start": start + begins,
                     "n_tokens": ends - begins, "ids_crc32": crcs})
