@@ -54,12 +54,12 @@ def plausible(when: Column) -> Column:
 
 
 def valid_price() -> Column:
-    """A readable price above 0 in whole cents. NaN, infinities and what money can't hold are not."""
+    """A readable price above 0. NaN, infinities and what money can't hold are not."""
     return V.is_money("price") & (F.col("price").try_cast("double") > 0)
 
 
 def valid_freight() -> Column:
-    """A readable freight of 0 or more in whole cents."""
+    """A readable freight of 0 or more."""
     return V.is_money("freight_value") & (F.col("freight_value").try_cast("double") >= 0)
 
 
@@ -75,23 +75,28 @@ def state_code(column: str = "state") -> Column:
 
 
 def total_value() -> Column:
-    return F.round(F.col("price") + F.col("freight_value"), 2)
+    """Price and freight as they were written, added and then rounded to cents."""
+    return V.cents(V.amount("price") + V.amount("freight_value"))
 
 
 def silver_orders(raw: DataFrame) -> DataFrame:
-    """Clean orders, not yet deduplicated; ``cdc_ts_ms`` is kept for that step."""
+    """Clean orders, not yet deduplicated; ``cdc_ts_ms`` is kept for that step.
+
+    Amounts below a cent are rounded, never a reason to drop an order.
+    """
     bought = F.timestamp_micros("purchase_timestamp")
     typed = raw.filter(valid_order() & plausible(bought)).withColumns(
         {
-            "price": F.col("price").try_cast("double"),
-            "freight_value": F.col("freight_value").try_cast("double"),
+            "total_value": total_value(),
+            "price": V.cents(V.amount("price")),
+            "freight_value": V.cents(V.amount("freight_value")),
             "purchase_ts": bought,
             "state": state_code(),
             "category": F.trim("category"),
             "ingested_at": V.parse_ts("ingested_at"),
         }
     )
-    with_region = joins.with_region(typed.withColumn("total_value", total_value()))
+    with_region = joins.with_region(typed)
     return with_region.select(*schemas.SILVER["orders"].fieldNames(), "cdc_ts_ms")
 
 

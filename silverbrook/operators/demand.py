@@ -1,19 +1,16 @@
 """Demand models: one ridge regression per category, all fitted in one job.
 
 Spark reduces the training rows of every category to means and covariances (partial sums in
-each task, so no group is gathered); only these few numbers per category go to Python,
-where the 8 x 8 systems of an Arrow batch are solved together.
+each task, so no group is gathered) and solves the 8 x 8 systems in column expressions, a row per
+category.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from silverbrook import schemas, settings
 from silverbrook.functions import values as V
@@ -24,48 +21,48 @@ LABEL = "orders_count"
 _PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 
 
-def ridge_solver(p: int = len(FEATURES), reg: float = settings.DEMAND_REG):
-    """A function from rows of population moments to rows of intercept and coefficients.
+def _sum(terms: list[Column]) -> Column:
+    return reduce(lambda x, y: x + y, terms)
 
-    Features and label are scaled to unit deviation, the penalty is divided by the deviation
-    of the label, and a constant feature gets the coefficient 0. It is self-contained, so
-    executors need no copy of this package to run it.
+
+def ridge_solution(moments: DataFrame, keep: list[str], reg: float = settings.DEMAND_REG) -> DataFrame:
+    """``weights`` (intercept first) of each row's ridge system, by Cholesky factors in column expressions.
+
+    A row holds population moments: ``c_i_j`` (i <= j) and ``cy_i`` covariances, ``cy`` the variance of
+    the label, ``m_i`` and ``my`` means. Features and label are scaled to unit deviation, the penalty is
+    divided by the deviation of the label, and a constant feature gets the coefficient 0.
     """
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    cut = len(pairs)
-
-    def solve(rows: np.ndarray) -> np.ndarray:
-        covariance = np.zeros((len(rows), p, p))
-        for at, (i, j) in enumerate(pairs):
-            covariance[:, i, j] = covariance[:, j, i] = rows[:, at]
-        with_label = rows[:, cut : cut + p]
-        means, label_mean = rows[:, cut + p + 1 : -1], rows[:, -1]
-        spread = np.sqrt(np.clip(np.diagonal(covariance, axis1=1, axis2=2), 0.0, None))
-        label_spread = np.sqrt(np.clip(rows[:, cut + p], 0.0, None))
-        fixed = (spread == 0.0) | (label_spread == 0.0)[:, None]
-        scale = np.where(fixed, 1.0, spread)
-        label_scale = np.where(label_spread == 0.0, 1.0, label_spread)
-        both_vary = ~(fixed[:, :, None] | fixed[:, None, :])
-        system = np.where(both_vary, covariance / (scale[:, :, None] * scale[:, None, :]), 0.0)
-        system += np.eye(p) * (reg / label_scale)[:, None, None]
-        system += np.eye(p) * fixed[:, :, None]
-        target = np.where(fixed, 0.0, with_label / (scale * label_scale[:, None]))
-        beta = np.linalg.solve(system, target[:, :, None])[:, :, 0]
-        slopes = beta * label_scale[:, None] / scale
-        intercept = label_mean - (slopes * means).sum(axis=1)
-        return np.column_stack([intercept, slopes])
-
-    return solve
-
-
-def _fit() -> Callable[[str], Column]:
-    solve = ridge_solver()
-
-    def weights(moments: pd.Series) -> pd.Series:
-        return pd.Series(list(solve(np.array(moments.tolist(), dtype=float))))
-
-    weights.__annotations__ = {"moments": pd.Series, "return": pd.Series}
-    return F.pandas_udf(weights, T.ArrayType(T.DoubleType()))
+    p, col = range(len(FEATURES)), F.col
+    deviation = lambda c: F.sqrt(F.greatest(col(c), F.lit(0.0)))
+    rows = moments.withColumns({**{f"s_{i}": deviation(f"c_{i}_{i}") for i in p}, "sy": deviation("cy")})
+    rows = rows.withColumns({
+        **{f"f_{i}": (col(f"s_{i}") == 0) | (col("sy") == 0) for i in p},
+        "ky": F.when(col("sy") == 0, 1.0).otherwise(col("sy"))})
+    rows = rows.withColumns({f"k_{i}": F.when(col(f"f_{i}"), 1.0).otherwise(col(f"s_{i}")) for i in p})
+    system = {f"a_{j}_{i}": F.when(col(f"f_{i}") | col(f"f_{j}"), 0.0).otherwise(
+        col(f"c_{i}_{j}") / (col(f"k_{i}") * col(f"k_{j}"))) for i, j in _PAIRS if i < j}
+    system |= {f"a_{i}_{i}": F.when(col(f"f_{i}"), 1.0).otherwise(
+        col(f"c_{i}_{i}") / (col(f"k_{i}") * col(f"k_{i}"))) + reg / col("ky") for i in p}
+    system |= {f"b_{i}": F.when(col(f"f_{i}"), 0.0).otherwise(
+        col(f"cy_{i}") / (col(f"k_{i}") * col("ky"))) for i in p}
+    rows = rows.withColumns(system)
+    for j in p:
+        less = [col(f"l_{j}_{k}") * col(f"l_{j}_{k}") for k in range(j)]
+        rows = rows.withColumn(f"l_{j}_{j}", F.sqrt(reduce(lambda x, y: x - y, less, col(f"a_{j}_{j}"))))
+        rows = rows.withColumns({f"l_{i}_{j}": reduce(
+            lambda x, k, i=i, j=j: x - col(f"l_{i}_{k}") * col(f"l_{j}_{k}"), range(j), col(f"a_{i}_{j}"))
+            / col(f"l_{j}_{j}") for i in p if i > j})
+    for i in p:
+        rows = rows.withColumn(f"z_{i}", reduce(
+            lambda x, k, i=i: x - col(f"l_{i}_{k}") * col(f"z_{k}"), range(i), col(f"b_{i}")) / col(f"l_{i}_{i}"))
+    for i in reversed(p):
+        rows = rows.withColumn(f"w_{i}", reduce(
+            lambda x, k, i=i: x - col(f"l_{k}_{i}") * col(f"w_{k}"), range(i + 1, len(p)), col(f"z_{i}"))
+            / col(f"l_{i}_{i}"))
+    slopes = [col(f"w_{i}") * col("ky") / col(f"k_{i}") for i in p]
+    rows = rows.withColumns({f"x_{i}": slope for i, slope in enumerate(slopes)})
+    intercept = col("my") - _sum([col(f"x_{i}") * col(f"m_{i}") for i in p])
+    return rows.select(*keep, F.array(intercept, *[col(f"x_{i}") for i in p]).alias("weights"))
 
 
 def _number(name: str) -> Column:
@@ -89,17 +86,13 @@ def fit(split: DataFrame) -> DataFrame:
     x = [train(_number(name)) for name in FEATURES]
     y = train(_number(LABEL))
     # Variances come from the same formula as covariances, so a constant column is exactly 0.
-    moments = [F.covar_pop(x[i], x[j]) for i, j in _PAIRS]
-    moments += [F.covar_pop(v, y) for v in x]
-    moments += [F.covar_pop(y, y)]
-    moments += [F.avg(v) for v in x] + [F.avg(y)]
+    moments = [F.covar_pop(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in _PAIRS]
+    moments += [F.covar_pop(v, y).alias(f"cy_{i}") for i, v in enumerate(x)]
+    moments += [F.covar_pop(y, y).alias("cy"), F.avg(y).alias("my")]
+    moments += [F.avg(v).alias(f"m_{i}") for i, v in enumerate(x)]
     grouped = split.groupBy("category_id", "category_en").agg(
-        F.array(*moments).alias("moments"),
-        F.count(F.when(~F.col("is_train"), 1)).alias("n_test"),
-    )
-    return grouped.filter("n_test > 0").select(
-        "category_id", "category_en", _fit()("moments").alias("weights")
-    )
+        *moments, F.count(F.when(~F.col("is_train"), 1)).alias("n_test"))
+    return ridge_solution(grouped.filter("n_test > 0"), ["category_id", "category_en"])
 
 
 def predict() -> Column:

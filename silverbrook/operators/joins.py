@@ -55,8 +55,3 @@ def with_geography(facts: DataFrame, dim_geography: DataFrame) -> DataFrame:
 def with_calendar(facts: DataFrame, dim_date: DataFrame, columns: list[str]) -> DataFrame:
     """Calendar columns of a date id."""
     return facts.join(F.broadcast(dim_date.select("date_id", *columns)), "date_id", "left")
-
-
-def not_matched(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Rows of the batch whose key is not in the target yet."""
-    return batch.join(target.select(key), key, "left_anti")

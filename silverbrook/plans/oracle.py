@@ -37,6 +37,85 @@ def _mean(column: str) -> str:
     return f"{_total(column)} / count({column})"
 
 
+
+
+def _series(week: str) -> str:
+    """Daily series per category with lags and the mean of a week's rows."""
+    return f"""
+        SELECT * FROM (SELECT category AS category_en, purchase_date, orders_count, total_revenue,
+            isodow(purchase_date) AS day_of_week, isodow(purchase_date) >= 6 AS is_weekend,
+            month(purchase_date) AS month, quarter(purchase_date) AS quarter,
+            lag(orders_count, 1) OVER d AS lag_1, lag(orders_count, 7) OVER d AS lag_7,
+            lag(orders_count, 14) OVER d AS lag_14,
+            CAST(sum(orders_count) OVER w AS DOUBLE) / count(*) OVER w AS rolling_7d_mean
+          FROM (SELECT category, purchase_date, count(DISTINCT order_id) AS orders_count,
+              {_total('total_value')} AS total_revenue FROM fact_sales GROUP BY ALL)
+          WINDOW d AS (PARTITION BY category ORDER BY purchase_date),
+            w AS (PARTITION BY category ORDER BY purchase_date ROWS BETWEEN {week}))
+        WHERE lag_14 IS NOT NULL"""
+
+
+def _demand(rows: str) -> dict[str, tuple[list[str], str]]:
+    """Parts that fit a ridge regression per category over a series, by Cholesky factors, and test it."""
+    names, p = settings.DEMAND_FEATURES, range(len(settings.DEMAND_FEATURES))
+    x = [f"CAST({name} AS DOUBLE)" for name in names]
+    y = "CAST(orders_count AS DOUBLE)"
+    train = "FILTER (WHERE is_train)"
+    moments = [f"covar_pop({x[i]}, {x[j]}) {train} AS c_{i}_{j}" for i in p for j in p if i <= j]
+    moments += [f"covar_pop({x[i]}, {y}) {train} AS cy_{i}" for i in p]
+    moments += [f"covar_pop({y}, {y}) {train} AS cy", f"avg({y}) {train} AS my"]
+    moments += [f"avg({x[i]}) {train} AS m_{i}" for i in p]
+    system = [f"sqrt(greatest(c_{i}_{i}, 0)) AS s_{i}" for i in p] + ["sqrt(greatest(cy, 0)) AS sy"]
+    system += [f"s_{i} = 0 OR sy = 0 AS f_{i}" for i in p] + ["CASE WHEN sy = 0 THEN 1 ELSE sy END AS ky"]
+    system += [f"CASE WHEN f_{i} THEN 1 ELSE s_{i} END AS k_{i}" for i in p]
+    system += [f"CASE WHEN f_{i} OR f_{j} THEN 0 ELSE c_{i}_{j} / (k_{i} * k_{j}) END AS a_{j}_{i}"
+               for i in p for j in p if i < j]
+    system += [f"CASE WHEN f_{i} THEN 1 ELSE c_{i}_{i} / (k_{i} * k_{i}) END + {settings.DEMAND_REG}::DOUBLE / ky"
+               f" AS a_{i}_{i}" for i in p]
+    system += [f"CASE WHEN f_{i} THEN 0 ELSE cy_{i} / (k_{i} * ky) END AS b_{i}" for i in p]
+    for j in p:
+        system.append(f"sqrt(a_{j}_{j}" + "".join(f" - l_{j}_{k} * l_{j}_{k}" for k in range(j)) + f") AS l_{j}_{j}")
+        system += [f"(a_{i}_{j}" + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j)) + f") / l_{j}_{j} AS l_{i}_{j}"
+                   for i in p if i > j]
+    system += [f"(b_{i}" + "".join(f" - l_{i}_{k} * z_{k}" for k in range(i)) + f") / l_{i}_{i} AS z_{i}" for i in p]
+    system += [f"(z_{i}" + "".join(f" - l_{k}_{i} * w_{k}" for k in p if k > i) + f") / l_{i}_{i} AS w_{i}"
+               for i in reversed(p)]
+    system += [f"w_{i} * ky / k_{i} AS x_{i}" for i in p]
+    system.append("my - (" + " + ".join(f"x_{i} * m_{i}" for i in p) + ") AS x0")
+    predicted = "x0 + " + " + ".join(f"x_{i} * {x[i]}" for i in p)
+    return {
+        f"{rows}_cut": (
+            [rows],
+            f"""
+            SELECT *, purchase_date <= max(CASE WHEN n <= floor(n_rows * {settings.DEMAND_TRAIN_SHARE}::DOUBLE)
+                THEN purchase_date END) OVER (PARTITION BY category_en) AS is_train
+            FROM (SELECT *, count(*) OVER (PARTITION BY category_en) AS n_rows,
+                row_number() OVER (PARTITION BY category_en ORDER BY purchase_date) AS n
+              FROM {rows} WHERE category_en IS NOT NULL)
+            WHERE n_rows >= {settings.DEMAND_MIN_ROWS}""",
+        ),
+        f"{rows}_models": (
+            [f"{rows}_cut"],
+            f"""
+            SELECT *, {', '.join(system)}
+            FROM (SELECT category_en, {', '.join(moments)} FROM {rows}_cut
+              GROUP BY category_en HAVING bool_or(NOT is_train))""",
+        ),
+        f"{rows}_errors": (
+            [f"{rows}_models"],
+            f"""
+            SELECT category_en, sqrt(avg(error * error)) AS rmse, avg(abs(error)) AS mae, count(*) AS n_test
+            FROM (SELECT category_en, {y} - ({predicted}) AS error
+              FROM {rows}_cut JOIN {rows}_models USING (category_en) WHERE NOT is_train)
+            GROUP BY category_en""",
+        ),
+    }
+
+
+def _calendar_of(day: str) -> list[str]:
+    return [f"isodow({day})", f"CAST(isodow({day}) >= 6 AS INTEGER)", f"month({day})", f"quarter({day})"]
+
+
 # name -> (needs, select)
 CTES: dict[str, tuple[list[str], str]] = {
     "states": ([], f"SELECT * FROM (VALUES {STATE_ROWS}) v(state, state_name, region)"),
@@ -94,6 +173,7 @@ CTES: dict[str, tuple[list[str], str]] = {
           CASE WHEN l_partkey % 20 = 0 THEN '  ' || p_type || '  ' ELSE p_type END AS category,
           CASE WHEN l_partkey % 41 = 0 THEN 'N/A'
                WHEN l_partkey % 25 = 0 THEN CAST(-amount AS VARCHAR)
+               WHEN l_partkey % 37 = 0 THEN CAST(amount AS VARCHAR) || '5'
                ELSE CAST(amount AS VARCHAR) END AS price,
           CAST(CAST(round(amount * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS VARCHAR)
             AS freight_value,
@@ -115,17 +195,16 @@ CTES: dict[str, tuple[list[str], str]] = {
         ["raw_orders", "states"],
         """
         SELECT order_id, session_id, customer_id, product_id, seller_id, trim(category) AS category,
-          TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(freight_value AS DOUBLE) AS freight_value,
-          CAST(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2)) AS DOUBLE)
+          CAST(CAST(CAST(price AS DECIMAL(24,6)) AS DECIMAL(18,2)) AS DOUBLE) AS price,
+          CAST(CAST(CAST(freight_value AS DECIMAL(24,6)) AS DECIMAL(18,2)) AS DOUBLE) AS freight_value,
+          CAST(CAST(CAST(price AS DECIMAL(24,6)) + CAST(freight_value AS DECIMAL(24,6)) AS DECIMAL(18,2)) AS DOUBLE)
             AS total_value,
           make_timestamp(purchase_timestamp) AS purchase_ts,
           s.state, coalesce(s.region, 'Desconhecido') AS region, l_shipdate AS ingested_at,
           cdc_ts_ms, cdc_operation
         FROM (SELECT * FROM raw_orders WHERE TRY_CAST(price AS DOUBLE) > 0
               AND TRY_CAST(price AS DOUBLE) < 1e15
-              AND round(TRY_CAST(price AS DOUBLE), 2) = TRY_CAST(price AS DOUBLE)
               AND TRY_CAST(freight_value AS DOUBLE) >= 0 AND TRY_CAST(freight_value AS DOUBLE) < 1e15
-              AND round(TRY_CAST(freight_value AS DOUBLE), 2) = TRY_CAST(freight_value AS DOUBLE)
               AND make_timestamp(purchase_timestamp) >= TIMESTAMP '1900-01-01'
               AND make_timestamp(purchase_timestamp) < TIMESTAMP '2200-01-01') r
           LEFT JOIN states s ON s.state = upper(trim(r.state))""",
@@ -326,22 +405,10 @@ CTES: dict[str, tuple[list[str], str]] = {
         LEFT JOIN (SELECT customer_id, avg(CAST(rating AS DOUBLE)) AS avg_rating
           FROM fact_reviews GROUP BY customer_id) r ON s.customer_id = r.customer_id""",
     ),
-    "series": (
-        ["fact_sales"],
-        f"""
-        SELECT * FROM (SELECT category AS category_en, purchase_date, orders_count, total_revenue,
-            isodow(purchase_date) AS day_of_week, isodow(purchase_date) >= 6 AS is_weekend,
-            month(purchase_date) AS month, quarter(purchase_date) AS quarter,
-            lag(orders_count, 1) OVER d AS lag_1, lag(orders_count, 7) OVER d AS lag_7,
-            lag(orders_count, 14) OVER d AS lag_14,
-            CAST(sum(orders_count) OVER w AS DOUBLE) / count(*) OVER w AS rolling_7d_mean
-          FROM (SELECT category, purchase_date, count(DISTINCT order_id) AS orders_count,
-              {_total('total_value')} AS total_revenue FROM fact_sales GROUP BY ALL)
-          WINDOW d AS (PARTITION BY category ORDER BY purchase_date),
-            w AS (PARTITION BY category ORDER BY purchase_date
-                  ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
-        WHERE lag_14 IS NOT NULL""",
-    ),
+    "series": (["fact_sales"], _series("6 PRECEDING AND CURRENT ROW")),
+    "leak_free": (["fact_sales"], _series("7 PRECEDING AND 1 PRECEDING")),
+    **_demand("series"),
+    **_demand("leak_free"),
     "outcomes": (
         ["raw_clicks"],
         f"""
@@ -419,11 +486,9 @@ QUALITY = " UNION ALL ".join(
             {
                 "missing_id": "order_id IS NULL OR customer_id IS NULL",
                 "bad_price": "NOT coalesce(TRY_CAST(price AS DOUBLE) > 0 AND "
-                "TRY_CAST(price AS DOUBLE) < 1e15 AND "
-                "round(TRY_CAST(price AS DOUBLE), 2) = TRY_CAST(price AS DOUBLE), false)",
+                "TRY_CAST(price AS DOUBLE) < 1e15, false)",
                 "bad_freight": "NOT coalesce(TRY_CAST(freight_value AS DOUBLE) >= 0 AND "
-                "TRY_CAST(freight_value AS DOUBLE) < 1e15 AND "
-                "round(TRY_CAST(freight_value AS DOUBLE), 2) = TRY_CAST(freight_value AS DOUBLE), false)",
+                "TRY_CAST(freight_value AS DOUBLE) < 1e15, false)",
                 "bad_state": f"({_CODE}) IS NULL",
                 "repaired_state": f"({_CODE}) <> state",
                 "padded_category": "trim(category) <> category",
@@ -475,6 +540,22 @@ _AUDIT = " UNION ALL ".join(
 
 _ITEM_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_tax"
 
+# Day after day: what is predicted for a day is the last of the fourteen counts before the next.
+_RECURSION = f"""
+    WITH RECURSIVE made AS (
+      SELECT category_en, (SELECT max(purchase_date) FROM fact_sales) AS forecast_date, 0 AS n, 0.0::DOUBLE AS predicted,
+        seen FROM (SELECT category_en, list(CAST(orders_count AS DOUBLE) ORDER BY purchase_date) AS seen
+          FROM (SELECT * FROM leak_free QUALIFY row_number() OVER
+            (PARTITION BY category_en ORDER BY purchase_date DESC) <= 14)
+          GROUP BY category_en HAVING count(*) = 14)
+      UNION ALL
+      SELECT category_en, day, n + 1, value, list_append(seen[2:14], value)
+      FROM (SELECT made.*, CAST(forecast_date + INTERVAL 1 DAY AS DATE) AS day, greatest(0, x0 + x_0 * seen[14]
+          + x_1 * seen[8] + x_2 * seen[1] + x_3 * (list_sum(seen[8:14]) / 7) + {' + '.join(
+            f'x_{i} * {v}' for i, v in enumerate(_calendar_of('(forecast_date + INTERVAL 1 DAY)'), start=4))}) AS value
+        FROM made JOIN leak_free_models USING (category_en) WHERE n < {settings.FORECAST_DAYS}))
+    SELECT * FROM made"""
+
 SQL: dict[str, str] = {
     "silver_clickstream": _all("silver_clickstream"),
     "silver_orders": _all("silver_orders"),
@@ -545,19 +626,28 @@ SQL: dict[str, str] = {
         CASE WHEN doc_id % 37 = 0 THEN '   ' ELSE text END AS review_comment_message
       FROM documents""",
     "time_series_leak_free": with_ctes(
-        f"""SELECT * FROM (SELECT category AS category_en, purchase_date, orders_count, total_revenue,
-            isodow(purchase_date) AS day_of_week, isodow(purchase_date) >= 6 AS is_weekend,
-            month(purchase_date) AS month, quarter(purchase_date) AS quarter,
-            lag(orders_count, 1) OVER d AS lag_1, lag(orders_count, 7) OVER d AS lag_7,
-            lag(orders_count, 14) OVER d AS lag_14,
-            round(CAST(sum(orders_count) OVER w AS DOUBLE) / count(*) OVER w, 6) AS rolling_7d_mean
-          FROM (SELECT category, purchase_date, count(DISTINCT order_id) AS orders_count,
-              {_total('total_value')} AS total_revenue FROM fact_sales GROUP BY ALL)
-          WINDOW d AS (PARTITION BY category ORDER BY purchase_date),
-            w AS (PARTITION BY category ORDER BY purchase_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-        WHERE lag_14 IS NOT NULL""",
-        "fact_sales",
-    ),
+        "SELECT * REPLACE (round(rolling_7d_mean, 6) AS rolling_7d_mean) FROM leak_free", "leak_free"),
+    "demand_metrics": with_ctes(
+        """SELECT category_en, round(rmse, 6) AS rmse, round(mae, 6) AS mae, n_test FROM series_errors""",
+        "series_errors"),
+    "demand_forecast": with_ctes(
+        f"""SELECT category_en AS category, CAST(d AS DATE) AS forecast_date, round(greatest(x0 + {' + '.join(
+            f'x_{i} * {v}' for i, v in enumerate(_calendar_of('d'), start=4))}, 0), 6) AS predicted_orders,
+          round(rmse, 4) AS model_rmse, round(mae, 4) AS model_mae
+        FROM series_models JOIN series_errors USING (category_en),
+          (SELECT unnest(generate_series(max(purchase_date) + INTERVAL 1 DAY,
+            max(purchase_date) + INTERVAL {settings.FORECAST_DAYS} DAY, INTERVAL 1 DAY)) AS d FROM fact_sales)""",
+        "series_errors"),
+    "demand_runs": with_ctes(
+        f"""SELECT 'demand_' || category_en AS run_name, unnest(['param', 'param', 'param', 'metric', 'metric']) AS kind,
+          unnest(['category', 'algorithm', 'reg_param', 'rmse', 'mae']) AS name,
+          unnest([category_en, 'LinearRegression', '{settings.DEMAND_REG}', format('{{:,.6f}}', rmse),
+            format('{{:,.6f}}', mae)]) AS value FROM series_errors""",
+        "series_errors"),
+    "demand_forecast_recursive": with_ctes(
+        f"""SELECT category_en, forecast_date, round(predicted, 6) AS predicted_orders FROM ({_RECURSION})
+        WHERE n > 0""",
+        "leak_free_models"),
     "risk_labels": with_ctes(
         """SELECT risk_label, count(*) AS total_customers, round(avg(p), 6) AS avg_churn_prob,
           round(avg(recency), 6) AS avg_recency, round(avg(frequency), 6) AS avg_frequency,
@@ -567,6 +657,8 @@ SQL: dict[str, str] = {
         GROUP BY risk_label""",
         "churn_features",
     ),
+    "churn_score_columns": with_ctes(
+        "SELECT customer_id, recency, frequency, monetary, true AS sound FROM churn_features", "churn_features"),
     "risk_label_counts": with_ctes(
         """SELECT count(*) FILTER (WHERE p > 0.7) AS high_risk, count(*) FILTER (WHERE p <= 0.4) AS low_risk
         FROM (SELECT least(recency / 365.0::DOUBLE, 1.0) AS p FROM churn_features)""",
@@ -675,6 +767,16 @@ SQL: dict[str, str] = {
         "fact_sales",
         "fact_reviews",
     ),
+    "visitors_per_type": with_ctes(
+        """SELECT event_type, count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users
+        FROM fact_clickstream WHERE event_date >= (SELECT max(event_date) FROM fact_clickstream) - INTERVAL 7 DAY
+        GROUP BY event_type""",
+        "fact_clickstream"),
+    "visitors_per_day": with_ctes(
+        """SELECT event_date, count(DISTINCT session_id) AS sessions, count(DISTINCT user_id) AS users
+        FROM fact_clickstream WHERE event_date >= (SELECT max(event_date) FROM fact_clickstream) - INTERVAL 7 DAY
+        GROUP BY event_date""",
+        "fact_clickstream"),
     "unpivot_review_counts": with_ctes(
         """SELECT day, 'positive_reviews' AS kind, positive_reviews AS review_count
         FROM recent_executive UNION ALL
@@ -789,3 +891,11 @@ SQL: dict[str, str] = {
         _AUDIT, "calendar", "fact_sales", "fact_clickstream", "fact_reviews", "states"
     ),
 }
+SQL["kpi_totals_of_facts"] = SQL["kpi_totals_exact"]
+SQL["land_review_files_again"] = SQL["land_review_files"]
+SQL["packed_bronze"] = SQL["event_stream_filter"]
+SQL["catalog_views"] = SQL["views"]
+SQL["published_sales"] = SQL["replaced_days"].replace("CASE WHEN purchase_date <", "CASE WHEN purchase_date >=")
+SQL["incremental_clickstream"] = with_ctes(
+    """SELECT *, event_date >= (SELECT CAST(max(ts) AS DATE) - 9 FROM events) AS second_run FROM fact_clickstream""",
+    "fact_clickstream")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,7 @@ from silverbrook import schemas, settings
 from silverbrook.functions import values as V
 from silverbrook.operators import (
     audit,
+    bitmaps,
     catalog,
     demand,
     features,
@@ -22,9 +24,13 @@ from silverbrook.operators import (
     reports,
     sessions,
 )
+from silverbrook.operators import catalog_views as catalog_views_
 from silverbrook.operators.audit import RunLog
 from silverbrook.plans import testbed as tb
+from silverbrook.plans.pipeline import Lake, silver_run
+from silverbrook.plans.published import Published
 from silverbrook.plans.staging import Tables
+from silverbrook.plans.star import gold_steps
 from silverbrook.sources import changes, events, tables
 from silverbrook.streaming import jobs, sinks, upsert
 
@@ -113,24 +119,27 @@ def _scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 @query
 def insert_new_keys(spark, sf_dir):
-    """Two batches: arrivals and snapshot reads, then updates; a compaction; the updates again.
+    """Two batches: arrivals and snapshot reads, a compaction, then updates; the updates again.
 
     Keys of the first batch keep their row, and the repeated batch changes nothing.
     """
-    raw = tb.raw_orders(spark, sf_dir)
     root = _scratch(spark, sf_dir, "insert_new_keys")
-    about = (schemas.VERSIONED["orders"], "order_id", tb.order_latest(), "first")
+    tb.raw_orders(spark, sf_dir).write.parquet(f"{root}/raw")
+    raw = tables.read_bronze(spark, "orders", f"{root}/raw", stream=False)
+    about = (schemas.VERSIONED["orders"], "order_id", tb.order_newest(), "first")
     batches = [raw.filter("cdc_operation in ('c', 'r')"), raw.filter("cdc_operation = 'u'")]
 
+    table = f"{root}/table"
+
     def put(number: int) -> None:
         rows = tb.cleaning.silver_orders(batches[number])
-        upsert.write_batch(rows, number, root, "order_id", tb.order_latest())
+        upsert.write_batch(rows, number, table, "order_id", tb.order_newest())
 
     put(0)
+    upsert.compact(spark, table, *about, after=1)
     put(1)
-    upsert.compact(spark, root, *about, after=1)
     put(1)
-    stored = upsert.current(spark, root, *about).withColumnRenamed(upsert.SEEN_IN, "batch_id")
+    stored = upsert.current(spark, table, *about).withColumnRenamed(upsert.SEEN_IN, "batch_id")
     return stored.select("batch_id", "order_id", "product_id", "seller_id", "total_value")
 
 
@@ -142,9 +151,9 @@ def stream_silver_orders(spark, sf_dir):
     messages = events.message_files(spark, f"{root}/topic")
     jobs.land_changes(messages, f"{root}/bronze", f"{root}/ck_bronze")
     jobs.silver_orders(
-        spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver", tb.order_latest()
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck_silver", tb.order_newest()
     )
-    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_latest()).drop("ingested_at")
+    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_newest()).drop("ingested_at")
 
 
 @query
@@ -153,9 +162,9 @@ def stream_silver_orders_many_batches(spark, sf_dir):
     root = _scratch(spark, sf_dir, "orders_many")
     tb.raw_orders(spark, sf_dir).repartition(6, "cdc_ts_ms", "product_id").write.parquet(f"{root}/bronze")
     jobs.silver_orders(
-        spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck", tb.order_latest(), files=1
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/ck", tb.order_newest(), files=1
     )
-    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_latest()).drop("ingested_at")
+    return jobs.stored(spark, jobs.ORDERS, f"{root}/silver", tb.order_newest()).drop("ingested_at")
 
 
 @query
@@ -171,6 +180,35 @@ def land_review_files(spark, sf_dir):
                          F.regexp_replace("raw_content", r"\n\z", "").alias("raw_content"))
 
 
+@query
+def land_review_files_again(spark, sf_dir):
+    """Two arrivals of review documents: what the first drain has landed leaves the inbox before the second."""
+    root = _scratch(spark, sf_dir, "review_inbox")
+    files = tb.review_documents(spark, sf_dir).select("value", "file_path")
+    for late in (False, True):
+        part = files.where((F.pmod(F.hash("file_path"), F.lit(2)) == 1) == F.lit(late))
+        part.repartition("file_path").write.mode("append").partitionBy("file_path").text(f"{root}/inbox")
+        jobs.land_reviews(spark, f"{root}/inbox", f"{root}/bronze", f"{root}/ck", archive=f"{root}/archive")
+    landed = tables.read_bronze(spark, "reviews", f"{root}/bronze", stream=False)
+    return landed.select("review_id", "order_id", "customer_id", "rating", "title",
+                         F.regexp_replace("raw_content", r"\n\z", "").alias("raw_content"))
+
+
+@query
+def packed_bronze(spark, sf_dir):
+    """Events landed in many small files, read after their hours have been packed."""
+    root = _scratch(spark, sf_dir, "packed")
+    tb.click_messages(spark, sf_dir).repartition(6).write.text(f"{root}/topic")
+    rows = events.exclude_event_types(events.read_events(events.message_files(spark, f"{root}/topic", files=2)))
+    sinks.drain(spark, sinks.bronze_writer(rows, f"{root}/bronze", f"{root}/ck"))
+    sinks.pack_bronze(spark, "clickstream", f"{root}/bronze", f"{root}/packed", before="9999")
+    landed = sinks.read_packed(spark, "clickstream", f"{root}/bronze", f"{root}/packed")
+    return landed.withColumn("p", F.from_json("properties", schemas.EVENT_PROPERTIES)).select(
+        "event_id", "session_id", "user_id", "event_type", "timestamp", "device",
+        "p.product_id", "p.category", "p.price", "p.state", "p.city", "p.reason", "source",
+    )
+
+
 @query
 def stream_silver_clickstream(spark, sf_dir):
     """Event messages from text files through bronze into the silver table, as streams."""
@@ -278,6 +316,55 @@ def replaced_days(t):
     return stored.groupBy("purchase_date").agg(F.count("*").alias("orders"), again)
 
 
+@on_tables
+def published_sales(t):
+    """Facts by month read through their published name: a build, another, then the later months again."""
+    number = next(_run_numbers)
+    store = Published(t.spark, f"published_{number}", f"{t.root}/runs/published-{number}")
+    sales = t("fact_sales").where("purchase_date is not null").withColumn(
+        "purchase_date", F.trunc("purchase_date", "month"))
+    store.build("sales", sales.where("order_id like '%1'"), "purchase_date")
+    store.build("sales", sales, "purchase_date")
+    bounds = sales.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
+    middle = bounds.select(F.expr("date_add(a, int(datediff(b, a) / 2))").alias("d")).scalar()
+    late = sales.where(F.col("purchase_date") >= middle).withColumn("seller_id", F.lit("again"))
+    months = [str(r[0]) for r in late.select("purchase_date").distinct().collect()]
+    store.replace_days("sales", late, "purchase_date", months)
+    again = F.count(F.when(F.col("seller_id") == "again", 1)).alias("written_again")
+    return store("sales").groupBy("purchase_date").agg(F.count("*").alias("orders"), again)
+
+
+@query
+def incremental_clickstream(spark, sf_dir):
+    """Facts of two arrivals, each a run: the second run writes only the days that it brings rows for."""
+    number = next(_run_numbers)
+    lake = f"{tb.staged(spark, sf_dir).root}/runs/lake-{number}"
+    raw = tb.raw_clicks(spark, sf_dir).select(schemas.BRONZE["clickstream"].fieldNames())
+    late = raw.agg(F.date_sub(F.max(F.col("ingested_at").cast("timestamp")).cast("date"), 9).alias("d")).scalar()
+    wanted = ("dim_date", "dim_category", "fact_clickstream")
+    steps = {name: step for name, step in gold_steps().items() if name in wanted}
+    for part in (F.to_date("ingested_at") < late, F.to_date("ingested_at") >= late):
+        raw.where(part).write.mode("append").parquet(f"{lake}/bronze/clickstream")
+        gold = Lake(spark, lake, steps, f"run-{next(_run_numbers)}", f"lake_{number}")
+        silver_run(spark, lake, gold.log)
+        gold.build_all()
+    facts = joins.with_category(gold("fact_clickstream"), gold("dim_category")).drop("category_id")
+    return facts.withColumn("second_run", F.col("event_date").cast("string").isin(gold.days["fact_clickstream"]))
+
+
+@query
+def catalog_views(spark, sf_dir):
+    """Rows per view of the catalog, counted by a session that knows nothing but their names."""
+    t, number = tb.staged(spark, sf_dir), next(_run_numbers)
+    store = Published(spark, f"views_{number}", f"{t.root}/runs/views-{number}")
+    for name in ("dim_category", "dim_geography", "fact_sales", "fact_clickstream", "fact_reviews"):
+        store.build(name, t(name))
+    other = spark.newSession()
+    counts = [other.table(name).agg(F.count("*").alias("n_rows"), F.lit(name.split(".")[1]).alias("name"))
+              for name in catalog_views_.create(spark, store.database)]
+    return reduce(DataFrame.unionByName, counts).select("name", "n_rows")
+
+
 @on_tables
 def managed_tables(t):
     """Tables made in a catalogue database and filled; making them again keeps their rows."""
@@ -382,14 +469,20 @@ def views(spark, sf_dir):
 # -- dashboard ---------------------------------------------------------------------------
 
 
+def _since(t: Tables, fact: str, day: str, days: int) -> Column:
+    """``days`` before a fact's last day, which is read from the files' footers."""
+    schema = t(fact).schema
+    return F.date_sub(F.lit(tables.last_value(t.spark, t.path(fact), schema, day)).cast("date"), days)
+
+
 def _recent(t: Tables, mart: DataFrame, name: str, column: str, fact: str, day: str) -> DataFrame:
     days = settings.DASHBOARD_DAYS[name]
-    return tables.last_days(mart, column, days, since=tables.first_day(t(fact), day, days))
+    return tables.last_days(mart, column, days, since=_since(t, fact, day, days))
 
 
 def _recent_sales(t: Tables) -> DataFrame:
     days = settings.DASHBOARD_DAYS["executive"]
-    since = tables.first_day(t("fact_sales"), "purchase_date", days)
+    since = _since(t, "fact_sales", "purchase_date", days)
     return tables.last_days(t("fact_sales"), "purchase_date", days, since=since)
 
 
@@ -408,7 +501,7 @@ def _recent_funnel(t):
     """The window is cut from the clicks, so that both groupings of the mart read only it."""
     days = settings.DASHBOARD_DAYS["funnel"]
     clicks = t("fact_clickstream")
-    since = tables.first_day(clicks, "event_date", days)
+    since = _since(t, "fact_clickstream", "event_date", days)
     return marts.funnel(tables.last_days(clicks, "event_date", days, since=since), t("dim_category"))
 
 
@@ -443,10 +536,31 @@ def kpi_totals(t):
 
 @on_tables
 def kpi_totals_exact(t):
+    """From the daily marts alone: customers are counted from bitmaps."""
+    return bitmaps.kpi_totals(t("mart_daily"), t("mart_daily_customers"), settings.DASHBOARD_DAYS["executive"])
+
+
+@on_tables
+def kpi_totals_of_facts(t):
+    """The same numbers from the facts."""
     sales = _recent_sales(t)
     return reports.kpi_totals_exact(sales, marts.reviews_of(t("fact_reviews"), sales))
 
 
+@on_tables
+def visitors_per_type(t):
+    """Distinct sessions and users per event type over the funnel's days, from the daily marts alone."""
+    return bitmaps.visitors_per_type(
+        t("mart_daily_sessions"), t("mart_daily_users"), settings.DASHBOARD_DAYS["funnel"])
+
+
+@on_tables
+def visitors_per_day(t):
+    """Distinct sessions and users per day, each counted once however many types, devices or hours."""
+    return bitmaps.visitors_per_day(
+        t("mart_daily_sessions"), t("mart_daily_users"), settings.DASHBOARD_DAYS["funnel"])
+
+
 @on_tables
 def unpivot_review_counts(t):
     return reports.unpivot_review_counts(_recent_executive(t))
@@ -565,6 +679,15 @@ def churn_scores(t):
     return t("ml_churn_scores")
 
 
+@on_tables
+def churn_score_columns(t):
+    """What is certain of the scores: the customers' numbers, and labels that follow the probability."""
+    scores = t("ml_churn_scores")
+    follows = F.col("risk_label") == V.risk_label("churn_probability")
+    sound = F.col("churn_probability").between(0, 1) & F.col("scored_at").isNotNull()
+    return scores.select("customer_id", "recency", "frequency", "monetary", (follows & sound).alias("sound"))
+
+
 @on_tables
 def churn_summary(t):
     return reports.churn_summary(t("ml_churn_scores"))
@@ -577,12 +700,13 @@ def risk_counts(t):
 
 @on_tables
 def demand_metrics(t):
-    return demand.demand_metrics(t("ml_demand_models"))
+    return rounded(demand.demand_metrics(t("ml_demand_models")).drop("category_id"), "rmse", "mae")
 
 
 @on_tables
 def demand_forecast(t):
-    return reports.forecast_view(t("ml_demand_forecast"))
+    """The forecast tab without the time it was made at."""
+    return rounded(reports.forecast_view(t("ml_demand_forecast")), "predicted_orders").drop("scored_at")
 
 
 @on_tables
@@ -591,7 +715,15 @@ def demand_forecast_recursive(t):
     rows = features.time_series_features(
         t("fact_sales"), t("dim_category"), t("dim_date"), leak_free=True, unique_keys=True)
     made = demand.recursive_forecast(demand.train(rows), rows, tb.last_purchase(t("fact_sales")))
-    return rounded(made, "predicted_orders")
+    return rounded(made, "predicted_orders").drop("category_id")
+
+
+@on_tables
+def demand_runs(t):
+    """Parameters and metrics logged for the demand models, numbers to six places."""
+    rows = t("ml_model_runs").where("run_name like 'demand_%'").drop("logged_at")
+    number = F.format_number(F.col("value").try_cast("double"), 6)
+    return rows.withColumn("value", F.when(F.col("kind") == "metric", number).otherwise(F.col("value")))
 
 
 @on_tables

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverbrook import settings
-from silverbrook.operators import churn, demand, dimensions, facts, features
+from silverbrook.operators import bitmaps, churn, demand, dimensions, facts, features
 from silverbrook.plans.staging import Step, Tables
 
 
@@ -106,3 +106,22 @@ def gold_steps(
         ),
         "ml_model_runs": Step(model_runs),
     }
+
+
+def exact_steps() -> dict[str, Step]:
+    """Daily marts whose distinct counts can be added up, with the numbers they are sets of."""
+
+    def visitors(column: str):
+        return lambda t: bitmaps.daily_visitors(
+            t("fact_clickstream"), column, t(f"{column.removesuffix('_id')}_numbers"))
+
+    return {
+        "customer_numbers": Step(lambda t: bitmaps.numbers(t("fact_sales"), "customer_id")),
+        "session_numbers": Step(lambda t: bitmaps.numbers(t("fact_clickstream"), "session_id")),
+        "user_numbers": Step(lambda t: bitmaps.numbers(t("fact_clickstream"), "user_id")),
+        "mart_daily": Step(lambda t: bitmaps.daily_totals(t("fact_sales"), t("fact_reviews"))),
+        "mart_daily_customers": Step(
+            lambda t: bitmaps.daily_customers(t("fact_sales"), t("customer_numbers"))),
+        "mart_daily_sessions": Step(visitors("session_id")),
+        "mart_daily_users": Step(visitors("user_id")),
+    }

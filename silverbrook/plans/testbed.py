@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from silverbrook import schemas, session, settings
 from silverbrook.operators import cleaning, dedup
 from silverbrook.plans.staging import Step, Tables
-from silverbrook.plans.star import calendar_of, gold_steps
+from silverbrook.plans.star import calendar_of, exact_steps, gold_steps
 from silverbrook.sources import reviews as review_source
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -119,6 +119,8 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = (
         F.when(_multiple("l_partkey", 41), "N/A")
         .when(_multiple("l_partkey", 25), (-amount).cast("string"))
+        # Some prices have a part below the cent.
+        .when(_multiple("l_partkey", 37), F.concat(amount.cast("string"), F.lit("5")))
         .otherwise(amount.cast("string"))
     )
     state = _pick(settings.STATE_CODES, F.col("c_nationkey"))
@@ -173,16 +175,21 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(message.alias("value"))
 
 
-def order_latest() -> list[Column]:
+def order_newest() -> list[Column]:
+    """Columns that are larger in the newer version of an order."""
     return [
-        F.col("cdc_ts_ms").desc(),
-        F.col("product_id").cast("bigint").desc(),
-        F.col("seller_id").cast("bigint").desc(),
-        F.col("price").desc(),
-        F.col("freight_value").desc(),
+        F.col("cdc_ts_ms"),
+        F.col("product_id").cast("bigint"),
+        F.col("seller_id").cast("bigint"),
+        F.col("price"),
+        F.col("freight_value"),
     ]
 
 
+def order_latest() -> list[Column]:
+    return [column.desc() for column in order_newest()]
+
+
 # -- reviews -----------------------------------------------------------------------------
 
 
@@ -353,6 +360,7 @@ def staged(spark: SparkSession, sf_dir: str) -> Tables:
                 **gold_steps(
                     dim_date=_calendar, by_day=False, as_of=lambda t: last_purchase(t("fact_sales"))
                 ),
+                **exact_steps(),
             }
             _tables[app, mark] = Tables(spark, root, steps, digest)
         return _tables[app, mark]

@@ -97,8 +97,14 @@ DASHBOARD_DAYS = {"executive": 90, "sales_performance": 90, "funnel": 7, "review
 TRIGGER_BYTES = 64 * 1024 * 1024 * 1024
 # Micro-batches of a keyed table between two compactions.
 COMPACT_AFTER = 64
+# Buckets of a keyed table's base; choose it for a table's final size, about a GB each.
+KEYED_BUCKETS = 16
 BRONZE_TRIGGER = "30 seconds"
+# How long the end of a drained stream may take to be heard of.
+LISTENER_SECONDS = 300
 BRONZE_FILE_ROWS = 5_000_000
+# Size of a reference CSV file that one task may read.
+REFERENCE_CSV_BYTES = 2 * 1024 * 1024 * 1024
 # Shuffle bytes per output task when a table is rebalanced for writing.
 WRITE_TASK_BYTES = 512 * 1024 * 1024
 

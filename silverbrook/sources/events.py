@@ -32,9 +32,9 @@ def message_stream(
     )
 
 
-def message_files(spark: SparkSession, path: str) -> DataFrame:
+def message_files(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
     """Files with one message per line as a stream with a string column ``value``."""
-    return bounded(spark.readStream).text(path)
+    return bounded(spark.readStream, files).text(path)
 
 
 def read_events(messages: DataFrame, source: str = "kafka") -> DataFrame:

@@ -10,10 +10,17 @@ from silverbrook.sources.events import ingestion_time
 from silverbrook.sources.tables import bounded
 
 
-def review_files(spark: SparkSession, path: str) -> DataFrame:
-    """New ``*.txt`` files as a stream, one row per file; the checkpoint remembers those seen."""
+def review_files(spark: SparkSession, path: str, archive: str | None = None) -> DataFrame:
+    """New ``*.txt`` files as a stream, one row per file; the checkpoint remembers those seen.
+
+    With ``archive`` files that a finished batch has read move to that folder, so that the inbox that
+    every trigger lists holds little more than new ones.
+    """
+    reader = bounded(spark.readStream)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return (
-        bounded(spark.readStream)
+        reader
         .option("pathGlobFilter", "*.txt")
         .option("recursiveFileLookup", True)
         .text(path, wholetext=True)
@@ -62,5 +69,5 @@ def parse_reviews(
     )
 
 
-def read_review_files(spark: SparkSession, path: str) -> DataFrame:
-    return parse_reviews(review_files(spark, path))
+def read_review_files(spark: SparkSession, path: str, archive: str | None = None) -> DataFrame:
+    return parse_reviews(review_files(spark, path, archive))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from silverbrook import schemas, settings
+from silverbrook.streaming import folders
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -49,7 +50,13 @@ def state_rows(spark: SparkSession) -> DataFrame:
 
 
 def read_reference_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV in UTF-8; a byte order mark before the first header is removed."""
+    """Header CSV in UTF-8; a byte order mark before the first header is removed.
+
+    Quoted line breaks keep a file in one task, so a file above ``REFERENCE_CSV_BYTES`` is refused:
+    it has to come in parts.
+    """
+    if folders.size(spark, path) > settings.REFERENCE_CSV_BYTES:
+        raise ValueError(f"a file of {path} is too large for one task; split it")
     rows = (
         spark.read.option("header", True)
         .option("multiLine", True)
@@ -73,6 +80,17 @@ def first_day(facts: DataFrame, column: str, days: int) -> Column:
     return facts.agg(F.date_sub(F.max(column), days).alias("d")).scalar()
 
 
+def last_value(spark: SparkSession, path: str, schema: T.StructType, column: str) -> dt.date | None:
+    """The largest date or number of a column of stored files, read from their footers alone."""
+    metadata = folders.session_like(spark, {
+        "spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"})
+    return largest(metadata.read.schema(schema).parquet(path), column).first()[0]
+
+
+def largest(rows: DataFrame, column: str) -> DataFrame:
+    return rows.agg(F.max(column))
+
+
 def last_days(
     rows: DataFrame,
     column: str,

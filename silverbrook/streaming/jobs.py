@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silverbrook import schemas
 from silverbrook.operators import cleaning
-from silverbrook.operators.dedup import ORDER_LATEST, REVIEW_LATEST, descending
+from silverbrook.operators.dedup import ORDER_LATEST, REVIEW_LATEST
 from silverbrook.sources import changes, events, reviews, tables
 from silverbrook.streaming import sinks, upsert
 
@@ -27,9 +28,9 @@ def land_changes(messages: DataFrame, path: str, checkpoint: str) -> int:
     return sinks.drain(messages.sparkSession, sinks.bronze_writer(rows, path, checkpoint))
 
 
-def land_reviews(spark: SparkSession, inbox: str, path: str, checkpoint: str) -> int:
-    """Review files to bronze, by day."""
-    rows = reviews.read_review_files(spark, inbox)
+def land_reviews(spark: SparkSession, inbox: str, path: str, checkpoint: str, archive: str | None = None) -> int:
+    """Review files to bronze, by day; with ``archive`` the inbox is emptied of what has landed."""
+    rows = reviews.read_review_files(spark, inbox, archive)
     return sinks.drain(spark, sinks.bronze_writer(rows, path, checkpoint, hourly=False))
 
 
@@ -54,7 +55,8 @@ class Keyed:
     newest: tuple[str, ...]
 
     def order(self) -> list[Column]:
-        return descending(list(self.newest))
+        """Columns that are larger in newer rows."""
+        return [F.col(name) for name in self.newest]
 
 
 ORDERS = Keyed("orders", "order_id", cleaning.silver_orders, tuple(ORDER_LATEST))
@@ -73,7 +75,7 @@ def _upsert_job(
         raise
     order, counts = order or what.order(), {}
     rows = what.clean(raw).select(schemas.VERSIONED[what.name].fieldNames())
-    sinks.drain(spark, upsert.writer(rows, path, checkpoint, what.key, order, counts))
+    sinks.drain(spark, upsert.writer(rows, path, checkpoint, what.key, order, counts, mode))
     upsert.compact(spark, path, schemas.VERSIONED[what.name], what.key, order, mode)
     return sum(counts.values())
 
@@ -98,8 +100,11 @@ def silver_reviews(
 
 
 def stored(
-    spark: SparkSession, what: Keyed, path: str, order: list[Column] | None = None, mode: str = "latest"
+    spark: SparkSession, what: Keyed, path: str, order: list[Column] | None = None, mode: str = "latest",
+    since: int | None = None,
 ) -> DataFrame:
-    """The silver table as it stands, one row per key."""
+    """The silver table as it stands, one row per key; ``since`` keeps rows of later batches than that."""
     rows = upsert.current(spark, path, schemas.VERSIONED[what.name], what.key, order or what.order(), mode)
+    if since is not None:
+        rows = rows.where(F.col(upsert.SEEN_IN) > since)
     return rows.select(schemas.SILVER[what.name].fieldNames())

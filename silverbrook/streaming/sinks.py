@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator
-from contextlib import contextmanager
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from silverbrook import schemas, settings
+from silverbrook.streaming import folders
 
 
 class _Rows(StreamingQueryListener):
@@ -56,7 +56,9 @@ def drain(spark: SparkSession, writer) -> int:
             seen = progress.observedMetrics.get("written")
             if seen is not None:
                 listener.by_batch[progress.batchId] = seen["rows"]
-        listener.done.wait(10)
+        # The listener hears of the end after the last progress; recent progress alone may be cut.
+        if not listener.done.wait(settings.LISTENER_SECONDS):
+            raise TimeoutError(f"progress of stream {query.id} has not arrived, its rows are not counted")
     finally:
         spark.streams.removeListener(listener)
     return sum(listener.by_batch.values())
@@ -101,19 +103,70 @@ def append_writer(rows: DataFrame, path: str, checkpoint: str):
     )
 
 
+# -- packed bronze ------------------------------------------------------------------------
+
+
+PACKED_LOG = "run string, hours array<string>"
+
+
+def packed_hours(spark: SparkSession, packed: str) -> dict[str, list[str]]:
+    """The hours (or days) that finished runs have packed, by run; one row per run is read."""
+    if not folders.subfolders(spark, packed):
+        return {}
+    return {r["run"]: r["hours"] for r in spark.read.schema(PACKED_LOG).parquet(f"{packed}/log").collect()}
+
+
+def pack_bronze(spark: SparkSession, name: str, path: str, packed: str, before: str, hourly: bool = True) -> list[str]:
+    """Copy hours before ``yyyy/MM/dd/HH`` that landed in many files into few; returns the hours packed.
+
+    The landed files and the stream's own log of them stay as they are: a copy lies beside them, and
+    readers take an hour from the copy once the run's entry is in the log. An hour counts as closed by
+    the caller's word, as rows are landed under the time at which they arrive.
+    """
+    parts = ["year", "month", "day", "hour"][: 4 if hourly else 3]
+    done = {h for hours in packed_hours(spark, packed).values() for h in hours}
+    found = ("/".join(p.split("=")[1] for p in f.split("/")) for f in folders.subfolders(spark, path, len(parts))
+             if all("=" in p for p in f.split("/")))
+    hours = [h for h in found if h < before and h not in done]
+    if not hours:
+        return []
+    run = uuid.uuid4().hex
+    rows = spark.read.schema(bronze_schema(name, parts)).option("basePath", path).parquet(path)
+    rows = for_large_files(rows.where(hour_of(parts).isin(hours)))
+    rows.hint("rebalance", *map(F.col, parts)).write.partitionBy(*parts).parquet(f"{packed}/run={run}")
+    entry = spark.createDataFrame([(run, hours)], PACKED_LOG)
+    entry.coalesce(1).write.mode("append").parquet(f"{packed}/log")
+    return hours
+
+
+def bronze_schema(name: str, parts: list[str]) -> T.StructType:
+    return T.StructType([*schemas.BRONZE[name].fields, *(T.StructField(p, T.StringType()) for p in parts)])
+
+
+def hour_of(parts: list[str]) -> Column:
+    """The hour (or day) of a bronze row, from its folders."""
+    return F.concat_ws("/", *parts)
+
+
+def read_packed(spark: SparkSession, name: str, path: str, packed: str, hourly: bool = True) -> DataFrame:
+    """A bronze table as a whole: packed hours from their copy, the others as they landed."""
+    parts, names = ["year", "month", "day", "hour"][: 4 if hourly else 3], schemas.BRONZE[name].fieldNames()
+    schema, runs = bronze_schema(name, parts), packed_hours(spark, packed)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    copied = [h for hours in runs.values() for h in hours]
+    out = rows.where(~hour_of(parts).isin(copied)).select(names) if copied else rows.select(names)
+    for run in runs:
+        folder = f"{packed}/run={run}"
+        out = out.unionByName(spark.read.schema(schema).option("basePath", folder).parquet(folder).select(names))
+    return out
+
+
 # -- batch tables ------------------------------------------------------------------------
 
 
-@contextmanager
-def large_write_tasks(spark: SparkSession) -> Iterator[None]:
-    """Let rebalanced writes aim at large files; small tables still use every core."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(settings.WRITE_TASK_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def for_large_files(rows: DataFrame) -> DataFrame:
+    """Rows whose rebalanced write aims at large files; small tables still use every core."""
+    return folders.moved(rows, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(settings.WRITE_TASK_BYTES)})
 
 
 def overwrite(rows: DataFrame, path: str) -> int:
@@ -134,13 +187,12 @@ def overwrite_partitioned(
     much larger than the others. ``replace_all=False`` replaces only the days present.
     """
     observed = Observation()
-    balanced = rows.observe(observed, F.count(F.lit(1)).alias("rows")).hint(
+    balanced = for_large_files(rows).observe(observed, F.count(F.lit(1)).alias("rows")).hint(
         "rebalance", F.col(date_column)
     )
     mode = "static" if replace_all else "dynamic"
     writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    with large_write_tasks(rows.sparkSession):
-        writer.partitionBy(date_column).parquet(path)
+    writer.partitionBy(date_column).parquet(path)
     return observed.get["rows"]
 
 
@@ -150,9 +202,8 @@ def overwrite_clustered(rows: DataFrame, path: str, date_column: str) -> int:
     Row-group statistics then let a date filter skip data without one folder per day. As in
     :func:`overwrite_partitioned` Spark divides a day that is much larger than the others.
     """
-    balanced = rows.hint("rebalance", F.col(date_column)).sortWithinPartitions(date_column)
-    with large_write_tasks(rows.sparkSession):
-        return overwrite(balanced, path)
+    balanced = for_large_files(rows).hint("rebalance", F.col(date_column)).sortWithinPartitions(date_column)
+    return overwrite(balanced, path)
 
 
 def ensure_tables(

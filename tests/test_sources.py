@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from silverbrook.operators import catalog
 from silverbrook.sources import changes, events, reviews, tables
+from silverbrook.streaming import folders
 
 
 def messages(spark, *values):
@@ -83,6 +85,31 @@ def test_last_days(spark):
     assert tables.last_days(rows, "d", 7, since=since).count() == 8
 
 
+def test_a_large_reference_file_is_refused(spark, tmp_path, monkeypatch):
+    path = tmp_path / "rows.csv"
+    path.write_text("id\n1\n")
+    assert tables.read_reference_csv(spark, str(path)).count() == 1
+    monkeypatch.setattr(tables.settings, "REFERENCE_CSV_BYTES", 4)
+    with pytest.raises(ValueError, match="too large"):
+        tables.read_reference_csv(spark, str(path))
+
+
+def test_the_last_day_comes_from_the_footers(spark, tmp_path):
+    import datetime as dt
+    path = str(tmp_path / "t")
+    rows = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-31')) as d, 1 as v")
+    rows.repartition(3).write.parquet(path)
+    assert tables.last_value(spark, path, rows.schema, "d") == dt.date(2024, 1, 31)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    metadata = folders.session_like(spark, {
+        "spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"})
+    plan = tables.largest(metadata.read.schema(rows.schema).parquet(path), "d")._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(d)]" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    rows.limit(0).write.parquet(path + "0")
+    assert tables.last_value(spark, path + "0", rows.schema, "d") is None
+
+
 def test_catalog(spark):
     products = spark.createDataFrame(
         [("p1", "brinquedos", "3"), ("p2", "novo", None), ("p3", "", "1"), ("p4", "novo", "1")],

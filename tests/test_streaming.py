@@ -7,7 +7,7 @@ from silverbrook import schemas
 from silverbrook.operators.dedup import descending, latest_per_key
 from silverbrook.plans import testbed as tb
 from silverbrook.sources import events, tables
-from silverbrook.streaming import jobs, upsert
+from silverbrook.streaming import jobs, sinks, upsert
 
 ORDERS = schemas.SILVER["orders"]
 
@@ -23,7 +23,7 @@ VERSIONED = schemas.VERSIONED["orders"]
 
 
 def about():
-    return VERSIONED, "order_id", descending(["cdc_ts_ms"])
+    return VERSIONED, "order_id", [F.col("cdc_ts_ms")]
 
 
 def put(spark, path, number, rows):
@@ -68,19 +68,87 @@ def test_replay_and_compaction(spark, tmp_path):
         assert upsert.compact(spark, path, *about(), mode, after=1)
         assert stored(spark, path, mode) == want
         assert not upsert.compact(spark, path, *about(), mode, after=1)
-        # Rows of old batches lie in folders that a read leaves out.
-        plan = upsert.current(spark, path, *about(), mode)._jdf.queryExecution().executedPlan().toString()
-        assert "PartitionFilters: [" in plan and "kind" in plan.split("PartitionFilters: [")[1][:60]
-        files = [r[0] for r in upsert.parts(spark, path, VERSIONED).select("_metadata.file_path").collect()]
-        assert files and all("kind=base/part=2" in f for f in files)
+        # Rows of old batches and replaced versions lie in folders that a read leaves out.
+        known = upsert.versions(spark, path)
+        old = upsert.base(spark, path, VERSIONED, "order_id", known)
+        files = [r[0] for r in old.select("_metadata.file_path").collect()]
+        assert files and all(f"/upto={known.of[int(f.split('bucket=')[1].split('/')[0])][-1]}/" in f for f in files)
+        assert upsert.deltas(spark, path, VERSIONED, known).isEmpty()
+
+
+def exchanged(plan):
+    """The scans that lie below an exchange of a plan's text."""
+    lines = [(len(line) - len(line.lstrip(" :+-*(0123456789)")), line) for line in plan.splitlines()]
+    found = []
+    for at, (deep, line) in enumerate(lines):
+        if "Exchange" in line.split("[")[0].split("(")[0]:
+            for below, inner in lines[at + 1 :]:
+                if below <= deep:
+                    break
+                if "Scan" in inner:
+                    found.append(inner)
+    return found
+
+
+def test_the_base_is_neither_shuffled_nor_read_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, 0, [(f"k{i}", "p", i) for i in range(500)])
+    assert upsert.compact(spark, path, *about(), after=1, buckets=8)
+    put(spark, path, 1, [("k3", "newer", 10_000), ("k4", "older", -1), ("new", "n", 1)])
+    for mode in ("latest", "first"):
+        rows = upsert.current(spark, path, *about(), mode)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 1, plan
+        assert exchanged(plan) and not any("Bucketed: true" in scan or "bucket=" in scan for scan in exchanged(plan))
+        got = {r.order_id: r.product_id for r in rows.collect()}
+        assert len(got) == 501 and got["k4"] == "p" and got["k3"] == ("newer" if mode == "latest" else "p")
+
+
+def test_a_compaction_writes_only_buckets_with_new_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    put(spark, path, 0, [(f"k{i}", "p", i) for i in range(100)])
+    upsert.compact(spark, path, *about(), after=1, buckets=8)
+    first = {b: list(v) for b, v in upsert.versions(spark, path).of.items()}
+    assert len(first) == 8
+    put(spark, path, 1, [("k7", "newer", 10_000)])
+    upsert.compact(spark, path, *about(), after=1, buckets=3)  # the table keeps its eight
+    second = upsert.versions(spark, path)
+    assert second.buckets == 8 and sorted(map(len, second.of.values())) == [1] * 7 + [2]
+    new = [b for b, v in second.of.items() if len(v) == 2]
+    held = {p.relative_to(tmp_path / "t" / "base").as_posix() for p in (tmp_path / "t" / "base").glob("bucket=*/upto=*")}
+    assert held == {f"bucket={b}/upto=0" for b in first} | {f"bucket={new[0]}/upto=1"}
+    assert len(stored(spark, path)) == 100 and ("k7", "newer", 1) in stored(spark, path)
+
+
+def test_replaced_versions_and_lost_compactions_are_deleted(spark, tmp_path):
+    path, base = str(tmp_path / "t"), tmp_path / "t" / "base"
+    for number in range(4):
+        put(spark, path, number, [("a", f"p{number}", number)])
+        # What a compaction that failed has left is not read, and is gone after the next one.
+        lost = base / "bucket=0" / "upto=77"
+        lost.mkdir(parents=True)
+        (lost / "part-00000_00000.c000.parquet").write_text("half a file")
+        assert upsert.compact(spark, path, *about(), after=1, buckets=1)
+        assert not lost.exists()
+        assert stored(spark, path) == [("a", f"p{number}", number)]
+    assert {p.name for p in (base / "bucket=0").iterdir()} == {"upto=1", "upto=2", "upto=3"}
+    assert {p.name for p in (tmp_path / "t" / "delta").iterdir() if "=" in p.name} == {"part=2", "part=3"}
+
+
+def test_rows_without_a_key_are_not_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert put(spark, path, 0, [(None, "p", 1), ("a", "p", None)]) == 1
+    upsert.compact(spark, path, *about(), after=1)
+    put(spark, path, 1, [("a", "q", 1), (None, "q", 1)])
+    assert stored(spark, path) == [("a", "q", 1)]
 
 
 def test_a_batch_reads_nothing_of_the_table(spark, tmp_path):
     """The cost of a batch stays the same however large the table is."""
     path = str(tmp_path / "t")
     put(spark, path, 0, BATCHES[0])
-    (tmp_path / "t" / "kind=delta" / "part=7").mkdir()
-    (tmp_path / "t" / "kind=delta" / "part=7" / "broken.parquet").write_text("not a file that can be read")
+    (tmp_path / "t" / "delta" / "part=7").mkdir()
+    (tmp_path / "t" / "delta" / "part=7" / "broken.parquet").write_text("not a file that can be read")
     assert put(spark, path, 1, BATCHES[1]) == 2
 
 
@@ -127,9 +195,9 @@ def test_orders_in_many_batches_equal_one_pass(spark, sf, tmp_path):
     bronze, silver, check = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
     # The versions of an order lie in different files.
     tb.raw_orders(spark, sf).repartition(6, "cdc_ts_ms", "product_id").write.parquet(bronze)
-    order = tb.order_latest()
+    order = tb.order_newest()
     assert jobs.silver_orders(spark, bronze, silver, check, order, files=2) > 0
-    assert upsert.parts(spark, silver, VERSIONED).select("part").distinct().count() >= 3
+    assert upsert.deltas(spark, silver, VERSIONED, upsert.Versions()).select("part").distinct().count() >= 3
     want = tb.silver_orders(spark, sf)
     got = jobs.stored(spark, jobs.ORDERS, silver, order)
     assert got.count() == want.count()
@@ -198,3 +266,64 @@ def test_review_files(spark, tmp_path):
     assert [(r.review_id, r.message, r.text_length, r.title) for r in rows] == [
         ("r1", "bom\nproduto", 2, "t"), ("r3", "não", 1, "t")]
     assert "hour" not in spark.read.parquet(bronze).columns
+
+
+def test_an_inbox_does_not_grow(spark, tmp_path):
+    inbox = tmp_path / "inbox" / "2024-05-01"
+    inbox.mkdir(parents=True)
+    where = [str(tmp_path / n) for n in ("inbox", "bronze", "ck", "archive")]
+
+    def put(*names):
+        for name in names:
+            (inbox / f"{name}.txt").write_text(f"REVIEW_ID: {name}\nORDER_ID: o\nRATING: 5/5\n---\nfine")
+
+    def landed():
+        rows = tables.read_bronze(spark, "reviews", where[1], stream=False)
+        return sorted(r.review_id for r in rows.collect())
+
+    put("a", "b")
+    assert jobs.land_reviews(spark, *where) == 2
+    put("c")
+    assert jobs.land_reviews(spark, *where) == 1
+    put("d", "e")
+    assert jobs.land_reviews(spark, *where) == 2
+    assert landed() == ["a", "b", "c", "d", "e"]
+    left = {p.stem for p in inbox.glob("*.txt")}
+    archived = {p.stem for p in (tmp_path / "archive").rglob("*.txt")}
+    assert {"a", "b"} <= archived and not left & archived and left | archived == set("abcde")
+
+
+def test_packed_hours(spark, tmp_path):
+    bronze, packed = str(tmp_path / "bronze"), str(tmp_path / "packed")
+    names = schemas.BRONZE["clickstream"].fieldNames()
+
+    def land(number, hour):
+        row = {"event_id": str(number), "ingested_at": f"2024-05-01T{hour:02d}:30:00"}
+        rows = spark.createDataFrame([tuple(row.get(n) for n in names)], schemas.BRONZE["clickstream"])
+        sinks.bronze_columns(rows)[0].coalesce(1).write.mode("append").partitionBy(
+            "year", "month", "day", "hour").parquet(bronze)
+
+    def read():
+        return sinks.read_packed(spark, "clickstream", bronze, packed)
+
+    for number in range(6):
+        land(number, 10 + number // 5)
+    assert sinks.pack_bronze(spark, "clickstream", bronze, packed, "2024/05/01/11") == ["2024/05/01/10"]
+    assert len(read().inputFiles()) == 2 and len(list((tmp_path / "bronze").rglob("*.parquet"))) == 6
+    assert sorted(r.event_id for r in read().collect()) == list("012345")
+    # What lands in an open hour is seen, closed hours are packed once, and a run that was lost is not read.
+    land(6, 11)
+    spark.createDataFrame([], sinks.bronze_schema("clickstream", ["year"])).write.parquet(f"{packed}/run=lost")
+    assert sinks.pack_bronze(spark, "clickstream", bronze, packed, "2024/05/01/11") == []
+    assert sinks.pack_bronze(spark, "clickstream", bronze, packed, "2024/05/01/12") == ["2024/05/01/11"]
+    assert sorted(r.event_id for r in read().collect()) == list("0123456")
+    assert len(read().inputFiles()) == 2
+
+
+def test_settings_of_a_write_stay_out_of_the_session(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    moved = sinks.for_large_files(spark.range(10).withColumn("x", F.current_timestamp()))
+    assert moved.sparkSession.conf.get(name) != before == spark.conf.get(name)
+    assert moved.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC" and moved.count() == 10
+    assert not spark.catalog.listTables("global_temp")
