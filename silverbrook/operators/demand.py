@@ -7,8 +7,6 @@ category.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,51 +16,50 @@ from silverbrook.operators import features as features_
 
 FEATURES = settings.DEMAND_FEATURES
 LABEL = "orders_count"
-_PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 
 
-def _sum(terms: list[Column]) -> Column:
-    return reduce(lambda x, y: x + y, terms)
+def _at(matrix: Column, i: Column, j: Column | int) -> Column:
+    return F.get(F.get(matrix, i), F.lit(j) if isinstance(j, int) else j)
 
 
 def ridge_solution(moments: DataFrame, keep: list[str], reg: float = settings.DEMAND_REG) -> DataFrame:
-    """``weights`` (intercept first) of each row's ridge system, by Cholesky factors in column expressions.
+    """``weights`` (intercept first) of each row's ridge system, by elimination in column expressions.
 
-    A row holds population moments: ``c_i_j`` (i <= j) and ``cy_i`` covariances, ``cy`` the variance of
-    the label, ``m_i`` and ``my`` means. Features and label are scaled to unit deviation, the penalty is
-    divided by the deviation of the label, and a constant feature gets the coefficient 0.
+    A row holds population moments: matrix ``cov`` of the features, ``cxy`` with the label, ``cy`` the
+    variance of the label, means ``mx`` and ``my``. Features and label are scaled to unit deviation, the
+    penalty is divided by the deviation of the label, and a constant feature gets the coefficient 0.
+    The system is positive definite, so that it needs no search for pivots. Higher-order functions keep
+    it one short expression; a column per number would keep the optimizer busy for minutes.
     """
-    p, col = range(len(FEATURES)), F.col
-    deviation = lambda c: F.sqrt(F.greatest(col(c), F.lit(0.0)))
-    rows = moments.withColumns({**{f"s_{i}": deviation(f"c_{i}_{i}") for i in p}, "sy": deviation("cy")})
+    p, col, zero = len(FEATURES), F.col, F.lit(0.0)
+    places = F.sequence(F.lit(0), F.lit(p - 1))
+    deviation = lambda variance: F.sqrt(F.greatest(variance, zero))
+    rows = moments.withColumns({"s": F.transform(places, lambda i: deviation(_at(col("cov"), i, i))), "sy": deviation(col("cy"))})
     rows = rows.withColumns({
-        **{f"f_{i}": (col(f"s_{i}") == 0) | (col("sy") == 0) for i in p},
+        "fixed": F.transform("s", lambda v: (v == 0) | (col("sy") == 0)),
         "ky": F.when(col("sy") == 0, 1.0).otherwise(col("sy"))})
-    rows = rows.withColumns({f"k_{i}": F.when(col(f"f_{i}"), 1.0).otherwise(col(f"s_{i}")) for i in p})
-    system = {f"a_{j}_{i}": F.when(col(f"f_{i}") | col(f"f_{j}"), 0.0).otherwise(
-        col(f"c_{i}_{j}") / (col(f"k_{i}") * col(f"k_{j}"))) for i, j in _PAIRS if i < j}
-    system |= {f"a_{i}_{i}": F.when(col(f"f_{i}"), 1.0).otherwise(
-        col(f"c_{i}_{i}") / (col(f"k_{i}") * col(f"k_{i}"))) + reg / col("ky") for i in p}
-    system |= {f"b_{i}": F.when(col(f"f_{i}"), 0.0).otherwise(
-        col(f"cy_{i}") / (col(f"k_{i}") * col("ky"))) for i in p}
-    rows = rows.withColumns(system)
-    for j in p:
-        less = [col(f"l_{j}_{k}") * col(f"l_{j}_{k}") for k in range(j)]
-        rows = rows.withColumn(f"l_{j}_{j}", F.sqrt(reduce(lambda x, y: x - y, less, col(f"a_{j}_{j}"))))
-        rows = rows.withColumns({f"l_{i}_{j}": reduce(
-            lambda x, k, i=i, j=j: x - col(f"l_{i}_{k}") * col(f"l_{j}_{k}"), range(j), col(f"a_{i}_{j}"))
-            / col(f"l_{j}_{j}") for i in p if i > j})
-    for i in p:
-        rows = rows.withColumn(f"z_{i}", reduce(
-            lambda x, k, i=i: x - col(f"l_{i}_{k}") * col(f"z_{k}"), range(i), col(f"b_{i}")) / col(f"l_{i}_{i}"))
-    for i in reversed(p):
-        rows = rows.withColumn(f"w_{i}", reduce(
-            lambda x, k, i=i: x - col(f"l_{k}_{i}") * col(f"w_{k}"), range(i + 1, len(p)), col(f"z_{i}"))
-            / col(f"l_{i}_{i}"))
-    slopes = [col(f"w_{i}") * col("ky") / col(f"k_{i}") for i in p]
-    rows = rows.withColumns({f"x_{i}": slope for i, slope in enumerate(slopes)})
-    intercept = col("my") - _sum([col(f"x_{i}") * col(f"m_{i}") for i in p])
-    return rows.select(*keep, F.array(intercept, *[col(f"x_{i}") for i in p]).alias("weights"))
+    rows = rows.withColumn("k", F.zip_with("s", "fixed", lambda v, f: F.when(f, 1.0).otherwise(v)))
+    fixed, scale = lambda i: F.get("fixed", i), lambda i: F.get("k", i)
+
+    def entry(i: Column, j: Column) -> Column:
+        scaled = F.when(fixed(i) | fixed(j), zero).otherwise(_at(col("cov"), i, j) / (scale(i) * scale(j)))
+        own = F.lit(reg) / col("ky") + F.when(fixed(i), 1.0).otherwise(zero)
+        return scaled + F.when(i == j, own).otherwise(zero)
+
+    def line(i: Column) -> Column:
+        target = F.when(fixed(i), zero).otherwise(F.get("cxy", i) / (scale(i) * col("ky")))
+        return F.concat(F.transform(places, lambda j: entry(i, j)), F.array(target))
+
+    def eliminate(system: Column, k: Column) -> Column:
+        pivot = F.get(system, k)
+        return F.transform(F.array(F.transform(pivot, lambda v: v / F.get(pivot, k))), lambda unit: F.transform(
+            system, lambda row, i: F.when(i == k, unit).otherwise(
+                F.zip_with(row, unit, lambda x, u: x - F.get(row, k) * u))))[0]
+
+    rows = rows.withColumn("solved", F.aggregate(places, F.transform(places, line), eliminate))
+    rows = rows.withColumn("x", F.transform("solved", lambda row, i: F.get(row, F.lit(p)) * col("ky") / scale(i)))
+    shift = F.aggregate(F.zip_with("x", "mx", lambda x, m: x * m), zero, lambda total, v: total + v)
+    return rows.select(*keep, F.concat(F.array(col("my") - shift), col("x")).alias("weights"))
 
 
 def _number(name: str) -> Column:
@@ -86,12 +83,11 @@ def fit(split: DataFrame) -> DataFrame:
     x = [train(_number(name)) for name in FEATURES]
     y = train(_number(LABEL))
     # Variances come from the same formula as covariances, so a constant column is exactly 0.
-    moments = [F.covar_pop(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in _PAIRS]
-    moments += [F.covar_pop(v, y).alias(f"cy_{i}") for i, v in enumerate(x)]
-    moments += [F.covar_pop(y, y).alias("cy"), F.avg(y).alias("my")]
-    moments += [F.avg(v).alias(f"m_{i}") for i, v in enumerate(x)]
+    cov = F.array(*[F.array(*[F.covar_pop(x[min(i, j)], x[max(i, j)]) for j in range(len(x))]) for i in range(len(x))])
     grouped = split.groupBy("category_id", "category_en").agg(
-        *moments, F.count(F.when(~F.col("is_train"), 1)).alias("n_test"))
+        cov.alias("cov"), F.array(*[F.covar_pop(v, y) for v in x]).alias("cxy"), F.covar_pop(y, y).alias("cy"),
+        F.array(*[F.avg(v) for v in x]).alias("mx"), F.avg(y).alias("my"),
+        F.count(F.when(~F.col("is_train"), 1)).alias("n_test"))
     return ridge_solution(grouped.filter("n_test > 0"), ["category_id", "category_en"])
 
 

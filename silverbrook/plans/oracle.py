@@ -56,7 +56,10 @@ def _series(week: str) -> str:
 
 
 def _demand(rows: str) -> dict[str, tuple[list[str], str]]:
-    """Parts that fit a ridge regression per category over a series, by Cholesky factors, and test it."""
+    """Parts that fit a ridge regression per category over a series, by Cholesky factors, and test it.
+
+    The jobs solve the same systems by another elimination.
+    """
     names, p = settings.DEMAND_FEATURES, range(len(settings.DEMAND_FEATURES))
     x = [f"CAST({name} AS DOUBLE)" for name in names]
     y = "CAST(orders_count AS DOUBLE)"
@@ -65,23 +68,27 @@ def _demand(rows: str) -> dict[str, tuple[list[str], str]]:
     moments += [f"covar_pop({x[i]}, {y}) {train} AS cy_{i}" for i in p]
     moments += [f"covar_pop({y}, {y}) {train} AS cy", f"avg({y}) {train} AS my"]
     moments += [f"avg({x[i]}) {train} AS m_{i}" for i in p]
-    system = [f"sqrt(greatest(c_{i}_{i}, 0)) AS s_{i}" for i in p] + ["sqrt(greatest(cy, 0)) AS sy"]
-    system += [f"s_{i} = 0 OR sy = 0 AS f_{i}" for i in p] + ["CASE WHEN sy = 0 THEN 1 ELSE sy END AS ky"]
-    system += [f"CASE WHEN f_{i} THEN 1 ELSE s_{i} END AS k_{i}" for i in p]
-    system += [f"CASE WHEN f_{i} OR f_{j} THEN 0 ELSE c_{i}_{j} / (k_{i} * k_{j}) END AS a_{j}_{i}"
-               for i in p for j in p if i < j]
-    system += [f"CASE WHEN f_{i} THEN 1 ELSE c_{i}_{i} / (k_{i} * k_{i}) END + {settings.DEMAND_REG}::DOUBLE / ky"
-               f" AS a_{i}_{i}" for i in p]
-    system += [f"CASE WHEN f_{i} THEN 0 ELSE cy_{i} / (k_{i} * ky) END AS b_{i}" for i in p]
+    # A layer of columns uses those of the layers before.
+    layers = [
+        [f"sqrt(greatest(c_{i}_{i}, 0)) AS s_{i}" for i in p] + ["sqrt(greatest(cy, 0)) AS sy"],
+        [f"s_{i} = 0 OR sy = 0 AS f_{i}" for i in p] + ["CASE WHEN sy = 0 THEN 1 ELSE sy END AS ky"],
+        [f"CASE WHEN f_{i} THEN 1 ELSE s_{i} END AS k_{i}" for i in p],
+        [f"CASE WHEN f_{i} OR f_{j} THEN 0 ELSE c_{i}_{j} / (k_{i} * k_{j}) END AS a_{j}_{i}" for i in p for j in p if i < j]
+        + [f"CASE WHEN f_{i} THEN 1 ELSE c_{i}_{i} / (k_{i} * k_{i}) END + {settings.DEMAND_REG}::DOUBLE / ky AS a_{i}_{i}"
+           for i in p]
+        + [f"CASE WHEN f_{i} THEN 0 ELSE cy_{i} / (k_{i} * ky) END AS b_{i}" for i in p],
+    ]
     for j in p:
-        system.append(f"sqrt(a_{j}_{j}" + "".join(f" - l_{j}_{k} * l_{j}_{k}" for k in range(j)) + f") AS l_{j}_{j}")
-        system += [f"(a_{i}_{j}" + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j)) + f") / l_{j}_{j} AS l_{i}_{j}"
-                   for i in p if i > j]
-    system += [f"(b_{i}" + "".join(f" - l_{i}_{k} * z_{k}" for k in range(i)) + f") / l_{i}_{i} AS z_{i}" for i in p]
-    system += [f"(z_{i}" + "".join(f" - l_{k}_{i} * w_{k}" for k in p if k > i) + f") / l_{i}_{i} AS w_{i}"
+        layers.append([f"sqrt(a_{j}_{j}" + "".join(f" - l_{j}_{k} * l_{j}_{k}" for k in range(j)) + f") AS l_{j}_{j}"])
+        layers.append([f"(a_{i}_{j}" + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j)) + f") / l_{j}_{j} AS l_{i}_{j}"
+                       for i in p if i > j])
+    layers += [[f"(b_{i}" + "".join(f" - l_{i}_{k} * z_{k}" for k in range(i)) + f") / l_{i}_{i} AS z_{i}"] for i in p]
+    layers += [[f"(z_{i}" + "".join(f" - l_{k}_{i} * w_{k}" for k in p if k > i) + f") / l_{i}_{i} AS w_{i}"]
                for i in reversed(p)]
-    system += [f"w_{i} * ky / k_{i} AS x_{i}" for i in p]
-    system.append("my - (" + " + ".join(f"x_{i} * m_{i}" for i in p) + ") AS x0")
+    layers += [[f"w_{i} * ky / k_{i} AS x_{i}" for i in p], ["my - (" + " + ".join(f"x_{i} * m_{i}" for i in p) + ") AS x0"]]
+    models = f"SELECT category_en, {', '.join(moments)} FROM {rows}_cut GROUP BY category_en HAVING bool_or(NOT is_train)"
+    for layer in filter(None, layers):
+        models = f"SELECT *, {', '.join(layer)} FROM ({models})"
     predicted = "x0 + " + " + ".join(f"x_{i} * {x[i]}" for i in p)
     return {
         f"{rows}_cut": (
@@ -94,13 +101,7 @@ def _demand(rows: str) -> dict[str, tuple[list[str], str]]:
               FROM {rows} WHERE category_en IS NOT NULL)
             WHERE n_rows >= {settings.DEMAND_MIN_ROWS}""",
         ),
-        f"{rows}_models": (
-            [f"{rows}_cut"],
-            f"""
-            SELECT *, {', '.join(system)}
-            FROM (SELECT category_en, {', '.join(moments)} FROM {rows}_cut
-              GROUP BY category_en HAVING bool_or(NOT is_train))""",
-        ),
+        f"{rows}_models": ([f"{rows}_cut"], f"SELECT category_en, x0, {', '.join(f'x_{i}' for i in p)} FROM ({models})"),
         f"{rows}_errors": (
             [f"{rows}_models"],
             f"""
