@@ -47,12 +47,21 @@ def exact(column: str | Column) -> Column:
 
 
 def is_money(column: str | Column) -> Column:
-    """True for a readable, finite number of whole cents that the money type can hold."""
+    """True for a readable, finite number that the money type can hold."""
     text = F.col(column) if isinstance(column, str) else column
-    value = text.try_cast("double")
     # Comparisons put NaN above every number.
-    fits = (F.abs(value) < F.lit(1e15)) & (F.round(value, 2) == value)
-    return F.coalesce(fits, F.lit(False))
+    return F.coalesce(F.abs(text.try_cast("double")) < F.lit(1e15), F.lit(False))
+
+
+def amount(text: str | Column) -> Column:
+    """A number as it was written, to a millionth, so that sums and roundings don't depend on doubles."""
+    value = F.col(text) if isinstance(text, str) else text
+    return value.try_cast("decimal(24,6)")
+
+
+def cents(value: Column) -> Column:
+    """An exact amount rounded half up to cents."""
+    return F.round(value, 2).cast("double")
 
 
 def money_sum(column: str | Column) -> Column:
