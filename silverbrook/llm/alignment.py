@@ -58,6 +58,9 @@ class Part(NamedTuple):
             yield list(map(int, a.split(","))), list(map(int, b.split(",")))
 
 
+UNEQUAL: tuple = ()  # a chunk whose bytes a tokenizer changes
+
+
 def slices(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[list[str], list[int]]:
     """The groups of two id lists as text, and the linked pairs as numbers, given each token's bytes."""
     at_a = dict(zip(accumulate(sizes_a), range(1, len(a) + 1)))
@@ -98,14 +101,14 @@ class Aligner:
         self.space = self.b.piece_to_id(SPACE)
         self.parts = Remembered(self._align, lambda p: 200 + len(p.written) + len(p.links) if p else 0)
 
-    def _align(self, keys: list[str]) -> Iterator[Part | None]:
+    def _align(self, keys: list[str]) -> Iterator[Part | tuple]:
         """All chunks begin with a space, which the second tokenizer puts before what it is given."""
         ids_b = self.b.encode(keys, num_threads=1)
         for key, found, b in zip(keys, self.a.of_chunks(keys), ids_b, strict=True):
             a, b = array("I", found).tolist(), b or [self.space]
             raw_a, raw_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
             if not b"".join(raw_a) == b"".join(raw_b) == f" {key}".encode():
-                yield None
+                yield UNEQUAL
                 continue
             groups, links = slices(a, b, list(map(len, raw_a)), list(map(len, raw_b)))
             yield Part(len(a), len(b), len(groups), ";".join(groups), array("q", links).tobytes())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import accumulate, islice
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -84,24 +84,37 @@ class Remembered:
         new = {key: self.older[key] for key in wanted.intersection(self.older)}
         new.update(zip(unknown, self.make(unknown), strict=True))
         self.known.update(new)
-        self.held += sum(200 + 2 * len(key) + self.cost(made) for key, made in new.items())
+        self.held += 200 * len(new) + 2 * sum(map(len, new)) + sum(map(self.cost, new.values()))
         return new
 
     def of(self, texts: Iterable[str]) -> Iterator[tuple[int, list]]:
-        """(number of the text, results of its chunks), in order; a long text comes in several parts."""
-        missing = object()
+        """(number of the text, results of its chunks), in order; a long text comes in several parts.
+
+        Results are never None, which marks the places of chunks that are not known yet.
+        """
         for group in groups(texts):
             get = self.known.get
-            found = [[get(key, missing) for key in part] for _, part in group]
-            open_ = [missing in out for out in found]
-            new = self._learn({key for (_, part), out, gaps in zip(group, found, open_, strict=True) if gaps
-                               for key, made in zip(part, out, strict=True) if made is missing})
-            for (i, part), out, gaps in zip(group, found, open_, strict=True):
-                if gaps:
-                    out = [new[key] if made is missing else made for key, made in zip(part, out, strict=True)]
+            found = [list(map(get, part)) for _, part in group]
+            gaps = list(map(_gaps, found))
+            wanted = {part[at] for (_, part), places in zip(group, gaps, strict=True) for at in places}
+            new = self._learn(wanted) if wanted else {}
+            for (i, part), out, places in zip(group, found, gaps, strict=True):
+                for at in places:
+                    out[at] = new[part[at]]
                 yield i, out
 
 
+def _gaps(found: list) -> list[int]:
+    """Places of None in a list."""
+    places, at = [], -1
+    try:
+        while True:
+            at = found.index(None, at + 1)
+            places.append(at)
+    except ValueError:
+        return places
+
+
 class ByteLevel:
     """A byte-level vocabulary of the tokenizers library, with the bytes of its tokens."""
 
@@ -126,22 +139,20 @@ class ByteLevel:
         """
         out: list[bytes] = [b""] * len(keys)
         parts = list(map(written, keys))
-        follow = [p[0] == " " and not p[-1].isspace() for p in parts]
-        whole = [k for k, good in enumerate(follow) if good]
-        runs = [whole[k : k + together] for k in range(0, len(whole), together)]
-        runs += [[k] for k, good in enumerate(follow) if not good]
-        texts = ["".join([parts[k] for k in run]) for run in runs]
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        for run, made in zip(runs, found, strict=True):
+        alone = [k for k, p in enumerate(parts) if p[0] != " " or p[-1].isspace()]
+        rest = set(alone)
+        whole = [k for k in range(len(parts)) if k not in rest] if alone else range(len(parts))
+        runs = [whole[k : k + together] for k in range(0, len(whole), together)] + [[k] for k in alone]
+        held = [[parts[k] for k in run] for run in runs]
+        found = self.library.encode_batch_fast(list(map("".join, held)), add_special_tokens=False)
+        for run, texts, made in zip(runs, held, found, strict=True):
             ids = np.array(made.ids, dtype="<u4")
             ends = np.cumsum(self.sizes[ids])
-            cuts = list(accumulate([len(parts[k].encode()) for k in run]))
+            cuts = np.cumsum(list(map(len, map(str.encode, texts))))
             at = np.searchsorted(ends, cuts)
             if not np.array_equal(ends[at], cuts):
                 raise ValueError("a token crosses a place where the tokenizer has to end one")
-            raw, begin = ids.tobytes(), 0
-            for k, last in zip(run, at.tolist(), strict=True):
-                end = 4 * last + 4
+            raw, stops = ids.tobytes(), (4 * at + 4).tolist()
+            for k, begin, end in zip(run, [0, *stops], stops):
                 out[k] = raw[begin:end]
-                begin = end
         return out

@@ -13,8 +13,9 @@ words (``FREQUENT``) and the weights (``3 * ROWS * CLASSES`` numbers) are bounde
 
 Training is distributed: in each of ``ROUNDS`` rounds, every learner makes gradient updates over
 its share of that round's documents, from the weights of the round before; Spark gathers the
-changes by blocks of weights and averages each weight row over the learners that met it. Together
-the rounds visit every training document once. Scoring runs in batches of numpy gathers.
+changes by blocks of weights and averages each weight row over the learners that met it. A learner's
+share is a number of tokens, so learners grow with the corpus and scores don't depend on the cluster.
+Together the rounds visit every training document once. Scoring runs in batches of numpy gathers.
 
 Defined results: a null text counts as empty and has one token, its end. A null id is not held out.
 Without training documents nothing is known and base_score is 0. Words of equal count are frequent
@@ -45,6 +46,8 @@ ROW_BITS = 14
 ROWS = 1 << ROW_BITS
 BLOCK = 64
 ROUNDS = 2
+LEARNER_TOKENS = 1 << 22  # of a learner's share in a round, however large the corpus or the cluster
+FAN = 256
 BATCH = 4096
 RATE = 0.3
 LIMIT = 20.0  # of a weight
@@ -156,6 +159,9 @@ def features(packed: np.ndarray, sizes: np.ndarray) -> np.ndarray:
                      place(both, 0xE7037ED1A0B428DB, 2)])
 
 
+_ONES = np.ones(CLASSES, dtype=np.float32)
+
+
 def empty_weights() -> np.ndarray:
     """Three feature tables and a block whose first row is the bias."""
     return np.zeros((3 * ROWS + BLOCK, CLASSES), dtype=np.float32)
@@ -163,9 +169,10 @@ def empty_weights() -> np.ndarray:
 
 def logits_of(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sum of a token's weights per class. Weights are within LIMIT, so exponentials stay finite."""
-    out = weights[rows[0]]
-    out += weights[rows[1]]
-    out += weights[rows[2]]
+    out = np.take(weights, rows[0], axis=0, mode="clip")
+    more = np.take(weights, rows[1], axis=0, mode="clip")
+    out += more
+    out += np.take(weights, rows[2], axis=0, out=more, mode="clip")
     out += weights[3 * ROWS]
     return out
 
@@ -174,7 +181,7 @@ def log_share(weights: np.ndarray, rows: np.ndarray, kinds: np.ndarray) -> np.nd
     """Natural log of the probability of each token's class."""
     logits = logits_of(weights, rows)
     own = logits[np.arange(len(kinds)), kinds]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return own - np.log(np.exp(logits, out=logits) @ _ONES)
 
 
 class Learner:
@@ -188,14 +195,18 @@ class Learner:
     def update(self, rows: np.ndarray, kinds: np.ndarray) -> None:
         error = logits_of(self.weights, rows)
         np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
+        error /= (error @ _ONES)[:, None]
         error[np.arange(len(kinds)), kinds] -= 1
+        slopes, every = error.astype(np.float64).ravel(), np.arange(CLASSES)
         for number, table in enumerate(rows):
             order = np.argsort((table - number * ROWS).astype(np.uint16), kind="stable")
             ranked = table[order]
-            start = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            self._step(ranked[start], np.add.reduceat(error[order], start),
-                       np.diff(np.append(start, len(ranked))))
+            new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+            place = np.empty(len(order), dtype=np.int64)  # of a token's row among the distinct ones
+            place[order] = np.cumsum(new) - 1
+            start = np.flatnonzero(new)
+            sums = np.bincount((place[:, None] * CLASSES + every).ravel(), weights=slopes, minlength=len(start) * CLASSES)
+            self._step(ranked[start], sums.reshape(-1, CLASSES).astype(np.float32), np.diff(np.append(start, len(ranked))))
         self._step(np.array([3 * ROWS]), error.sum(axis=0, keepdims=True), np.array([len(kinds)]))
 
     def _step(self, at: np.ndarray, slope: np.ndarray, times: np.ndarray) -> None:
@@ -215,10 +226,50 @@ def _own(lexicon: Broadcast) -> Batches:
     return _last[0]
 
 
-def train(texts: DataFrame, lexicon: Broadcast, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after all rounds over ``texts``."""
+CHANGE = "block long, learner long, change binary, met binary"
+
+
+def _mean(changes: DataFrame, learners: int) -> DataFrame:
+    """(block, mean): changes of each block of weights, averaged over the learners that met its rows.
+
+    More than ``FAN`` learners are first summed by groups of so many, so a call holds ``FAN`` blocks.
+    """
+
+    def total(rows: pd.DataFrame, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        change, met = np.zeros((BLOCK, CLASSES)), np.zeros(BLOCK)
+        rows = rows.sort_values("learner")
+        for one, times in zip(rows["change"], rows["met"], strict=True):
+            change += np.frombuffer(one, dtype=kind).reshape(BLOCK, CLASSES)
+            met += np.frombuffer(times, dtype=kind)
+        return change, met
+
+    def summed(kind: type):
+        def together(rows: pd.DataFrame) -> pd.DataFrame:
+            change, met = total(rows, kind)
+            return pd.DataFrame({"block": rows["block"].iloc[:1], "learner": rows["learner"].iloc[0] // FAN,
+                                 "change": change.tobytes(), "met": met.tobytes()})
+
+        return together
+
+    def averaged(kind: type):
+        def mean(rows: pd.DataFrame) -> pd.DataFrame:
+            change, met = total(rows, kind)
+            out = (change / np.maximum(met, 1)[:, None]).astype(np.float32)
+            return pd.DataFrame({"block": rows["block"].iloc[:1], "mean": out.tobytes()})
+
+        return mean
+
+    kind = np.float32
+    while learners > FAN:
+        changes = changes.groupBy("block", F.floor(F.col("learner") / FAN)).applyInPandas(summed(kind), CHANGE)
+        learners, kind = -(-learners // FAN), np.float64
+    return changes.groupBy("block").applyInPandas(averaged(kind), "block long, mean binary")
+
+
+def train(texts: DataFrame, lexicon: Broadcast, rounds: int = ROUNDS, learner_tokens: int = LEARNER_TOKENS) -> np.ndarray:
+    """Weights after all rounds over ``texts``; a learner has about ``learner_tokens`` tokens a round."""
     spark = texts.sparkSession
-    learners = max(2, spark.sparkContext.defaultParallelism)
+    learners = max(1, round(lexicon.value.tokens / rounds / learner_tokens))
     weights = empty_weights()
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
@@ -238,21 +289,10 @@ def train(texts: DataFrame, lexicon: Broadcast, rounds: int = ROUNDS) -> np.ndar
                 "change": [change[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in touched],
                 "met": [learner.met[b * BLOCK : (b + 1) * BLOCK].tobytes() for b in touched]})
 
-        def gather(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("learner")
-            total, met = np.zeros((BLOCK, CLASSES)), np.zeros(BLOCK)
-            for change, times in zip(rows["change"], rows["met"], strict=True):
-                total += np.frombuffer(change, dtype=np.float32).reshape(BLOCK, CLASSES)
-                met += np.frombuffer(times, dtype=np.float32)
-            mean = (total / np.maximum(met, 1)[:, None]).astype(np.float32)
-            return pd.DataFrame({"block": [rows["block"].iloc[0]], "mean": [mean.tobytes()]})
-
         part = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text")
-        changes = part.coalesce(learners).mapInPandas(
-            learn, "block long, learner int, change binary, met binary")
-        means = changes.groupBy("block").applyInPandas(gather, "block long, mean binary")
+        changes = part.repartition(learners).mapInPandas(learn, CHANGE)
         weights = weights.copy()
-        for block, mean in means.collect():  # at most one row per block of weights
+        for block, mean in _mean(changes, learners).collect():  # at most one row per block of weights
             weights[block * BLOCK : (block + 1) * BLOCK] += np.frombuffer(mean, dtype=np.float32).reshape(BLOCK, CLASSES)
         shared.unpersist()
     return weights

@@ -89,3 +89,33 @@ def test_nothing_to_learn_from(spark):
 
 def test_all_classes_are_there():
     assert M.CLASSES == 32
+
+
+def test_changes_of_many_learners_are_averaged(spark):
+    """Sums by groups of learners give what one sum gives: a mean weighted by how often a row was met."""
+    rng, learners = np.random.default_rng(1), M.FAN + 5
+    shape = (learners, M.BLOCK, M.CLASSES)
+    change, met = rng.normal(size=shape).astype(np.float32), rng.integers(0, 3, shape[:2]).astype(np.float32)
+    change *= met[:, :, None]
+    rows = [(7, k, change[k].tobytes(), met[k].tobytes()) for k in range(learners)]
+    got = M._mean(spark.createDataFrame(rows, M.CHANGE), learners).collect()
+    want = change.sum(axis=0, dtype=np.float64) / np.maximum(met.sum(axis=0), 1)[:, None]
+    assert [r["block"] for r in got] == [7]
+    assert np.frombuffer(got[0]["mean"], dtype=np.float32).reshape(want.shape) == pytest.approx(want, abs=1e-5)
+
+
+def test_an_update_moves_each_row_by_its_summed_gradient():
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=M.empty_weights().shape).astype(np.float32) / 10
+    rows = np.stack([rng.integers(0, 9, 300) + k * M.ROWS for k in range(3)])
+    kinds = rng.integers(0, M.CLASSES, 300)
+    learner = M.Learner(weights)
+    logits = weights[rows].sum(axis=0) + weights[3 * M.ROWS]
+    error = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    error[np.arange(300), kinds] -= 1
+    learner.update(rows, kinds)
+    for row in (0, 3, M.ROWS + 5, 2 * M.ROWS + 8):
+        slope = error[(rows == row).any(axis=0)].sum(axis=0)
+        step = M.RATE * slope / np.sqrt(1e-6 + (slope**2).sum() / M.CLASSES)
+        assert learner.weights[row] == pytest.approx(np.clip(weights[row] - step, -20, 20), abs=1e-3)
+    assert learner.met[: M.ROWS].sum() == learner.met[3 * M.ROWS] == 300
