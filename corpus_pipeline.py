@@ -1,4 +1,10 @@
-"""From raw documents to token ids: the training-data operators in a row."""
+"""From raw documents to token counts and digests: the training-data operators in a row.
+
+Defined results: a null or empty text has no words, so the first stage rejects it. Of equal texts one
+stays, the one with the least id, null ids last; rows that repeat wholly are such texts. A null source is
+a source of its own to the mixer. A very long text goes through every stage whole. Columns that are not
+needed come through all stages but the last, whatever their names. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
