@@ -894,7 +894,7 @@ SQL: dict[str, str] = {
 }
 SQL["kpi_totals_of_facts"] = SQL["kpi_totals_exact"]
 SQL["land_review_files_again"] = SQL["land_review_files"]
-SQL["packed_bronze"] = SQL["event_stream_filter"]
+SQL["packed_bronze"] = SQL["stream_from_segments"] = SQL["event_stream_filter"]
 SQL["catalog_views"] = SQL["views"]
 SQL["published_sales"] = SQL["replaced_days"].replace("CASE WHEN purchase_date <", "CASE WHEN purchase_date >=")
 SQL["incremental_clickstream"] = with_ctes(

@@ -6,7 +6,7 @@ import itertools
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from silverbrook.plans.pipeline import Lake, silver_run
 from silverbrook.plans.published import Published
 from silverbrook.plans.staging import Tables
 from silverbrook.plans.star import gold_steps
-from silverbrook.sources import changes, events, tables
+from silverbrook.sources import changes, events, segments, tables
 from silverbrook.streaming import jobs, sinks, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +194,26 @@ def land_review_files_again(spark, sf_dir):
                          F.regexp_replace("raw_content", r"\n\z", "").alias("raw_content"))
 
 
+@query
+def stream_from_segments(spark, sf_dir):
+    """Events through a topic's segments with offsets, in two arrivals, into bronze."""
+    root, size = _scratch(spark, sf_dir, "segments"), 1000
+    event = F.get_json_object("value", "$.event_id").cast("bigint")
+    place = F.row_number().over(Window.partitionBy("partition").orderBy("event")) - 1
+    rows = tb.click_messages(spark, sf_dir).withColumns({"event": event, "partition": F.pmod(event, F.lit(3))})
+    rows = rows.withColumn("offset", place).withColumn("first", F.floor(F.col("offset") / size) * size)
+    for late in (False, True):
+        part = rows.where((F.col("first") >= 2 * size) == F.lit(late)).withColumn("first", F.format_string("%020d", "first"))
+        part = part.repartition("partition", "first").sortWithinPartitions("partition", "first", "offset")
+        part.select("value", "partition", "first").write.mode("append").partitionBy("partition", "first").text(f"{root}/topic")
+        jobs.land_events(segments.message_segments(spark, f"{root}/topic"), f"{root}/bronze", f"{root}/ck")
+    landed = tables.read_bronze(spark, "clickstream", f"{root}/bronze", stream=False)
+    return landed.withColumn("p", F.from_json("properties", schemas.EVENT_PROPERTIES)).select(
+        "event_id", "session_id", "user_id", "event_type", "timestamp", "device",
+        "p.product_id", "p.category", "p.price", "p.state", "p.city", "p.reason", "source",
+    )
+
+
 @query
 def packed_bronze(spark, sf_dir):
     """Events landed in many small files, read after their hours have been packed."""

@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -49,7 +51,8 @@ def test_plans_reduce_before_the_shuffle(spark, sf):
     assert "Expand" not in recent and recent.count("event_date#") > 0
     assert recent.count("(event_date") >= 2  # a filter above each of the two scans
     executive = plan("recent_executive")
-    assert "LeftSemi" in executive and executive.count(">= scalar-subquery") >= 2
+    # The last day is known from the footers, so that the bound of both scans is a plain date.
+    assert "LeftSemi" in executive and len(re.findall(r"\(purchase_date#\d+ >= \d{4}-", executive)) >= 2
     assert "LeftSemi" in plan("mart_reviews")
 
 
