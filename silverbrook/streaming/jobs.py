@@ -9,11 +9,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverbrook import schemas
+from silverbrook import schemas, settings
 from silverbrook.operators import cleaning
 from silverbrook.operators.dedup import ORDER_LATEST, REVIEW_LATEST
 from silverbrook.sources import changes, events, reviews, tables
-from silverbrook.streaming import sinks, upsert
+from silverbrook.streaming import folders, sinks, upsert
 
 
 def land_events(messages: DataFrame, path: str, checkpoint: str) -> int:
@@ -30,8 +30,9 @@ def land_changes(messages: DataFrame, path: str, checkpoint: str) -> int:
 
 def land_reviews(spark: SparkSession, inbox: str, path: str, checkpoint: str, archive: str | None = None) -> int:
     """Review files to bronze, by day; with ``archive`` the inbox is emptied of what has landed."""
-    rows = reviews.read_review_files(spark, inbox, archive)
-    return sinks.drain(spark, sinks.bronze_writer(rows, path, checkpoint, hourly=False))
+    of_files = folders.session_like(spark, settings.SMALL_FILES)
+    rows = reviews.read_review_files(of_files, inbox, archive)
+    return sinks.drain(of_files, sinks.bronze_writer(rows, path, checkpoint, hourly=False))
 
 
 def silver_clickstream(spark: SparkSession, bronze: str, path: str, checkpoint: str) -> int:

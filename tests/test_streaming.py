@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from silverbrook import schemas
 from silverbrook.operators.dedup import descending, latest_per_key
+from silverbrook.plans import registry
 from silverbrook.plans import testbed as tb
 from silverbrook.sources import events, tables
 from silverbrook.streaming import jobs, sinks, upsert
@@ -327,3 +328,17 @@ def test_settings_of_a_write_stay_out_of_the_session(spark, tmp_path):
     assert moved.sparkSession.conf.get(name) != before == spark.conf.get(name)
     assert moved.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC" and moved.count() == 10
     assert not spark.catalog.listTables("global_temp")
+
+
+def test_small_files_share_tasks_and_folders(spark, tmp_path):
+    """A file per review costs neither a folder nor a large share of a task."""
+    reviews = spark.range(600).select(F.format_string("REVIEW_ID: %d\nORDER_ID: o\nRATING: 5/5\n---\nfine", "id").alias("value"))
+    inbox, bronze = str(tmp_path / "inbox"), tmp_path / "bronze"
+    assert registry._drop_files(reviews, inbox) == 600
+    assert len(list((tmp_path / "inbox").iterdir())) <= 64
+    assert jobs.land_reviews(spark, inbox, str(bronze), str(tmp_path / "ck")) == 600
+    assert len(list(bronze.rglob("*.parquet"))) <= 8
+    assert tables.read_bronze(spark, "reviews", str(bronze), stream=False).select("review_id").distinct().count() == 600
+    # A second arrival lies beside the first, and texts that occur twice are two files.
+    assert registry._drop_files(reviews.limit(5).union(reviews.limit(5)), inbox, 1) == 10
+    assert jobs.land_reviews(spark, inbox, str(bronze), str(tmp_path / "ck")) == 10
