@@ -50,3 +50,11 @@ def test_visitors_without_a_type_or_a_user(spark):
     marts = [bitmaps.daily_visitors(clicks, c, bitmaps.numbers(clicks, c)) for c in ("session_id", "user_id")]
     assert {tuple(r) for r in bitmaps.visitors_per_type(*marts, 7).collect()} == {("search", 2, 2), (None, 1, 0)}
     assert [tuple(r) for r in bitmaps.visitors_per_day(*marts, 7).collect()] == [(day, 2, 2)]
+
+
+def test_a_set_is_built_by_one_task(spark):
+    """No task hands on bitmaps of its own: only numbers are shuffled, and a set is never united."""
+    rows = spark.range(1_000).select((F.col("id") % 7).alias("day"), (F.col("id") * 331).alias("n"))
+    plan = bitmaps.sets(rows, ["day"], "n", "customers")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange"):]
+    assert plan.count("Exchange") == 1 and "bitmap_construct_agg" not in below
