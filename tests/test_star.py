@@ -3,9 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from silverbrook import settings
 from silverbrook.operators import dimensions, facts, marts, reports
 from silverbrook.operators.dedup import descending, latest_per_key
 from silverbrook.plans.staging import Step, Tables
+from silverbrook.streaming import sinks
 
 DAY = dt.date(2024, 1, 1)
 
@@ -173,3 +175,14 @@ def test_reports(spark):
         "total_customers": 3}
     kinds = reports.unpivot_review_counts(daily).groupBy("kind").agg(F.sum("review_count")).collect()
     assert {tuple(r) for r in kinds} == {("positive_reviews", 1), ("negative_reviews", 2)}
+
+
+def test_a_step_is_built_by_small_tasks(spark, tmp_path, monkeypatch):
+    """Steps sort wide rows, so their tasks are smaller than those of the caller's session."""
+    name, seen, write = "spark.sql.adaptive.advisoryPartitionSizeInBytes", [], sinks.overwrite
+    before = spark.conf.get(name)
+    monkeypatch.setattr(sinks, "overwrite", lambda rows, path: seen.append(rows.sparkSession.conf.get(name)) or write(rows, path))
+    assert Tables(spark, str(tmp_path), {"x": Step(lambda t: spark.range(10))}, "run")("x").count() == 10
+    assert seen == [settings.SMALL_TASKS[name]] != [before] and spark.conf.get(name) == before
+    # Large tables written by day aim at tasks of the same order.
+    assert settings.WRITE_TASK_BYTES <= 64 * 1024 * 1024
