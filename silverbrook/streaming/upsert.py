@@ -60,9 +60,8 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: lis
     observed = Observation()
     best = latest_per_key(batch.where(F.col(key).isNotNull()), key, _newest_first(order))
     best = best.withColumn(SEEN_IN, F.lit(batch_id).cast("bigint"))
-    best.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-        f"{path}/delta/part={batch_id}"
-    )
+    best.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "compression", "zstd").parquet(f"{path}/delta/part={batch_id}")
     return observed.get.get("rows", 0)
 
 
@@ -202,11 +201,15 @@ def compact(
     _sweep(spark, path, known)
     known.buckets = known.buckets or buckets
     touched = [r[0] for r in new.select(_bucket(key, known.buckets)).distinct().collect()]  # at most all buckets
-    rows, old = resolve(new.drop("part"), key, order, mode), base(spark, path, schema, key, known, touched)
-    rows = rows if old is None else merged(old, rows, key, order, mode)
+    old = base(spark, path, schema, key, known, touched)
+    # Dealt as the buckets are, so that a bucket is one file; a key has a row per batch, and one batch
+    # alone is a table of one row per key already.
+    rows = new.drop("part").repartition(known.buckets, key)
+    rows = rows if count == 1 else resolve(rows, key, order, mode)
+    if old is not None:
+        rows = merged(old, rows, key, order, mode).repartition(known.buckets, key)
     name = _base_table(spark, path, schema, key, known.buckets)
-    # Dealt as the buckets are, so that a bucket is one file.
-    dealt = rows.repartition(known.buckets, key).select(
+    dealt = rows.select(
         *schema.fieldNames(), SEEN_IN, _bucket(key, known.buckets).alias("bucket"),
         F.lit(newest).cast("bigint").alias("upto"))
     dealt.write.insertInto(name)
