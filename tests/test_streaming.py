@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from silverbrook import schemas
@@ -342,3 +343,28 @@ def test_small_files_share_tasks_and_folders(spark, tmp_path):
     # A second arrival lies beside the first, and texts that occur twice are two files.
     assert registry._drop_files(reviews.limit(5).union(reviews.limit(5)), inbox, 1) == 10
     assert jobs.land_reviews(spark, inbox, str(bronze), str(tmp_path / "ck")) == 10
+
+
+def test_offsets_are_numbered_without_gathering_a_partition(spark):
+    rows = spark.range(500).select((F.col("id") % 3).alias("p"), (F.col("id") * 7 - 900).alias("n"))
+    got = registry._numbered(rows, "p", "n", span=100)
+    assert got.columns == ["p", "n", "offset"]
+    want = rows.withColumn("offset", F.row_number().over(Window.partitionBy("p").orderBy("n")).cast("bigint") - 1)
+    assert got.count() == 500 and got.exceptAll(want).isEmpty()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "row_number() windowspecdefinition(p#" in plan and ", _span#" in plan[plan.index("row_number() windowspecdefinition("):]
+
+
+def test_batches_are_dealt_once_for_a_compaction(spark, tmp_path, monkeypatch):
+    """A single batch holds a row per key already: it is dealt to the buckets and not ranked again."""
+    path, ranked = str(tmp_path / "t"), []
+    schema = "k string, v bigint"
+    keep = upsert.resolve
+    monkeypatch.setattr(upsert, "resolve", lambda *a: ranked.append(1) or keep(*a))
+    about = (spark.createDataFrame([], schema).schema, "k", [F.col("v")])
+    upsert.write_batch(spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], schema), 0, path, "k", [F.col("v")])
+    assert upsert.compact(spark, path, *about, after=1, buckets=2) and not ranked
+    for number, value in ((1, 5), (2, 4)):
+        upsert.write_batch(spark.createDataFrame([("a", value)], schema), number, path, "k", [F.col("v")])
+    assert upsert.compact(spark, path, *about, after=1, buckets=2) and ranked
+    assert sorted(tuple(r) for r in upsert.current(spark, path, *about).collect()) == [("a", 5, 1), ("b", 2, 0)]
