@@ -18,14 +18,14 @@ from silverbrook.streaming import folders, sinks, upsert
 
 def land_events(messages: DataFrame, path: str, checkpoint: str) -> int:
     """Event messages to bronze."""
-    rows = events.exclude_event_types(events.read_events(messages))
-    return sinks.drain(messages.sparkSession, sinks.bronze_writer(rows, path, checkpoint))
+    rows = folders.moved(events.exclude_event_types(events.read_events(messages)), settings.LANDING)
+    return sinks.drain(rows.sparkSession, sinks.bronze_writer(rows, path, checkpoint))
 
 
 def land_changes(messages: DataFrame, path: str, checkpoint: str) -> int:
     """Change messages to bronze."""
-    rows = changes.read_cdc(messages)
-    return sinks.drain(messages.sparkSession, sinks.bronze_writer(rows, path, checkpoint))
+    rows = folders.moved(changes.read_cdc(messages), settings.LANDING)
+    return sinks.drain(rows.sparkSession, sinks.bronze_writer(rows, path, checkpoint))
 
 
 def land_reviews(spark: SparkSession, inbox: str, path: str, checkpoint: str, archive: str | None = None) -> int:
@@ -68,15 +68,16 @@ def _upsert_job(
     spark: SparkSession, what: Keyed, bronze: str, path: str, checkpoint: str,
     order: list[Column] | None, mode: str, files: int | None,
 ) -> int:
+    of_rows = folders.session_like(spark, settings.SMALL_TASKS)
     try:
-        raw = tables.read_bronze(spark, what.name, bronze, files=files)
+        raw = tables.read_bronze(of_rows, what.name, bronze, files=files)
     except AnalysisException as error:
         if tables.is_missing(error):
             return 0
         raise
     order, counts = order or what.order(), {}
     rows = what.clean(raw).select(schemas.VERSIONED[what.name].fieldNames())
-    sinks.drain(spark, upsert.writer(rows, path, checkpoint, what.key, order, counts, mode))
+    sinks.drain(of_rows, upsert.writer(rows, path, checkpoint, what.key, order, counts, mode))
     upsert.compact(spark, path, schemas.VERSIONED[what.name], what.key, order, mode)
     return sum(counts.values())
 

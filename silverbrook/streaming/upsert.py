@@ -122,6 +122,12 @@ def base(
     return spark.table(name).where(F.try_element_at(of, F.col("bucket")) == F.col("upto")).drop("bucket", "upto")
 
 
+def batches(spark: SparkSession, path: str, known: Versions) -> list[int]:
+    """Batches written since the last compaction; only folder names are read."""
+    found = folders.subfolders(spark, f"{path.rstrip('/')}/delta")
+    return sorted(n for n in (int(name[5:]) for name in found if name.startswith("part=")) if n > known.upto)
+
+
 def deltas(spark: SparkSession, path: str, schema: T.StructType, known: Versions) -> DataFrame | None:
     """Rows of the batches since the last compaction, with the batch as ``part``."""
     full = T.StructType([
@@ -132,8 +138,8 @@ def deltas(spark: SparkSession, path: str, schema: T.StructType, known: Versions
 
 def last_batch(spark: SparkSession, path: str) -> int:
     """The last batch that has been written, or -1; only folder names are read."""
-    found = folders.subfolders(spark, f"{path.rstrip('/')}/delta")
-    return max([versions(spark, path).upto, *(int(name[5:]) for name in found if name.startswith("part="))])
+    known = versions(spark, path)
+    return max([known.upto, *batches(spark, path, known)])
 
 
 # -- reading -----------------------------------------------------------------------------
@@ -171,13 +177,17 @@ def current(
 ) -> DataFrame:
     """The table as it stands, with the batch that brought each row; empty if nothing was written."""
     known = versions(spark, path)
+    since = batches(spark, path, known)
     new = deltas(spark, path, schema, known)
     old = base(spark, path, schema, key, known)
     if new is None and old is None:
         return spark.createDataFrame([], schema).withColumn(SEEN_IN, F.lit(None).cast("bigint"))
     if new is None:
         return old
-    best = resolve(new.drop("part"), key, order, mode)
+    if len(since) == 1:  # one batch is a table of one row per key already; what comes meanwhile is left out
+        best = new.where(F.col("part") == since[0]).drop("part")
+    else:
+        best = resolve(new.drop("part"), key, order, mode)
     return best if old is None else merged(old, best, key, order, mode)
 
 

@@ -368,3 +368,39 @@ def test_batches_are_dealt_once_for_a_compaction(spark, tmp_path, monkeypatch):
         upsert.write_batch(spark.createDataFrame([("a", value)], schema), number, path, "k", [F.col("v")])
     assert upsert.compact(spark, path, *about, after=1, buckets=2) and ranked
     assert sorted(tuple(r) for r in upsert.current(spark, path, *about).collect()) == [("a", 5, 1), ("b", 2, 0)]
+
+
+def test_one_batch_is_read_as_it_is(spark, tmp_path, monkeypatch):
+    """A single batch since the last compaction is a row per key: a reader doesn't shuffle and rank it again."""
+    path, ranked, keep, deltas = str(tmp_path / "t"), [], upsert.resolve, upsert.deltas
+    monkeypatch.setattr(upsert, "resolve", lambda *a: ranked.append(1) or keep(*a))
+    put(spark, path, 0, BATCHES[0])
+    rows = upsert.current(spark, path, *about())
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString() and not ranked
+    assert stored(spark, path) == [("a", "new", 0), ("b", "b0", 0)]
+
+    def meanwhile(*a):  # a second batch comes after the batches were listed
+        put(spark, path, 1, BATCHES[1])
+        return deltas(*a)
+
+    monkeypatch.setattr(upsert, "deltas", meanwhile)
+    assert stored(spark, path) == [("a", "new", 0), ("b", "b0", 0)]
+    monkeypatch.setattr(upsert, "deltas", deltas)
+    assert stored(spark, path) == [("a", "later", 1), ("b", "b0", 0), ("c", "c1", 1)] and ranked
+    assert upsert.compact(spark, path, *about(), after=1, buckets=2)
+    ranked.clear()
+    put(spark, path, 2, BATCHES[2])
+    assert stored(spark, path) == LATEST and not ranked
+
+
+def test_topic_and_bronze_are_compressed_and_landed_unsorted(spark, sf, tmp_path):
+    topic, bronze = tmp_path / "topic", tmp_path / "bronze"
+    messages = tb.order_messages(spark, sf)
+    registry._topic(messages, str(topic), rows=1000)
+    files = list(topic.glob("part-*"))
+    assert files and all(f.suffix == ".gz" for f in files) and max(spark.read.text(str(f)).count() for f in files) == 1000
+    assert spark.read.text(str(topic)).exceptAll(messages).isEmpty() and spark.read.text(str(topic)).count() == messages.count()
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert jobs.land_changes(events.message_files(spark, str(topic)), str(bronze), str(tmp_path / "ck")) > 0
+    assert all(".zstd." in f.name for f in bronze.rglob("*.parquet"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
