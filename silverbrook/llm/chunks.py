@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -19,29 +20,43 @@ _ANY = f" {_OTHER}"
 _CHUNK = re.compile(
     f"(?: [{_ANY}]*[^{_ANY}]*|[^{_ANY}]+|[{_OTHER}][{_ANY}]*[^{_ANY}]*)(?:[{_OTHER}][{_ANY}]*[^{_ANY}]*)*")
 _UNEVEN = re.compile(f"[{_ANY}] ")
+_BLANKS = re.compile(f"[{_ANY}][{_ANY}]")
 GROUP = 1 << 20  # characters of texts that are looked at together
+NEXT = "\ud800"  # no text in UTF-8 holds it
 
-# A chunk goes by what follows its space; one that begins a text without a space is in a tuple.
+# A chunk goes by what follows its space; one that begins a text without a space is in a tuple, and one
+# that begins at a line break follows NEXT.
 Key = str | tuple[str]
 
 
 def written(key: Key) -> str:
     """The chunk of a key."""
-    return key[0] if isinstance(key, tuple) else " " + key
+    if isinstance(key, tuple):
+        return key[0]
+    return key[1:] if key[:1] == NEXT else " " + key
 
 
 def _key(chunk: str) -> Key:
     return chunk[1:] if chunk[0] == " " else (chunk,)
 
 
-def chunks(text: str) -> Iterator[list[Key]]:
-    """Keys of the chunks of a text in order, in lists of bounded length; joined the chunks are the text."""
-    if len(text) > GROUP:
+def chunks(text: str, breaks: bool = False) -> Iterator[list[Key]]:
+    """Keys of the chunks of a text in order, in lists of bounded length; joined the chunks are the text.
+
+    With ``breaks``, a line break between two other characters than white space is a chunk of its own, so
+    that the words beside it are known from elsewhere.
+    """
+    single = breaks and "\n" in text and text[-1] != "\n" and len(text) <= GROUP and not _BLANKS.search(text)
+    if single:
+        text = text.replace("\n", f" {NEXT}\n {NEXT}")
+    elif len(text) > GROUP:
         found = (_key(m[0]) for m in _CHUNK.finditer(text))
         yield from iter(lambda: list(islice(found, GROUP >> 3)), [])
+        return
     elif _UNEVEN.search(text):
         yield [_key(c) for c in _CHUNK.findall(text)]
-    elif text:  # no space follows white space, so that every space begins a chunk
+        return
+    if text:  # no space follows white space but for breaks, so that every space begins a chunk
         keys: list[Key] = text.split(" ")  # type: ignore[assignment]
         if keys[0]:
             keys[0] = (keys[0],)
@@ -50,11 +65,11 @@ def chunks(text: str) -> Iterator[list[Key]]:
         yield keys
 
 
-def groups(texts: Iterable[str]) -> Iterator[list[tuple[int, list[Key]]]]:
+def groups(texts: Iterable[str], breaks: bool = False) -> Iterator[list[tuple[int, list[Key]]]]:
     """Chunks of texts with the text's number, about GROUP characters at a time."""
     group, held = [], 0
     for i, text in enumerate(texts):
-        for part in chunks(text):
+        for part in chunks(text, breaks):
             group.append((i, part))
             held += min(len(text), GROUP)
             if held >= GROUP:
@@ -71,8 +86,9 @@ class Remembered:
     what is asked for again moves back, so chunks that recur often are never made anew.
     """
 
-    def __init__(self, make: Callable[[list[Key]], Iterable], cost: Callable[[object], int], limit: int = 128 << 20):
-        self.make, self.cost, self.limit = make, cost, limit
+    def __init__(self, make: Callable[[list[Key]], Iterable], cost: Callable[[object], int], limit: int = 128 << 20,
+                 breaks: bool = False):
+        self.make, self.cost, self.limit, self.breaks = make, cost, limit, breaks
         self.known: dict[Key, object] = {}
         self.older: dict[Key, object] = {}
         self.held = 0
@@ -80,8 +96,9 @@ class Remembered:
     def _learn(self, wanted: set[Key]) -> dict[Key, object]:
         if self.held > self.limit:
             self.known, self.older, self.held = {}, self.known, 0
-        unknown = list(wanted.difference(self.older))
-        new = {key: self.older[key] for key in wanted.intersection(self.older)}
+        older = self.older  # far more keys than are wanted, which are looked up
+        new = {key: older[key] for key in wanted if key in older}
+        unknown = list(wanted.difference(new))
         new.update(zip(unknown, self.make(unknown), strict=True))
         self.known.update(new)
         self.held += 200 * len(new) + 2 * sum(map(len, new)) + sum(map(self.cost, new.values()))
@@ -92,7 +109,7 @@ class Remembered:
 
         Results are never None, which marks the places of chunks that are not known yet.
         """
-        for group in groups(texts):
+        for group in groups(texts, self.breaks):
             get = self.known.get
             found = [list(map(get, part)) for _, part in group]
             gaps = list(map(_gaps, found))
@@ -122,6 +139,11 @@ class ByteLevel:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(public_tokenizers.path(name))
         self.library.encode_special_tokens = plain_specials
+        # Chunks that recur don't reach the library, so its own memory of words costs more than it gives.
+        self.library.model._resize_cache(0)
+        # The pattern of such a vocabulary parts a single line break from what is beside it.
+        split = json.loads(self.library.to_str())["pre_tokenizer"] or {}
+        self.breaks = split.get("type") == "ByteLevel" and bool(split.get("use_regex"))
         # Printable bytes stand for themselves in such a vocabulary, the others for the
         # characters from 256 on.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -135,17 +157,29 @@ class ByteLevel:
     def of_chunks(self, keys: list[Key], together: int = 1000) -> list[bytes]:
         """Ids of each chunk, as little-endian 32-bit integers.
 
-        Chunks that may follow each other are given to the library as one text and cut by their bytes.
+        Chunks that may follow each other are given to the library as one text and cut by their bytes. Where a
+        single line break is a token, those without a space follow one, and its id is left out.
         """
         out: list[bytes] = [b""] * len(keys)
         parts = list(map(written, keys))
-        alone = [k for k, p in enumerate(parts) if p[0] != " " or p[-1].isspace()]
-        rest = set(alone)
-        whole = [k for k in range(len(parts)) if k not in rest] if alone else range(len(parts))
-        runs = [whole[k : k + together] for k in range(0, len(whole), together)] + [[k] for k in alone]
-        held = [[parts[k] for k in run] for run in runs]
+        apart = [k for k, p in enumerate(parts) if p[0] != " " or p[-1].isspace()]
+        after = {k for k in apart if not (parts[k][0].isspace() or parts[k][-1].isspace())} if self.breaks else set()
+        alone = [k for k in apart if k not in after]
+        rest = set(apart)
+        whole = [k for k in range(len(parts)) if k not in rest] if apart else range(len(parts))
+        begun = sorted(after)
+        runs, held, lead = [], [], []
+        for some in (whole, begun):
+            for at in range(0, len(some), together):
+                runs.append(some[at : at + together])
+                texts = [parts[k] for k in runs[-1]]
+                held.append(["\n" + p for p in texts] if some is begun else texts)
+                lead.append(4 if some is begun else 0)
+        runs += [[k] for k in alone]
+        held += [[parts[k]] for k in alone]
+        lead += [0] * len(alone)
         found = self.library.encode_batch_fast(list(map("".join, held)), add_special_tokens=False)
-        for run, texts, made in zip(runs, held, found, strict=True):
+        for run, texts, made, skip in zip(runs, held, found, lead, strict=True):
             ids = np.array(made.ids, dtype="<u4")
             ends = np.cumsum(self.sizes[ids])
             cuts = np.cumsum(list(map(len, map(str.encode, texts))))
@@ -154,5 +188,5 @@ class ByteLevel:
                 raise ValueError("a token crosses a place where the tokenizer has to end one")
             raw, stops = ids.tobytes(), (4 * at + 4).tolist()
             for k, begin, end in zip(run, [0, *stops], stops):
-                out[k] = raw[begin:end]
+                out[k] = raw[begin + skip : end]
         return out

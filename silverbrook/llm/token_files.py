@@ -58,7 +58,8 @@ _encoders: dict[str, Remembered] = {}
 def encoder(name: str = VOCABULARY) -> Remembered:
     """Ids of chunks as little-endian 32-bit integers; one per Python worker."""
     if name not in _encoders:
-        _encoders[name] = Remembered(ByteLevel(name).of_chunks, len)
+        vocabulary = ByteLevel(name)
+        _encoders[name] = Remembered(vocabulary.of_chunks, len, breaks=vocabulary.breaks)
     return _encoders[name]
 
 

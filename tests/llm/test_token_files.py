@@ -1,5 +1,6 @@
 """Directly addressable token files: codes, whole round trip, single tokens."""
 
+import random
 import zlib
 from itertools import accumulate
 
@@ -118,3 +119,27 @@ def test_empty_table(spark, tmp_path):
 def test_query(spark, sf, plain):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     assert result(QUERIES["op12_token_files"](spark, sf)) == expected([tuple(r) for r in rows], plain)
+
+
+def test_single_line_breaks_part_chunks_and_ids_stay():
+    """Words beside a line break are known from elsewhere, and the ids are those of the whole text."""
+    rng = random.Random(7)
+    signs = ["a", "b", "Été", "ab", "7", ".", ",", "'s", "'", "\n", "\n", "\n", " ", " ", "\t", "\r", "\x1c", "\x1f", "\xa0",
+             "<|endoftext|>", "δ", "é", "$$", " "]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(4000)] + ["\nab", "ab\n", "\n", "a\n\nb", "a\nb\n<|endoftext|>"]
+    plain = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+    want = [plain.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert [x.tolist() for x in token_files.encoded(texts)] == want
+    assert ["".join(map(chunks.written, k)) for t in texts for k in chunks.chunks(t, breaks=True)] == [t for t in texts if t]
+    (keys,) = chunks.chunks(" one.\ntwo one.", breaks=True)
+    assert keys == ["one.", f"{chunks.NEXT}\n", f"{chunks.NEXT}two", "one."]
+
+
+def test_what_was_remembered_is_looked_up_and_not_walked_through():
+    class Walked(dict):
+        def __iter__(self):
+            raise AssertionError("all keys are visited")
+
+    known = chunks.Remembered(lambda keys: [k.encode() for k in keys], len)
+    known.older = Walked(a=b"old")
+    assert [parts for _, parts in known.of([" a b"])] == [[b"old", b"b"]]
