@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from silverbrook.llm import chunks
 from silverbrook.llm.chunks import ByteLevel, Remembered
 from silverbrook.llm.common import documents, field, stored
 from silverbrook.session import shared_dir
@@ -52,32 +54,62 @@ PLACE = struct.Struct("<QQ")
 BITS, RANK_BITS = 8, 512
 Reader = Callable[[int, int], bytes]
 
-_encoders: dict[str, Remembered] = {}
 
+class Encoder(NamedTuple):
+    """Ids of chunks as little-endian 32-bit integers: of those cut by bytes, and of the others by their keys."""
 
-def encoder(name: str = VOCABULARY) -> Remembered:
-    """Ids of chunks as little-endian 32-bit integers; one per Python worker."""
+    vocabulary: ByteLevel
+    parts: Remembered
+    others: Remembered
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(name: str = VOCABULARY) -> Encoder:
+    """One per Python worker."""
     if name not in _encoders:
-        vocabulary = ByteLevel(name)
-        _encoders[name] = Remembered(vocabulary.of_chunks, len, breaks=vocabulary.breaks)
+        own = ByteLevel(name)
+        _encoders[name] = Encoder(
+            own, Remembered(own.of_parts, len), Remembered(own.of_chunks, len, limit=32 << 20, breaks=own.breaks))
     return _encoders[name]
 
 
 def encoded(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Ids of each whole text, with the end id."""
-    end, at, held = END.to_bytes(4, "little"), 0, []
-
-    def whole() -> np.ndarray:
-        return np.frombuffer(b"".join([*held, end]), dtype="<u4")
-
-    for i, parts in encoder().of(t or "" for t in texts):
-        while at < i:
-            yield whole()
-            at, held = at + 1, []
-        held += parts
-    while at < len(texts):
-        yield whole()
-        at, held = at + 1, []
+    group, held = [], 0
+    for text in texts:
+        group.append(text or "")
+        held += len(group[-1])
+        if held >= chunks.WIDE:
+            yield from _encoded(group)
+            group, held = [], 0
+    if group:
+        yield from _encoded(group)
+
+
+def _encoded(texts: list[str]) -> Iterator[np.ndarray]:
+    """Distinct chunks of all texts are looked up once; very long texts and unusual ones go by themselves."""
+    vocabulary, known, others = encoder()
+    apart = np.array([not vocabulary.even or len(t) > chunks.GROUP for t in texts], dtype=bool)
+    found, counts, far = chunks.cut([b"" if a else t.encode() for t, a in zip(texts, apart, strict=True)], vocabulary.kinds)
+    apart |= far
+    distinct = found.dictionary_encode()
+    numbers = distinct.indices.to_numpy()
+    made = known.each(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+    sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // 4
+    begins = np.cumsum(sizes) - sizes
+    taken = sizes[numbers]
+    ends = np.cumsum(taken)
+    ids = np.frombuffer(b"".join(made), dtype="<u4")[
+        np.repeat(begins[numbers] - ends + taken, taken) + np.arange(taken.sum())]
+    last = np.append(0, ends)[np.cumsum(counts)]
+    for text, alone, begin, end in zip(texts, apart, np.append(0, last[:-1]), last, strict=True):
+        if alone:
+            parts = [part for _, some in others.of([text]) for part in some]
+            yield np.frombuffer(b"".join([*parts, END.to_bytes(4, "little")]), dtype="<u4")
+        else:
+            yield np.append(ids[begin:end], np.uint32(END))
 
 
 def pack(ids: np.ndarray, ends: np.ndarray, doc_ids: list[int | None]) -> bytes:

@@ -143,3 +143,36 @@ def test_what_was_remembered_is_looked_up_and_not_walked_through():
     known = chunks.Remembered(lambda keys: [k.encode() for k in keys], len)
     known.older = Walked(a=b"old")
     assert [parts for _, parts in known.of([" a b"])] == [[b"old", b"b"]]
+
+
+SIGNS = ["a", "B", "Été", "ab", "7", "12", ".", ",", "'s", "'", "'re", "ll", "\n", "\n", "\n", " ", " ", "  ", "\t", "\r\n", "\x1c", "\xa0",
+         "\x85", " ", "　", "’", "​", "<|endoftext|>", "<|", "|>", "endoftext", "δ", "é", "$$", "&&&", "-", "(", "日本",
+         "̀", "ª", "½", "\x00", "\U0001d400", "ɐ", "€"]
+
+
+def test_marks_make_no_word_new(plain, monkeypatch):
+    """A word is encoded once, whatever marks, digits and line breaks are beside it."""
+    asked = []
+    own = token_files.encoder()
+    monkeypatch.setattr(own.parts, "make", lambda parts: asked.extend(parts) or own.vocabulary.of_parts(parts))
+    texts = ["xqzt. a xqzt, xqzt\nxqzt; (xqzt) xqzt&&& xqzt's", "the\xa0xqzt", " xqzt7 -xqzt- xqzt"]
+    assert [ids.tolist() for ids in token_files.encoded(texts)] == [plain(t) for t in texts]
+    assert sorted(p for p in asked if "xqzt" in p) == [" xqzt", "xqzt"]
+
+
+def test_cut_by_bytes_leaves_ids_as_they_are(plain, monkeypatch):
+    rng = random.Random(11)
+    for wide in (1 << 22, 40):
+        monkeypatch.setattr(chunks, "WIDE", wide)
+        texts = ["".join(rng.choices(rng.sample(SIGNS, rng.randint(2, 12)), k=rng.randint(0, 25))) for _ in range(3000)]
+        assert [ids.tolist() for ids in token_files.encoded(texts)] == [plain(t) for t in texts]
+    assert list(token_files.encoded([])) == []
+    found, counts, far = chunks.cut([b"", b" one. two\nthree", "a　b".encode(), b""], token_files.encoder().vocabulary.kinds)
+    assert found.to_pylist() == [" one", ".", " two", "\n", "three"]
+    assert counts.tolist() == [0, 5, 0, 0] and far.tolist() == [False, False, True, False]
+
+
+def test_vocabularies_with_other_patterns_are_not_cut_by_bytes(plain, monkeypatch):
+    monkeypatch.setattr(token_files.encoder().vocabulary, "even", False)
+    texts = ["one. two\nthree", "", "zqxt's zqxt"]
+    assert [ids.tolist() for ids in token_files.encoded(texts)] == [plain(t) for t in texts]
