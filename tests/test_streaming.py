@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from silverbrook import schemas
+from silverbrook import schemas, settings
 from silverbrook.operators.dedup import descending, latest_per_key
 from silverbrook.plans import registry
 from silverbrook.plans import testbed as tb
@@ -345,6 +345,22 @@ def test_small_files_share_tasks_and_folders(spark, tmp_path):
     assert jobs.land_reviews(spark, inbox, str(bronze), str(tmp_path / "ck")) == 10
 
 
+def test_an_inbox_is_landed_by_a_bounded_number_of_files(spark, tmp_path, monkeypatch):
+    """What the driver holds of a running batch does not grow with the inbox, and no listed file is cached."""
+    monkeypatch.setattr(settings, "INBOX_FILES", 2)
+    inbox = tmp_path / "inbox" / "0"
+    inbox.mkdir(parents=True)
+    for n in range(5):
+        (inbox / f"{n}.txt").write_text(f"REVIEW_ID: {n}\nORDER_ID: o\nRATING: 5/5\n---\nfine")
+    where = [str(tmp_path / n) for n in ("inbox", "bronze", "ck", "archive")]
+    assert jobs.land_reviews(spark, *where) == 5
+    assert len([p for p in (tmp_path / "ck" / "commits").iterdir() if p.name.isdigit()]) == 3
+    landed = tables.read_bronze(spark, "reviews", where[1], stream=False).collect()
+    assert sorted(r.review_id for r in landed) == list("01234")
+    assert settings.SMALL_FILES["spark.sql.hive.manageFilesourcePartitions"] == "false"
+    assert jobs.land_reviews(spark, *where) == 0
+
+
 def test_offsets_are_numbered_without_gathering_a_partition(spark):
     rows = spark.range(500).select((F.col("id") % 3).alias("p"), (F.col("id") * 7 - 900).alias("n"))
     got = registry._numbered(rows, "p", "n", span=100)
