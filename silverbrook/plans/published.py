@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverbrook import settings
 from silverbrook.streaming import folders, sinks
 
 MARK = "mark."
@@ -65,7 +66,8 @@ class Published:
         """
         build, before = uuid.uuid4().hex[:12], self.build_of(name)
         folder, table = f"{self.root}/{name}/{build}", self._table(name, build)
-        records = sinks.overwrite_partitioned(rows, folder, by) if by else sinks.overwrite(rows, folder)
+        records = sinks.overwrite_partitioned(rows, folder, by) if by else sinks.overwrite(
+            folders.moved(rows, settings.WRITING), folder)
         if check:
             check(self.spark.read.schema(rows.schema).parquet(folder))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
