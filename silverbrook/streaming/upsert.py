@@ -201,6 +201,7 @@ def compact(
     a compaction that fails half-way changes nothing, and a batch run again later is no longer read.
     ``buckets`` holds for a table's first compaction and stays.
     """
+    spark = folders.session_like(spark, settings.WRITING)
     known = versions(spark, path)
     new = deltas(spark, path, schema, known)
     if new is None:
@@ -209,20 +210,23 @@ def compact(
     if newest is None or count < after:
         return False
     _sweep(spark, path, known)
+    new = new.where(F.col("part") <= newest)  # not what comes meanwhile
     known.buckets = known.buckets or buckets
     touched = [r[0] for r in new.select(_bucket(key, known.buckets)).distinct().collect()]  # at most all buckets
-    old = base(spark, path, schema, key, known, touched)
-    # Dealt as the buckets are, so that a bucket is one file; a key has a row per batch, and one batch
-    # alone is a table of one row per key already.
-    rows = new.drop("part").repartition(known.buckets, key)
-    rows = rows if count == 1 else resolve(rows, key, order, mode)
-    if old is not None:
-        rows = merged(old, rows, key, order, mode).repartition(known.buckets, key)
     name = _base_table(spark, path, schema, key, known.buckets)
-    dealt = rows.select(
-        *schema.fieldNames(), SEEN_IN, _bucket(key, known.buckets).alias("bucket"),
-        F.lit(newest).cast("bigint").alias("upto"))
-    dealt.write.insertInto(name)
+    # A few buckets at a time, which bounds the shuffle files that lie beside the base.
+    for at in range(0, len(touched), settings.COMPACT_BUCKETS):
+        some = touched[at : at + settings.COMPACT_BUCKETS]
+        old = base(spark, path, schema, key, known, some)
+        # Dealt as the buckets are, so that a bucket is one file; a key has a row per batch, and one batch
+        # alone is a table of one row per key already.
+        rows = new.where(_bucket(key, known.buckets).isin(some)).drop("part").repartition(known.buckets, key)
+        rows = rows if count == 1 else resolve(rows, key, order, mode)
+        if old is not None:
+            rows = merged(old, rows, key, order, mode).repartition(known.buckets, key)
+        rows.select(
+            *schema.fieldNames(), SEEN_IN, _bucket(key, known.buckets).alias("bucket"),
+            F.lit(newest).cast("bigint").alias("upto")).write.insertInto(name)
     entry = spark.createDataFrame([(newest, known.buckets, touched)], LOG)
     entry.coalesce(1).write.mode("append").parquet(_log(path, "compactions"))
     return True
@@ -260,13 +264,15 @@ def writer(
 
     Batches are folded into the base while the stream runs, once enough of them have come.
     """
-    schema = rows.schema
+    schema, spark, adaptive = rows.schema, rows.sparkSession, "spark.sql.adaptive.enabled"
+    # A stream's own session plans without AQE, and only plans of AQE have their shuffle files removed.
+    planned = settings.WRITING | {adaptive: spark.conf.get(adaptive)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not counts:
             check_owner(batch.sparkSession, path, checkpoint)
-        counts[batch_id] = write_batch(batch, batch_id, path, key, order)
+        counts[batch_id] = write_batch(folders.moved(batch, planned), batch_id, path, key, order)
         if (batch_id + 1) % settings.COMPACT_AFTER == 0:
-            compact(batch.sparkSession, path, schema, key, order, mode)
+            compact(spark, path, schema, key, order, mode)
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -8,6 +9,7 @@ from silverbrook import schemas, settings
 from silverbrook.operators.dedup import descending, latest_per_key
 from silverbrook.plans import registry
 from silverbrook.plans import testbed as tb
+from silverbrook.plans.staging import Step, Tables
 from silverbrook.sources import events, tables
 from silverbrook.streaming import jobs, sinks, upsert
 
@@ -361,6 +363,56 @@ def test_an_inbox_is_landed_by_a_bounded_number_of_files(spark, tmp_path, monkey
     assert jobs.land_reviews(spark, *where) == 0
 
 
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_shuffle_files_go_with_the_write(spark, sf, tmp_path):
+    bronze, silver, check = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    tb.raw_orders(spark, sf).repartition(4).write.parquet(bronze)
+    rows = spark.range(1000).groupBy((F.col("id") % 10).alias("order_id")).agg(F.count("*").alias("n"))
+    before = shuffle_files(spark)
+    tables_ = Tables(spark, str(tmp_path / "t"), {
+        "a": Step(lambda t: rows), "b": Step(lambda t: t("a").groupBy("order_id").agg(F.max("n").alias("n")),
+                                             slices=("order_id", 3), frees=("a",))}, "run")
+    assert sorted(tuple(r) for r in tables_("b").collect()) == [(i, 100) for i in range(10)]
+    assert not (tmp_path / "t" / "a").exists() and len(tables_("a").collect()) == 10
+    assert jobs.silver_orders(spark, bronze, silver, check, tb.order_newest(), files=2) > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    for _ in range(50):  # they are removed in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+
+
+def test_a_slice_is_filtered_before_it_is_dealt(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "k string, v int")
+    best, dealt, keep = latest_per_key(rows, "k", [F.col("v").desc()]), [], sinks.overwrite
+    monkeypatch.setattr(sinks, "overwrite", lambda part, *a: dealt.append(part) or keep(part, *a))
+    assert sinks.overwrite_sliced(best, str(tmp_path / "t"), "k", 4) == 3 and len(dealt) == 4
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).collect()), key=str) == [("a", 2), ("b", 3), (None, 5)]
+    for part in dealt:
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("xxhash64(k") > plan.index("Window")
+
+
+def test_a_compaction_deals_few_buckets_at_a_time(spark, tmp_path, monkeypatch):
+    path, dealt, keep = str(tmp_path / "t"), [], upsert.base
+    put(spark, path, 0, [(f"k{i}", "p", i) for i in range(100)])
+    monkeypatch.setattr(upsert, "base", lambda *a: dealt.append(a[-1]) or keep(*a))
+    monkeypatch.setattr(settings, "COMPACT_BUCKETS", 3)
+    assert upsert.compact(spark, path, *about(), after=1, buckets=8)
+    assert sorted(map(len, dealt)) == [2, 3, 3] and sorted(b for some in dealt for b in some) == list(range(8))
+    monkeypatch.setattr(upsert, "base", keep)
+    assert len(stored(spark, path)) == 100
+    put(spark, path, 1, [(f"k{i}", "newer", 1000) for i in range(50)])
+    assert upsert.compact(spark, path, *about(), after=1)
+    assert [p for _, p, _ in stored(spark, path)].count("newer") == 50 and len(stored(spark, path)) == 100
+
+
 def test_offsets_are_numbered_without_gathering_a_partition(spark):
     rows = spark.range(500).select((F.col("id") % 3).alias("p"), (F.col("id") * 7 - 900).alias("n"))
     got = registry._numbered(rows, "p", "n", span=100)
